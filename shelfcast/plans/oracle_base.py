@@ -135,4 +135,4 @@ def fin(body: str, ints=(), dbls=(), keep=(), digits: int = 4) -> str:
 def with_adapter(*ctes: str) -> str:
     """``WITH`` clause holding the adapter plus extra named CTEs."""
     parts = [ADAPTER.strip()] + [c.strip() for c in ctes]
-    return "WITH " + ",\n".join(parts) + "\n"
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n"

@@ -1 +1,275 @@
-"""Registered queries."""
+"""Registered queries: business rules and ordering."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfcast.operators import budget as bg
+from shelfcast.operators import orders as od
+from shelfcast.plans.oracle_base import fin, h, with_adapter
+from shelfcast.plans.registry import query
+from shelfcast.sources import fixture as fx
+from shelfcast.sources import store
+
+U = "(({}) :: DOUBLE / 4294967296.0::DOUBLE)"
+
+RULES_SQL = f"""
+rule_stats AS (
+  SELECT sku, avg(units_sold) AS avg_u, max(units_sold) AS max_u, avg(price) AS avg_p,
+         arg_min(cat_id, date) AS category FROM pos GROUP BY sku),
+rules_d AS (
+  SELECT sku, category,
+         CAST(trunc(GREATEST(max_u * 3, avg_u * 7, 50)) AS BIGINT) AS max_shelf_capacity,
+         ROUND(avg_p * 0.55, 2) AS unit_cost,
+         CAST(trunc(GREATEST(500, avg_u * avg_p * 7)) AS BIGINT) AS max_budget_per_order,
+         CAST(CASE category WHEN 'FOODS' THEN [7, 10, 14][{h('sku')} % 3 + 1]
+                           WHEN 'HOUSEHOLD' THEN [90, 120, 180][{h('sku')} % 3 + 1]
+                           ELSE [60, 90, 120][{h('sku')} % 3 + 1] END AS BIGINT) AS perishability_days,
+         CAST(CASE category WHEN 'FOODS' THEN 1 WHEN 'HOUSEHOLD' THEN 3 ELSE 2 END AS BIGINT) AS safety_stock_days
+  FROM rule_stats),
+fc AS (
+  SELECT sku, CAST(trunc(avg(units_sold) * 7) AS BIGINT) AS forecast_qty
+  FROM (SELECT sku, units_sold, row_number() OVER (PARTITION BY sku ORDER BY date DESC) AS rd FROM pos)
+  WHERE rd <= 14 GROUP BY sku),
+stock_fx AS (SELECT sku, CAST(10 + {h('sku')} % 90 AS BIGINT) AS current_stock FROM (SELECT DISTINCT sku FROM pos)),
+demand AS (SELECT sku, avg(units_sold) AS daily_demand FROM pos GROUP BY sku)
+"""
+
+
+def constrain_sql(src: str, with_demand: bool = True) -> str:
+    """CTEs ar1..ar4 applying B4-B9 to ``src`` (sku, forecast_qty, cs, cap, cost, bud, pdays, dd, has_rule)."""
+    per = ("COALESCE(dd > 0 AND q2 > dd * pdays, false)" if with_demand else "false")
+    return f"""
+ar1 AS (SELECT *, GREATEST(forecast_qty - cs, 0) AS net, GREATEST(cap - cs, 0) AS room,
+               CASE WHEN cost = 0 THEN NULL ELSE bud / cost END AS units FROM {src}),
+ar2 AS (SELECT *, COALESCE(net > room, false) AS cap_hit,
+               CASE WHEN net > room THEN room ELSE net END AS q1 FROM ar1),
+ar3 AS (SELECT *, COALESCE(q1 > units, false) AS bud_hit,
+               CASE WHEN COALESCE(q1 > units, false) THEN floor(units) ELSE q1 END AS q2 FROM ar2),
+ar4 AS (SELECT *, {per} AS per_hit,
+               CASE WHEN {per} THEN floor(dd * pdays) ELSE q2 END AS q3 FROM ar3),
+ar AS (
+  SELECT sku, forecast_qty, cs AS current_stock,
+         CAST(CASE WHEN has_rule THEN q3 ELSE net END AS BIGINT) AS final_qty,
+         CASE WHEN NOT has_rule THEN 'No rules configured, using raw forecast minus stock'
+              ELSE COALESCE(NULLIF(concat_ws('; ',
+                     CASE WHEN cap_hit THEN 'Capped by shelf capacity (' || cap || ')' END,
+                     CASE WHEN bud_hit THEN 'Capped by budget ($' || bud || ')' END,
+                     CASE WHEN per_hit THEN 'Capped by perishability (' || pdays || ' days)' END), ''),
+                   'Within all constraints') END AS explanation
+  FROM ar4)
+"""
+
+
+AR_INPUT = """
+ar_in AS (
+  SELECT f.sku, f.forecast_qty, COALESCE(st.current_stock, 0) AS cs, r.max_shelf_capacity AS cap,
+         r.unit_cost AS cost, r.max_budget_per_order AS bud, r.perishability_days AS pdays,
+         dm.daily_demand AS dd, r.sku IS NOT NULL AS has_rule
+  FROM fc f LEFT JOIN stock_fx st ON st.sku = f.sku LEFT JOIN rules_d r ON r.sku = f.sku
+       LEFT JOIN demand dm ON dm.sku = f.sku)
+"""
+APPLY_SQL = with_adapter(RULES_SQL, AR_INPUT, constrain_sql("ar_in"))
+
+
+def rule_inputs(spark, sf_dir):
+    pos = fx.pos(spark, sf_dir)
+    skus = pos.select("sku").distinct()
+    return (pos, od.derive_rules(pos), od.weekly_forecast(pos), od.simulated_stock(skus), od.daily_demand(pos))
+
+
+def applied_orders(spark, sf_dir):
+    pos, rules, fc, stock, dem = rule_inputs(spark, sf_dir)
+    return od.apply_rules(fc, stock, rules, dem)
+
+
+@query("derived_rules", sql=with_adapter(RULES_SQL) + "SELECT * FROM rules_d")
+def derived_rules(spark, sf_dir):
+    return od.derive_rules(fx.pos(spark, sf_dir))
+
+
+@query("weekly_forecast", sql=with_adapter(RULES_SQL) + "SELECT * FROM fc")
+def weekly_forecast(spark, sf_dir):
+    return od.weekly_forecast(fx.pos(spark, sf_dir))
+
+
+@query("daily_demand", sql=with_adapter(RULES_SQL) + fin("SELECT * FROM demand", dbls=["daily_demand"],
+                                                          keep=["sku"]))
+def daily_demand(spark, sf_dir):
+    return od.daily_demand(fx.pos(spark, sf_dir))
+
+
+@query("simulated_stock", sql=with_adapter(RULES_SQL) + "SELECT * FROM stock_fx")
+def simulated_stock(spark, sf_dir):
+    return od.simulated_stock(fx.pos(spark, sf_dir).select("sku").distinct())
+
+
+@query("default_stock", sql=with_adapter() + "SELECT DISTINCT sku, CAST(50 AS BIGINT) AS current_stock FROM pos")
+def default_stock(spark, sf_dir):
+    return od.default_stock(fx.pos(spark, sf_dir).select("sku").distinct())
+
+
+@query("apply_rules", sql=APPLY_SQL + "SELECT * FROM ar")
+def apply_rules(spark, sf_dir):
+    return applied_orders(spark, sf_dir)
+
+
+@query("apply_rules_batch", sql=with_adapter(RULES_SQL, AR_INPUT, constrain_sql("ar_in", with_demand=False))
+       + "SELECT sku, forecast_qty, final_qty AS final_order_qty, explanation AS rule_explanation FROM ar")
+def apply_rules_batch(spark, sf_dir):
+    pos, rules, fc, stock, _ = rule_inputs(spark, sf_dir)
+    return od.apply_rules_batch(fc, stock, rules)
+
+
+EDITS_SQL = """
+edits AS (
+  SELECT sku, 'perishability_days' AS field, 5.0 AS value FROM rules_d WHERE category = 'FOODS'
+  UNION ALL SELECT sku, 'max_shelf_capacity', max_shelf_capacity + 100.0 FROM rules_d WHERE category = 'HOBBIES'
+  UNION ALL SELECT sku || '_GONE', 'unit_cost', 9.99 FROM rules_d WHERE category = 'HOUSEHOLD'),
+ed AS (SELECT sku, max(CASE WHEN field = 'max_shelf_capacity' THEN value END) AS e_cap,
+              max(CASE WHEN field = 'unit_cost' THEN value END) AS e_cost,
+              max(CASE WHEN field = 'perishability_days' THEN value END) AS e_days
+       FROM edits GROUP BY sku)
+"""
+
+
+def rule_edits(rules):
+    """Edits derived from the rules themselves; the HOUSEHOLD ones name unknown SKUs."""
+    c = F.col("category")
+    return (rules.where(c == "FOODS").select("sku", F.lit("perishability_days").alias("field"),
+                                              F.lit(5.0).alias("value"))
+            .unionByName(rules.where(c == "HOBBIES").select(
+                "sku", F.lit("max_shelf_capacity").alias("field"),
+                (F.col("max_shelf_capacity") + 100.0).alias("value")))
+            .unionByName(rules.where(c == "HOUSEHOLD").select(
+                F.concat("sku", F.lit("_GONE")).alias("sku"), F.lit("unit_cost").alias("field"),
+                F.lit(9.99).alias("value"))))
+
+
+@query("update_rules", sql=with_adapter(RULES_SQL, EDITS_SQL) + fin("""
+SELECT r.sku, r.category, COALESCE(CAST(e.e_cap AS BIGINT), r.max_shelf_capacity) AS max_shelf_capacity,
+       COALESCE(e.e_cost, r.unit_cost) AS unit_cost, r.max_budget_per_order,
+       COALESCE(CAST(e.e_days AS BIGINT), r.perishability_days) AS perishability_days, r.safety_stock_days
+FROM rules_d r LEFT JOIN ed e ON e.sku = r.sku""",
+    ints=["max_shelf_capacity", "max_budget_per_order", "perishability_days", "safety_stock_days"],
+    dbls=["unit_cost"], keep=["sku", "category"]))
+def update_rules(spark, sf_dir):
+    rules = od.derive_rules(fx.pos(spark, sf_dir))
+    return od.update_rules(rules, rule_edits(rules))
+
+
+ORDER_STATUS_SQL = """
+st AS (SELECT *, CASE WHEN explanation LIKE '%Capped%' THEN 'capped' WHEN final_qty = 0 THEN 'sufficient_stock'
+                      ELSE 'ok' END AS status FROM ar)
+"""
+
+
+@query("order_summary", sql=APPLY_SQL + "," + ORDER_STATUS_SQL + fin("""
+SELECT sum(forecast_qty) AS total_forecast, sum(final_qty) AS total_order,
+       count(*) FILTER (WHERE status = 'capped') AS capped_skus,
+       count(*) FILTER (WHERE status = 'sufficient_stock') AS zero_skus, count(*) AS n_skus,
+       CASE WHEN sum(forecast_qty) > 0 THEN (sum(forecast_qty) - sum(final_qty)) / sum(forecast_qty) * 100
+            ELSE 0.0 END AS reduction_pct
+FROM st""", ints=["total_forecast", "total_order", "capped_skus", "zero_skus", "n_skus"], dbls=["reduction_pct"]))
+def order_summary(spark, sf_dir):
+    return od.order_summary(applied_orders(spark, sf_dir))
+
+
+@query("order_listing", sql=APPLY_SQL + "," + ORDER_STATUS_SQL + """
+SELECT CAST(row_number() OVER (ORDER BY r, sku) AS BIGINT) AS listing_rank, sku, status, forecast_qty, final_qty
+FROM (SELECT *, CASE status WHEN 'capped' THEN 0 WHEN 'ok' THEN 1 ELSE 2 END AS r FROM st)
+ORDER BY r, sku LIMIT 30""")
+def order_listing(spark, sf_dir):
+    return od.order_listing(applied_orders(spark, sf_dir), 30)
+
+
+ECON_SQL = f"""
+econ AS (
+  SELECT sku, unit_cost, ROUND(unit_cost * (1.2::DOUBLE + {U.format(h('sku', '#markup'))} * 1.3::DOUBLE), 2)
+         AS selling_price, CAST(10 + {h('sku')} % 90 AS BIGINT) AS current_stock
+  FROM (SELECT sku, ROUND(5.0::DOUBLE + {U.format(h('sku', '#cost'))} * 45.0::DOUBLE, 2) AS unit_cost
+        FROM (SELECT DISTINCT sku FROM pos)))
+"""
+
+
+@query("sku_economics", sql=with_adapter(ECON_SQL) + fin("SELECT * FROM econ", ints=["current_stock"],
+                                                         dbls=["unit_cost", "selling_price"], keep=["sku"]))
+def sku_economics(spark, sf_dir):
+    return od.sku_economics(fx.pos(spark, sf_dir).select("sku").distinct())
+
+
+@query("order_margins", sql=APPLY_SQL + "," + ECON_SQL + fin("""
+SELECT a.sku, a.final_qty, e.unit_cost, e.selling_price, e.selling_price - e.unit_cost AS margin,
+       a.final_qty * e.unit_cost AS line_cost
+FROM ar a LEFT JOIN econ e ON e.sku = a.sku""", ints=["final_qty"],
+    dbls=["unit_cost", "selling_price", "margin", "line_cost"], keep=["sku"]))
+def order_margins(spark, sf_dir):
+    orders = applied_orders(spark, sf_dir)
+    return od.margins(orders, od.sku_economics(fx.pos(spark, sf_dir).select("sku").distinct()))
+
+
+@query("rules_roundtrip", sql=with_adapter(RULES_SQL) + fin("""
+SELECT sku, COALESCE(max_shelf_capacity, 100) AS max_shelf_capacity, COALESCE(unit_cost, 1.0) AS unit_cost,
+       COALESCE(max_budget_per_order, 500) AS max_budget_per_order,
+       COALESCE(CASE WHEN category = 'HOBBIES' THEN NULL ELSE perishability_days END, 30) AS perishability_days,
+       COALESCE(safety_stock_days, 2) AS safety_stock_days
+FROM rules_d""", ints=["max_shelf_capacity", "max_budget_per_order", "perishability_days", "safety_stock_days"],
+    dbls=["unit_cost"], keep=["sku"]))
+def rules_roundtrip(spark, sf_dir):
+    """S12 then S11: write the rules as JSON lines (HOBBIES without a perishability
+    field), read them back with per-field defaults."""
+    rules = od.derive_rules(fx.pos(spark, sf_dir)).withColumn(
+        "perishability_days", F.when(F.col("category") != "HOBBIES", F.col("perishability_days")))
+    path = store.unique_path(spark, "rules_json")
+    store.save_rules(rules, path)
+    return store.load_rules(spark, path)
+
+
+BUDGET_SQL = """
+b_in AS (
+  SELECT a.sku, a.forecast_qty, a.final_qty AS qty, a.explanation,
+         CAST(ROUND(e.unit_cost * 100) AS BIGINT) AS cost_cents,
+         CAST(ROUND(e.selling_price * 100) AS BIGINT) - CAST(ROUND(e.unit_cost * 100) AS BIGINT) AS margin_cents
+  FROM ar a JOIN econ e ON e.sku = a.sku),
+b_rows AS (SELECT row_number() OVER (ORDER BY margin_cents DESC, sku) AS i, * FROM b_in),
+b_total AS (SELECT CAST(sum(qty * cost_cents) AS BIGINT) * 2 // 5 AS b FROM b_rows),
+rec AS (
+  SELECT CAST(0 AS BIGINT) AS i, (SELECT b FROM b_total) AS rem, CAST(NULL AS VARCHAR) AS sku,
+         CAST(NULL AS BIGINT) AS fq
+  UNION ALL
+  SELECT r.i, rec.rem - LEAST(r.qty, rec.rem // r.cost_cents) * r.cost_cents, r.sku,
+         LEAST(r.qty, rec.rem // r.cost_cents)
+  FROM rec JOIN b_rows r ON r.i = rec.i + 1),
+alloc AS (
+  SELECT r.sku, r.forecast_qty, r.margin_cents / 100.0 AS margin, r.cost_cents / 100.0 AS unit_cost,
+         r.qty AS base_order_qty, c.fq AS final_order_qty, c.fq * r.cost_cents / 100.0 AS total_sku_cost,
+         CASE WHEN c.fq < r.qty THEN r.explanation || ' |  Reduced from ' || r.qty || ' to ' || c.fq
+              || ' due to Budget Limit.' ELSE r.explanation END AS rule_applied,
+         (SELECT b FROM b_total) / 100.0 AS budget
+  FROM b_rows r JOIN rec c ON c.i = r.i)
+"""
+
+
+def budget_allocation(spark, sf_dir):
+    orders = applied_orders(spark, sf_dir)
+    econ = od.sku_economics(fx.pos(spark, sf_dir).select("sku").distinct())
+    return bg.global_budget(orders, econ)
+
+
+@query("global_budget", sql=APPLY_SQL + "," + ECON_SQL + "," + BUDGET_SQL + fin(
+    "SELECT * FROM alloc", ints=["forecast_qty", "base_order_qty", "final_order_qty"],
+    dbls=["margin", "unit_cost", "total_sku_cost", "budget"], keep=["sku", "rule_applied"]))
+def global_budget(spark, sf_dir):
+    return budget_allocation(spark, sf_dir)
+
+
+@query("budget_summary", sql=APPLY_SQL + "," + ECON_SQL + "," + BUDGET_SQL + fin("""
+SELECT sum(forecast_qty) AS total_forecast, sum(final_order_qty) AS total_order,
+       sum(CAST(ROUND(total_sku_cost * 100) AS BIGINT)) / 100.0 AS total_spent,
+       (max(CAST(ROUND(budget * 100) AS BIGINT)) - sum(CAST(ROUND(total_sku_cost * 100) AS BIGINT))) / 100.0
+         AS remaining_budget,
+       CASE WHEN sum(forecast_qty) > 0 THEN (sum(forecast_qty) - sum(final_order_qty)) / sum(forecast_qty) * 100
+            ELSE 0.0 END AS reduction_pct
+FROM alloc""", ints=["total_forecast", "total_order"], dbls=["total_spent", "remaining_budget", "reduction_pct"]))
+def budget_summary(spark, sf_dir):
+    return bg.budget_summary(budget_allocation(spark, sf_dir))
