@@ -127,7 +127,7 @@ def fin(body: str, ints=(), dbls=(), keep=(), digits: int = 4) -> str:
     Integral columns become BIGINT, floating columns ``round(x, digits) + 0.0``.
     """
     cols = ([f"CAST({c} AS BIGINT) AS {c}" for c in ints]
-            + [f"ROUND(CAST({c} AS DOUBLE), {digits}) + 0.0 AS {c}" for c in dbls]
+            + [f"ROUND(CAST({c} AS DOUBLE) + 1e-9, {digits}) + 0.0 AS {c}" for c in dbls]
             + list(keep))
     return f"SELECT {', '.join(cols)} FROM ({body}) q"
 

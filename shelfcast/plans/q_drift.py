@@ -1 +1,173 @@
-"""Registered queries."""
+"""Registered queries: drift detection."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfcast.functions.ks import ALPHA, ks_pvalue_udf
+from shelfcast.operators import drift as dr
+from shelfcast.plans.oracle_base import fin, h, with_adapter
+from shelfcast.plans.registry import query
+from shelfcast.sources import fixture as fx
+
+RUN = "PARTITION BY sku ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+RES_SQL = f"""
+res_base AS (
+  SELECT sku, date, units_sold,
+         COALESCE(avg(units_sold) OVER (PARTITION BY sku ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 0)
+           AS predicted,
+         row_number() OVER (PARTITION BY sku ORDER BY date DESC) AS rd FROM pos),
+res AS (
+  SELECT sku, date, CAST(count(*) OVER (PARTITION BY sku) - rd + 1 AS BIGINT) AS n,
+         CAST(units_sold + CASE WHEN {h('sku')} % 4 = 0 AND rd <= 40 THEN 60 ELSE 0 END AS DOUBLE) AS actual,
+         predicted,
+         CAST(units_sold + CASE WHEN {h('sku')} % 4 = 0 AND rd <= 40 THEN 60 ELSE 0 END AS DOUBLE) - predicted
+           AS residual
+  FROM res_base WHERE rd <= 100),
+be AS (
+  SELECT *, abs(residual) AS abs_residual, avg(abs(residual)) OVER ({RUN}) AS running_mae FROM res),
+be2 AS (SELECT *, CAST(abs_residual > running_mae AS INTEGER) AS binary_error FROM be),
+dd AS (SELECT *, avg(binary_error) OVER ({RUN}) AS p FROM be2),
+dd2 AS (SELECT *, sqrt(p * (1 - p) / n) AS s FROM dd),
+dd3 AS (
+  SELECT *, arg_min(CASE WHEN n >= 30 THEN {{'bp': p, 'bs': s}} END,
+                    CASE WHEN n >= 30 THEN {{'k': p + s, 'kn': n}} END) OVER ({RUN}) AS best FROM dd2),
+ddm AS (
+  SELECT *, CAST(n >= 30 AND p + s > best.bp + 3 * best.bs AS INTEGER) AS ddm_drift,
+         CAST(n >= 30 AND NOT (p + s > best.bp + 3 * best.bs) AND p + s > best.bp + 2 * best.bs AS INTEGER)
+           AS ddm_warning FROM dd3),
+sv AS (
+  SELECT *, sum(abs(residual)) OVER (PARTITION BY sku ORDER BY n ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rs,
+         count(*) OVER (PARTITION BY sku ORDER BY n ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rc,
+         sum(abs(residual)) OVER ({RUN}) AS cs,
+         sum(CASE WHEN n <= 7 THEN abs(residual) END) OVER (PARTITION BY sku) AS f7 FROM ddm),
+sv2 AS (SELECT *, CASE WHEN n > 14 THEN (cs - rs) / (n - 7) ELSE f7 / LEAST(n, 7) END AS base0 FROM sv),
+sv3 AS (SELECT *, CASE WHEN base0 = 0 THEN rs / rc ELSE base0 END AS base FROM sv2),
+sev AS (
+  SELECT *, CASE WHEN n < 10 THEN 0.5 ELSE
+           ROUND(LEAST(1.0, GREATEST(0.0, ((CASE WHEN base <> 0 THEN (rs / rc) / base ELSE 1.0 END) - 1) / 2)), 2)
+         END AS severity_score, rs / rc AS recent_mae FROM sv3),
+ds0 AS (
+  SELECT sku, min(CASE WHEN ddm_drift = 1 THEN n END) AS first_drift_n,
+         arg_min(severity_score, CASE WHEN ddm_drift = 1 THEN n END) AS sev_first,
+         arg_max(ddm_warning, n) AS warning_last,
+         avg(residual) AS mean_residual, stddev_pop(residual) AS std_residual FROM sev GROUP BY sku),
+ds AS (
+  SELECT sku, first_drift_n IS NOT NULL AS drift, first_drift_n,
+         CASE WHEN first_drift_n IS NOT NULL THEN sev_first ELSE 0.0 END AS severity,
+         CASE WHEN first_drift_n IS NOT NULL THEN 'DDM' ELSE '—' END AS detectors,
+         CASE WHEN first_drift_n IS NOT NULL AND sev_first >= 0.5 THEN 'HIGH'
+              WHEN first_drift_n IS NOT NULL THEN 'MEDIUM' WHEN warning_last = 1 THEN 'LOW' ELSE 'NONE' END AS label,
+         mean_residual, std_residual FROM ds0)
+"""
+DRIFT = with_adapter(RES_SQL)
+
+
+def residuals_df(spark, sf_dir):
+    return dr.residual_series(fx.pos(spark, sf_dir))
+
+
+@query("residuals", sql=DRIFT + fin("SELECT sku, date, n, actual, predicted, residual FROM res", ints=["n"],
+                                    dbls=["actual", "predicted", "residual"], keep=["sku", "date"]))
+def residuals(spark, sf_dir):
+    return residuals_df(spark, sf_dir)
+
+
+@query("binary_errors", sql=DRIFT + fin("SELECT sku, n, abs_residual, running_mae, binary_error FROM be2",
+                                        ints=["n", "binary_error"], dbls=["abs_residual", "running_mae"],
+                                        keep=["sku"]))
+def binary_errors(spark, sf_dir):
+    return dr.binary_errors(residuals_df(spark, sf_dir)).select("sku", "n", "abs_residual", "running_mae",
+                                                                "binary_error")
+
+
+@query("ddm_first_detection", sql=DRIFT + """
+SELECT sku, CAST(min(n) AS BIGINT) AS first_n FROM ddm WHERE ddm_drift = 1 GROUP BY sku""")
+def ddm_first_detection(spark, sf_dir):
+    d = dr.ddm_no_reset(residuals_df(spark, sf_dir))
+    return d.where(F.col("ddm_drift") == 1).groupBy("sku").agg(F.min("n").alias("first_n"))
+
+
+@query("ddm_levels", sql=DRIFT + fin("""
+SELECT sku, n, p, s, best.bp AS p_min, best.bs AS s_min, ddm_drift, ddm_warning FROM ddm""",
+    ints=["n", "ddm_drift", "ddm_warning"], dbls=["p", "s", "p_min", "s_min"], keep=["sku"]))
+def ddm_levels(spark, sf_dir):
+    d = dr.ddm_no_reset(residuals_df(spark, sf_dir))
+    return d.select("sku", "n", "p", "s", F.col("best.bp").alias("p_min"), F.col("best.bs").alias("s_min"),
+                    "ddm_drift", "ddm_warning")
+
+
+@query("severity_scores", sql=DRIFT + fin("SELECT sku, n, severity_score, recent_mae FROM sev", ints=["n"],
+                                          dbls=["severity_score", "recent_mae"], keep=["sku"]))
+def severity_scores(spark, sf_dir):
+    return dr.with_severity(residuals_df(spark, sf_dir)).select("sku", "n", "severity_score", "recent_mae")
+
+
+@query("residual_stats", sql=DRIFT + fin("""
+SELECT sku, avg(residual) AS mean_residual, stddev_pop(residual) AS std_residual, avg(abs(residual)) AS mae,
+       count(*) AS n_obs FROM res GROUP BY sku""", ints=["n_obs"], dbls=["mean_residual", "std_residual", "mae"],
+    keep=["sku"]))
+def residual_stats(spark, sf_dir):
+    return dr.residual_stats(residuals_df(spark, sf_dir))
+
+
+@query("drift_summary", sql=DRIFT + fin("SELECT * FROM ds", ints=["first_drift_n"],
+                                        dbls=["severity", "mean_residual", "std_residual"],
+                                        keep=["sku", "drift", "detectors", "label"]))
+def drift_summary(spark, sf_dir):
+    return dr.drift_summary(residuals_df(spark, sf_dir))
+
+
+@query("drift_counts", sql=DRIFT + fin("""
+SELECT count(*) FILTER (WHERE drift) AS drift_skus, count(*) FILTER (WHERE label = 'LOW') AS warning_skus,
+       count(*) FILTER (WHERE label = 'NONE') AS stable_skus, count(*) AS total_skus,
+       avg(mean_residual) AS avg_mean_residual, avg(std_residual) AS avg_std_residual FROM ds""",
+    ints=["drift_skus", "warning_skus", "stable_skus", "total_skus"],
+    dbls=["avg_mean_residual", "avg_std_residual"]))
+def drift_counts(spark, sf_dir):
+    return dr.drift_counts(dr.drift_summary(residuals_df(spark, sf_dir)))
+
+
+@query("drift_listing", sql=DRIFT + fin("""
+SELECT row_number() OVER (ORDER BY r, sku) AS listing_rank, sku, label, severity, mean_residual, std_residual
+FROM (SELECT *, CASE WHEN drift THEN 0 WHEN label = 'LOW' THEN 1 ELSE 2 END AS r FROM ds)
+ORDER BY r, sku LIMIT 30""", ints=["listing_rank"], dbls=["severity", "mean_residual", "std_residual"],
+    keep=["sku", "label"]))
+def drift_listing(spark, sf_dir):
+    return dr.drift_listing(dr.drift_summary(residuals_df(spark, sf_dir)), 30)
+
+
+KS_SQL = """,
+snap AS (
+  SELECT sku, 'actual' AS feature, CASE WHEN n <= 50 THEN 'before' ELSE 'after' END AS side, actual AS value FROM res
+  UNION ALL
+  SELECT sku, 'predicted', CASE WHEN n <= 50 THEN 'before' ELSE 'after' END, predicted FROM res),
+kc AS (SELECT sku, feature, value, count(*) FILTER (WHERE side = 'before') AS c1,
+              count(*) FILTER (WHERE side = 'after') AS c2 FROM snap GROUP BY sku, feature, value),
+kd AS (
+  SELECT sku, feature, sum(c1) OVER g AS n1, sum(c2) OVER g AS n2,
+         abs(sum(c1) OVER r / sum(c1) OVER g - sum(c2) OVER r / sum(c2) OVER g) AS d
+  FROM kc WINDOW g AS (PARTITION BY sku, feature),
+                 r AS (PARTITION BY sku, feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+"""
+
+
+@query("ks_statistic", sql=DRIFT + KS_SQL + fin("""
+SELECT sku, feature, min(n1) AS n_before, min(n2) AS n_after, max(d) AS ks_statistic FROM kd GROUP BY sku, feature""",
+    ints=["n_before", "n_after"], dbls=["ks_statistic"], keep=["sku", "feature"]))
+def ks_statistic(spark, sf_dir):
+    return dr.ks_statistic(dr.feature_snapshots(residuals_df(spark, sf_dir)))
+
+
+def ks_tests(spark, sf_dir):
+    k = dr.ks_statistic(dr.feature_snapshots(residuals_df(spark, sf_dir)))
+    p = ks_pvalue_udf(F.col("ks_statistic"), F.col("n_before"), F.col("n_after"))
+    return (k.withColumn("p_value", F.round(p, 4))
+            .withColumn("drift_detected", F.col("p_value") < ALPHA)
+            .withColumn("ks_statistic", F.round("ks_statistic", 4)))
+
+
+@query("ks_test")
+def ks_test(spark, sf_dir):
+    """D10 with exact p-values (pandas UDF); rows-only check."""
+    return ks_tests(spark, sf_dir)
