@@ -31,9 +31,16 @@ INT_FEATS = ["units_sold", "promo_flag", "day_of_week", "day_of_month", "month",
 DBL_FEATS = ["rolling_mean_7", "rolling_std_7", "rolling_mean_14", "rolling_std_14"]
 
 
-def features_df(spark, sf_dir):
-    """The materialisable feature table (pos + F1-F10)."""
+def features_df(spark, sf_dir, for_training: bool = False):
+    """The materialisable feature table (pos + F1-F10).
+
+    ``for_training`` fixes the sku partitioning first (see
+    ``forecast.partition_for_training``) for the grouped model fits downstream.
+    """
     pos = fx.pos(spark, sf_dir)
+    if for_training:
+        from shelfcast.operators.forecast import partition_for_training
+        pos = partition_for_training(pos)
     hol = holiday_dimension(fx.calendar_raw(spark, sf_dir))
     return fe.prepare_features(pos, hol)
 

@@ -1 +1,168 @@
-"""Registered queries."""
+"""Registered queries: model training, scoring and retraining (M1-M20), drift replay.
+
+Trained models have no SQL twin (the learner runs in Python workers), so these
+queries carry no oracle and are checked by row counts, invariants and tests.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfcast.operators import drift as dr
+from shelfcast.operators import drift_replay as rp
+from shelfcast.operators import features as fe
+from shelfcast.operators import forecast as fc
+from shelfcast.operators import history as hi
+from shelfcast.plans import q_drift
+from shelfcast.plans.q_features import features_df
+from shelfcast.plans.oracle_base import fin, with_adapter
+from shelfcast.plans.q_explore import BASE_SQL
+from shelfcast.plans.registry import query
+from shelfcast.sources import store
+
+METRIC_COLS = ["sku", "n_rows", "train_samples", "val_samples", "best_iteration", "mae", "rmse", "r2", "mape",
+               "error", "version"]
+
+
+def trained(spark, sf_dir):
+    feats = features_df(spark, sf_dir, for_training=True)
+    return feats, fc.train_models(feats, fe.FEATURE_COLUMNS)
+
+
+@query("train_metrics")
+def train_metrics(spark, sf_dir):
+    """M1/M4/M6/M7/M8: one row per SKU with >= 50 rows."""
+    _, models = trained(spark, sf_dir)
+    return models.select(*METRIC_COLS)
+
+
+@query("train_predict")
+def train_predict(spark, sf_dir):
+    """In-sample and hold-out predictions for every trained SKU."""
+    feats, models = trained(spark, sf_dir)
+    return fc.score(feats, models)
+
+
+@query("predict_tail")
+def predict_tail(spark, sf_dir):
+    """The last 7 observed rows of each SKU scored, with the model version."""
+    feats, models = trained(spark, sf_dir)
+    return fc.predict_tail(feats, models, 7)
+
+
+@query("feature_importance")
+def feature_importance(spark, sf_dir):
+    """M13."""
+    _, models = trained(spark, sf_dir)
+    return fc.feature_importance(models)
+
+
+@query("cv_fold_metrics")
+def cv_fold_metrics(spark, sf_dir):
+    """M5: three expanding-window folds per SKU, each scored."""
+    return fc.cv_fold_metrics(features_df(spark, sf_dir, for_training=True), fe.FEATURE_COLUMNS)
+
+
+@query("model_store")
+def model_store(spark, sf_dir):
+    """Write the model table, read it back and score the tail from the stored models."""
+    feats, models = trained(spark, sf_dir)
+    path = store.unique_path(spark, "models")
+    store.write_table(models, path)
+    loaded = spark.read.parquet(path)
+    return fc.predict_tail(feats, loaded, 7)
+
+
+@query("retrain_drifted")
+def retrain_drifted(spark, sf_dir):
+    """Retrain the SKUs flagged by the drift summary on the merged history;
+    versions continue from the first training run."""
+    feats, models = trained(spark, sf_dir)
+    drifted = dr.drift_summary(q_drift.residuals_df(spark, sf_dir)).where("drift").select("sku")
+    new = fc.retrain_subset(feats, drifted, fe.FEATURE_COLUMNS, prior=models)
+    return new.select(*METRIC_COLS)
+
+
+@query("model_drift_check")
+def model_drift_check(spark, sf_dir):
+    """D1 with the trained model: last 100 (actual, predicted) pairs per SKU replayed
+    through ADWIN + DDM, then the per-SKU verdict (D11/D13/D14)."""
+    feats, models = trained(spark, sf_dir)
+    s = fc.score(feats, models)
+    res = rp_last100(s)
+    rep = rp.replay(res)
+    return rp.drift_check(rep, res)
+
+
+def rp_last100(scored):
+    from pyspark.sql import Window
+    w = Window.partitionBy("sku").orderBy(F.col("date").desc())
+    t = scored.withColumn("_rd", F.row_number().over(w)).where(F.col("_rd") <= dr.MONITOR_ROWS)
+    cnt = F.count(F.lit(1)).over(Window.partitionBy("sku"))
+    return t.select("sku", "date", (cnt - F.col("_rd") + 1).cast("bigint").alias("n"), "actual", "predicted",
+                    (F.col("actual") - F.col("predicted")).alias("residual"))
+
+
+@query("drift_replay")
+def drift_replay(spark, sf_dir):
+    """Per-observation verdicts of the full detectors (with resets)."""
+    return rp.replay(q_drift.residuals_df(spark, sf_dir))
+
+
+@query("drift_events")
+def drift_events(spark, sf_dir):
+    """D8."""
+    return rp.drift_events(rp.replay(q_drift.residuals_df(spark, sf_dir)))
+
+
+@query("drift_check")
+def drift_check(spark, sf_dir):
+    """D11-D14 with input drift from the KS tests."""
+    res = q_drift.residuals_df(spark, sf_dir)
+    return rp.drift_check(rp.replay(res), res, q_drift.ks_tests(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- history
+HIST_SQL = BASE_SQL.replace("bm AS (", "bm_unused AS (") + """,
+runs AS (
+  SELECT sku, v AS version, avg(abs(actual - predicted)) AS mae, sqrt(avg((actual - predicted) ^ 2)) AS rmse,
+         count(*) AS training_samples
+  FROM (SELECT s.*, v.v FROM scored s JOIN (VALUES (1), (2), (3)) v(v)
+          ON s.rn <= CAST(floor(s.n * v.v / 3.0) AS BIGINT))
+  WHERE n >= 50 GROUP BY sku, v)
+"""
+
+
+def history_runs(spark, sf_dir):
+    from shelfcast.plans.q_explore import baseline_scored
+    return hi.expanding_runs(baseline_scored(spark, sf_dir), runs=3)
+
+
+@query("sku_history", sql=with_adapter(HIST_SQL) + fin(
+    "SELECT sku, version, mae, rmse, training_samples FROM runs", ints=["version", "training_samples"],
+    dbls=["mae", "rmse"], keep=["sku"]))
+def sku_history(spark, sf_dir):
+    """Metric snapshots of three successive runs per SKU (versions 1..3)."""
+    return history_runs(spark, sf_dir).select("sku", "version", "mae", "rmse", "training_samples")
+
+
+@query("improvement_report", sql=with_adapter(HIST_SQL) + fin("""
+SELECT sku, CAST(count(*) AS BIGINT) AS versions_trained, arg_min(mae, version) AS initial_mae,
+       arg_max(mae, version) AS current_mae,
+       ROUND(CASE WHEN arg_min(mae, version) <> 0
+             THEN (arg_min(mae, version) - arg_max(mae, version)) / arg_min(mae, version) * 100 ELSE 0 END, 2)
+         AS mae_improvement_pct,
+       count(*) >= 2 AND CASE WHEN arg_min(mae, version) <> 0
+             THEN (arg_min(mae, version) - arg_max(mae, version)) / arg_min(mae, version) * 100 ELSE 0 END > 0
+         AS improved,
+       CASE WHEN count(*) < 2 THEN 'Insufficient history'
+            WHEN CASE WHEN arg_min(mae, version) <> 0
+                 THEN (arg_min(mae, version) - arg_max(mae, version)) / arg_min(mae, version) * 100 ELSE 0 END > 0
+            THEN printf('MAE improved by %.1f%%', (arg_min(mae, version) - arg_max(mae, version))
+                        / arg_min(mae, version) * 100)
+            ELSE 'Model needs more data' END AS message
+FROM runs GROUP BY sku""", ints=["versions_trained"], dbls=["initial_mae", "current_mae", "mae_improvement_pct"],
+    keep=["sku", "improved", "message"]))
+def improvement_report(spark, sf_dir):
+    """M18/M20."""
+    return hi.improvement_report(history_runs(spark, sf_dir))

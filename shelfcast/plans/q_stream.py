@@ -1 +1,25 @@
-"""Registered queries."""
+"""Registered queries: streaming drift monitor (T1-T3) and its batch twin."""
+
+from __future__ import annotations
+
+from shelfcast.sources import store
+from shelfcast.sources.tables import read_table
+from shelfcast.streaming import drift_stream as ds
+from shelfcast.plans.registry import query
+
+
+@query("stream_drift")
+def stream_drift(spark, sf_dir):
+    """T1/T2 on the ``events`` table: written as the stream's source files, then
+    consumed by the stateful monitor with an ``availableNow`` trigger."""
+    obs = ds.events_as_observations(read_table(spark, sf_dir, "events"))
+    src = store.unique_path(spark, "events_stream_src")
+    obs.repartition(8, "sku").write.mode("overwrite").parquet(src)
+    return ds.run_to_table(spark, src, obs.schema, store.unique_path(spark, "stream_out"),
+                           store.unique_path(spark, "stream_ckpt"))
+
+
+@query("events_drift_batch")
+def events_drift_batch(spark, sf_dir):
+    """Batch twin of ``stream_drift`` (the tests check the two agree)."""
+    return ds.batch_monitor(ds.events_as_observations(read_table(spark, sf_dir, "events")))
