@@ -150,14 +150,16 @@ def ks_statistic(snap: DataFrame) -> DataFrame:
     """D10 statistic: snap has (sku, feature, side in {'before','after'}, value).
 
     D = max |F_before(v) - F_after(v)| over the pooled values, from running
-    counts over the distinct values of each (sku, feature) group.
+    counts over the distinct values of each (sku, feature) group; NULL when a
+    side is empty (the test then reports no drift with p = 1).
     """
     c = snap.groupBy("sku", "feature", "value").agg(
         F.count_if(F.col("side") == "before").alias("_c1"), F.count_if(F.col("side") == "after").alias("_c2"))
     g = Window.partitionBy("sku", "feature")
     run = g.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     c = (c.withColumn("_n1", F.sum("_c1").over(g)).withColumn("_n2", F.sum("_c2").over(g))
-         .withColumn("_d", F.abs(F.sum("_c1").over(run) / F.col("_n1") - F.sum("_c2").over(run) / F.col("_n2"))))
+         .withColumn("_d", F.abs(F.try_divide(F.sum("_c1").over(run), F.col("_n1"))
+                                 - F.try_divide(F.sum("_c2").over(run), F.col("_n2")))))
     return c.groupBy("sku", "feature").agg(F.min("_n1").alias("n_before"), F.min("_n2").alias("n_after"),
                                            F.max("_d").alias("ks_statistic"))
 

@@ -146,7 +146,7 @@ kc AS (SELECT sku, feature, value, count(*) FILTER (WHERE side = 'before') AS c1
               count(*) FILTER (WHERE side = 'after') AS c2 FROM snap GROUP BY sku, feature, value),
 kd AS (
   SELECT sku, feature, sum(c1) OVER g AS n1, sum(c2) OVER g AS n2,
-         abs(sum(c1) OVER r / sum(c1) OVER g - sum(c2) OVER r / sum(c2) OVER g) AS d
+         abs(sum(c1) OVER r / NULLIF(sum(c1) OVER g, 0) - sum(c2) OVER r / NULLIF(sum(c2) OVER g, 0)) AS d
   FROM kc WINDOW g AS (PARTITION BY sku, feature),
                  r AS (PARTITION BY sku, feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 """
