@@ -67,7 +67,7 @@ def _sequential_budget(rows, budget):
 def test_global_budget_golden(spark):
     rows = [("A", 900, 3000, 2), ("B", 800, 2500, 3), ("C", 700, 2000, 1), ("D", 600, 500, 10)]
     df = spark.createDataFrame(rows, "sku string, margin_cents long, cost_cents long, qty long")
-    got = {r.sku: r.final_qty for r in bg.allocate(df, 10000).collect()}
+    got = {r.sku: r.final_qty for r in bg.allocate(df, 10000, local_limit=0).collect()}
     assert got == {"A": 2, "B": 1, "C": 0, "D": 3}
 
 
@@ -79,8 +79,10 @@ def test_global_budget_matches_sequential(spark):
                 for i in range(k)]
         budget = int(sum(r[2] * r[3] for r in rows) * rng.uniform(0.1, 0.9))
         df = spark.createDataFrame(rows, "sku string, margin_cents long, cost_cents long, qty long")
-        got = {r.sku: r.final_qty for r in bg.allocate(df, budget).collect()}
-        assert got == _sequential_budget(rows, budget)
+        want = _sequential_budget(rows, budget)
+        assert {r.sku: r.final_qty for r in bg.allocate(df, budget, local_limit=0).collect()} == want
+        assert {r.sku: r.final_qty for r in bg.allocate(df, budget, local_limit=10).collect()} == want
+        assert {r.sku: r.final_qty for r in bg.allocate(df, budget).collect()} == want
 
 
 def test_rolling_and_lags_golden(spark):
