@@ -166,3 +166,17 @@ FROM runs GROUP BY sku""", ints=["versions_trained"], dbls=["initial_mae", "curr
 def improvement_report(spark, sf_dir):
     """M18/M20."""
     return hi.improvement_report(history_runs(spark, sf_dir))
+
+
+@query("history_store", sql=with_adapter(HIST_SQL) + fin(
+    "SELECT sku, version, mae, rmse, training_samples FROM runs", ints=["version", "training_samples"],
+    dbls=["mae", "rmse"], keep=["sku"]))
+def history_store(spark, sf_dir):
+    """Append each run's snapshot to a history table; versions continue per SKU."""
+    runs = history_runs(spark, sf_dir)
+    path = store.unique_path(spark, "metric_history")
+    out = None
+    for v in (1, 2, 3):
+        batch = runs.where(F.col("version") == v).drop("version").withColumn("run_order", F.lit(v))
+        out = store.append_history(spark, path, batch)
+    return out.select("sku", "version", "mae", "rmse", "training_samples")

@@ -220,3 +220,32 @@ def incremental_merge(spark, sf_dir):
     new = (pos.where(F.col("date") >= F.lit("1999-07-01").cast("date"))
            .withColumn("units_sold", F.col("units_sold") + 1))
     return rs.incremental_merge(existing, new).withColumnRenamed("_src", "src")
+
+
+@query("source_profile", sql=with_adapter() + """
+SELECT CAST((SELECT count(*) FROM calendar_raw) AS BIGINT) AS calendar_rows,
+       (SELECT min(date) FROM calendar_raw) AS min_date, (SELECT max(date) FROM calendar_raw) AS max_date,
+       CAST((SELECT count(DISTINCT d) FROM sales_long_window) AS BIGINT) AS day_columns,
+       CAST((SELECT count(*) FROM prices_raw) AS BIGINT) AS price_rows,
+       CAST((SELECT count(DISTINCT item_id) FROM prices_raw) AS BIGINT) AS price_items""")
+def source_profile(spark, sf_dir):
+    """Calendar rows and range, day-column count of the wide sales, price rows and items."""
+    from shelfcast.functions.scalars import combine_scalars
+    cal = fx.calendar_raw(spark, sf_dir).agg(F.count(F.lit(1)).alias("calendar_rows"),
+                                             F.min("date").alias("min_date"), F.max("date").alias("max_date"))
+    wide = fx.sales_wide(spark, sf_dir)
+    _, days = cl.split_columns(wide)
+    pr = fx.prices_raw(fx.sku_day(spark, sf_dir)).agg(F.count(F.lit(1)).alias("price_rows"),
+                                                      F.count_distinct("item_id").alias("price_items"))
+    return combine_scalars(cal.withColumn("day_columns", F.lit(len(days)).cast("bigint")), pr)
+
+
+@query("cleaned_sink", sql=PREP + fin("SELECT * FROM cal_clean", ints=CAL_INTS, keep=CAL_KEEP))
+def cleaned_sink(spark, sf_dir):
+    """Write the cleaned calendar as CSV with a header and read it back with its schema."""
+    from shelfcast.sources import store
+    df = cleaned_calendar(spark, sf_dir)
+    path = store.unique_path(spark, "calendar_cleaned_csv")
+    df.write.mode("overwrite").option("header", True).csv(path)
+    back = spark.read.option("header", True).schema(df.schema).csv(path)
+    return back.fillna("", subset=[c for c in cl.EVENT_COLUMNS if c in back.columns])
