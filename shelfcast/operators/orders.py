@@ -24,12 +24,21 @@ WITHIN_NOTE = "Within all constraints"
 DEFAULT_STOCK = 50
 
 
-def derive_rules(pos: DataFrame) -> DataFrame:
-    """B1: one rule row per SKU from its history (one shuffle on sku, partial agg)."""
+def sku_profile(pos: DataFrame) -> DataFrame:
+    """One aggregate per SKU feeding rules (B1), demand (B3) and the SKU list.
+
+    Deriving all three from this one frame lets Spark reuse a single exchange
+    (ReuseExchange) instead of aggregating the fact table once per consumer.
+    """
     has_cat = "cat_id" in pos.columns
     cat = F.min_by("cat_id", "date") if has_cat else F.lit("UNKNOWN")
-    g = pos.groupBy("sku").agg(F.avg("units_sold").alias("_avg_u"), F.max("units_sold").alias("_max_u"),
-                               F.avg("price").alias("_avg_p"), cat.alias("category"))
+    return pos.groupBy("sku").agg(F.avg("units_sold").alias("_avg_u"), F.max("units_sold").alias("_max_u"),
+                                  F.avg("price").alias("_avg_p"), cat.alias("category"))
+
+
+def derive_rules(pos: DataFrame, profile: DataFrame | None = None) -> DataFrame:
+    """B1: one rule row per SKU from its history (one shuffle on sku, partial agg)."""
+    g = profile if profile is not None else sku_profile(pos)
     c = F.col("category")
     perish = (F.when(c == "FOODS", md5_choice(F.col("sku"), PERISHABILITY_CHOICES["FOODS"]))
               .when(c == "HOUSEHOLD", md5_choice(F.col("sku"), PERISHABILITY_CHOICES["HOUSEHOLD"]))
@@ -69,8 +78,10 @@ def weekly_forecast(pos: DataFrame, recent: int = 14, days: int = 7) -> DataFram
             .agg((F.avg("units_sold") * days).cast("bigint").alias("forecast_qty")))
 
 
-def daily_demand(pos: DataFrame) -> DataFrame:
+def daily_demand(pos: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """Mean daily units over the whole history."""
+    if profile is not None:
+        return profile.select("sku", F.col("_avg_u").alias("daily_demand"))
     return pos.groupBy("sku").agg(F.avg("units_sold").alias("daily_demand"))
 
 

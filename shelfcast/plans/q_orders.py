@@ -74,8 +74,9 @@ APPLY_SQL = with_adapter(RULES_SQL, AR_INPUT, constrain_sql("ar_in"))
 
 def rule_inputs(spark, sf_dir):
     pos = fx.pos(spark, sf_dir)
-    skus = pos.select("sku").distinct()
-    return (pos, od.derive_rules(pos), od.weekly_forecast(pos), od.simulated_stock(skus), od.daily_demand(pos))
+    prof = od.sku_profile(pos)
+    return (pos, od.derive_rules(pos, prof), od.weekly_forecast(pos), od.simulated_stock(prof.select("sku")),
+            od.daily_demand(pos, prof))
 
 
 def applied_orders(spark, sf_dir):
