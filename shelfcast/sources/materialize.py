@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfcast.session import scratch_path
 
 
+NAMESPACE_CONF = "spark.shelfcast.derived.namespace"   # set a fresh value to force a rebuild
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -34,7 +37,8 @@ def input_key(spark: SparkSession, paths: list[str]) -> str:
 
 def materialized(spark: SparkSession, name: str, inputs: list[str], build, partition_by=()) -> DataFrame:
     """Read ``name`` for these inputs if it was written before, else build and write it."""
-    path = scratch_path(spark, os.path.join("derived", input_key(spark, inputs), name))
+    ns = spark.conf.get(NAMESPACE_CONF, "default")
+    path = scratch_path(spark, os.path.join("derived", ns, input_key(spark, inputs), name))
     p, fs = _fs(spark, path)
     if not fs.exists(jvm_path_success(spark, path)):
         w = build().write.mode("overwrite")
