@@ -180,3 +180,33 @@ def history_store(spark, sf_dir):
         batch = runs.where(F.col("version") == v).drop("version").withColumn("run_order", F.lit(v))
         out = store.append_history(spark, path, batch)
     return out.select("sku", "version", "mae", "rmse", "training_samples")
+
+
+DDM_REC_SQL = """,
+ddm_in AS (SELECT sku, n, binary_error AS e FROM be2),
+rec AS (
+  SELECT sku, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS k, 0.0::DOUBLE AS p, 0.0::DOUBLE AS s,
+         'inf'::DOUBLE AS pmin, 'inf'::DOUBLE AS smin, false AS drift, false AS warn
+  FROM (SELECT DISTINCT sku FROM ddm_in)
+  UNION ALL
+  SELECT sku, n, CASE WHEN drift THEN 0 ELSE k1 END, CASE WHEN drift THEN 0.0 ELSE p1 END,
+         CASE WHEN drift THEN 0.0 ELSE s1 END, CASE WHEN drift THEN 'inf'::DOUBLE ELSE pmin2 END,
+         CASE WHEN drift THEN 'inf'::DOUBLE ELSE smin2 END, drift,
+         NOT drift AND k1 >= 30 AND p1 + s1 > pmin2 + 2 * smin2
+  FROM (
+    SELECT *, k1 >= 30 AND p1 + s1 > pmin2 + 3 * smin2 AS drift FROM (
+      SELECT *, CASE WHEN k1 >= 30 AND p1 + s1 < pmin + smin THEN p1 ELSE pmin END AS pmin2,
+                CASE WHEN k1 >= 30 AND p1 + s1 < pmin + smin THEN s1 ELSE smin END AS smin2 FROM (
+        SELECT *, sqrt(p1 * (1 - p1) / k1) AS s1 FROM (
+          SELECT r.sku, i.n, r.k + 1 AS k1, r.p + (i.e - r.p) / (r.k + 1) AS p1, r.pmin, r.smin
+          FROM rec r JOIN ddm_in i ON i.sku = r.sku AND i.n = r.n + 1) a) b) c) d)
+"""
+
+
+@query("ddm_replay", sql=q_drift.DRIFT + DDM_REC_SQL + """
+SELECT sku, n, CAST(drift AS INTEGER) AS ddm_drift, CAST(warn AS INTEGER) AS ddm_warning FROM rec WHERE n > 0""")
+def ddm_replay(spark, sf_dir):
+    """D3 with resets (the online detector), per observation; oracle: a recursive CTE."""
+    rep = rp.replay(q_drift.residuals_df(spark, sf_dir))
+    return rep.select("sku", "n", F.col("ddm_drift").cast("int").alias("ddm_drift"),
+                      F.col("ddm_warning").cast("int").alias("ddm_warning"))
