@@ -44,7 +44,8 @@ def main() -> None:
     spark.conf.set(NAMESPACE_CONF, f"bench-{uuid.uuid4().hex[:8]}")
     times = {}
     t0 = time.perf_counter()
-    for build in (fx.sku_day, fx.calendar_raw, fx.pos):
+    for build in (fx.sku_day, fx.calendar_raw, fx.pos, fx.sales_wide, fx.calendar_dirty, fx.sales_wide_dirty,
+                  fx.prices_dirty):
         build(spark, sf_dir)
     times["fixture_build"] = round(time.perf_counter() - t0, 3)
     for n in names:

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+import shelfcast.plans.q_prep  # noqa: F401  (registers incremental_merge and its oracle first)
+from shelfcast.plans.registry import ORACLE
+from shelfcast.sources import fixture as fx
 from shelfcast.sources import store
+from shelfcast.streaming import pos_stream as ps
 from shelfcast.sources.tables import read_table
 from shelfcast.streaming import drift_stream as ds
 from shelfcast.plans.registry import query
@@ -23,3 +29,19 @@ def stream_drift(spark, sf_dir):
 def events_drift_batch(spark, sf_dir):
     """Batch twin of ``stream_drift`` (the tests check the two agree)."""
     return ds.batch_monitor(ds.events_as_observations(read_table(spark, sf_dir, "events")))
+
+
+@query("stream_pos_history", sql=ORACLE["incremental_merge"])
+def stream_pos_history(spark, sf_dir):
+    """history = POS before 2000; arrivals = POS from mid-1999 on (units + 1), streamed
+    from files and merged batch by batch so that existing rows win. Same result as the
+    batch ``incremental_merge`` (J11), hence the same oracle."""
+    pos = fx.pos(spark, sf_dir).select("sku", "date", "units_sold")
+    history = pos.where(F.col("date") < F.lit("2000-01-01").cast("date")).withColumn("src", F.lit(0))
+    arrivals = (pos.where(F.col("date") >= F.lit("1999-07-01").cast("date"))
+                .select("sku", "date", (F.col("units_sold") + 1).alias("units_sold"), F.lit(1).alias("src"),
+                        F.lit(0).alias("src_order")))
+    src = store.unique_path(spark, "pos_arrivals")
+    arrivals.repartition(4, "sku").write.mode("overwrite").parquet(src)
+    return ps.stream_into_history(spark, history, src, arrivals.schema, store.unique_path(spark, "pos_history"),
+                                  store.unique_path(spark, "pos_history_ckpt"))

@@ -8,9 +8,10 @@ Those files are not available, so this adapter derives the same shapes from
 * the calendar holds every ship date; weeks whose ISO number is divisible by 13
   carry no price so that the "not yet on sale" drop has work to do.
 
-The three base derivations (``sku_day``, ``calendar_raw``, ``pos``) are
-materialised once per input in the shared folder (S10), so every query built on
-them starts from a Parquet scan. Nothing is collected except the bounded list
+The base derivations (``sku_day``, ``calendar_raw``, ``pos``) and the raw
+inputs of the cleaners (wide sales and the dirtied tables, which are files in
+the reference) are materialised once per input in the shared folder (S10), so
+every query built on them starts from a Parquet scan. Nothing is collected except the bounded list
 of day columns needed to pivot the wide sales table.
 """
 
@@ -160,9 +161,20 @@ def _pivot(long_df: DataFrame) -> DataFrame:
             .agg(F.sum("units_sold").cast("bigint")))
 
 
+SKU_INPUTS = ("lineitem", "part", "supplier", "nation", "region")
+
+
+def _sku_inputs(sf_dir: str) -> list[str]:
+    return [table_path(sf_dir, t) for t in SKU_INPUTS]
+
+
 def sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide daily sales: id columns then one ``d_<n>`` column per day (NULL = no sale)."""
-    return _pivot(sales_long_window(spark, sf_dir))
+    """Wide daily sales: id columns then one ``d_<n>`` column per day (NULL = no sale).
+
+    This is a raw input of the pipeline (a file in the reference), so it is
+    written once per input like the other raw tables below.
+    """
+    return materialized(spark, "sales_wide", _sku_inputs(sf_dir), lambda: _pivot(sales_long_window(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- dirtied inputs
@@ -173,7 +185,12 @@ PRICE_BAD_MOD, PRICE_DUP_MOD = 30, 40
 
 
 def calendar_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendar with a string ``date``: gaps, unparseable dates and duplicate rows."""
+    """Calendar with a string ``date``: gaps, unparseable dates and duplicate rows (raw input)."""
+    return materialized(spark, "calendar_dirty", [table_path(sf_dir, "lineitem")],
+                        lambda: build_calendar_dirty(spark, sf_dir))
+
+
+def build_calendar_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     cal = calendar_raw(spark, sf_dir).withColumn("_n", day_number(F.col("date")))
     kept = cal.where(F.col("_n") % CAL_GAP_EVERY != 0).withColumn(
         "date", F.when(F.col("_n") % CAL_BAD_DATE_AT[0] == CAL_BAD_DATE_AT[1], F.lit("not-a-date"))
@@ -183,7 +200,11 @@ def calendar_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_wide_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide sales with negative and NULL cells and one all-zero item."""
+    """Wide sales with negative and NULL cells and one all-zero item (raw input)."""
+    return materialized(spark, "sales_wide_dirty", _sku_inputs(sf_dir), lambda: build_sales_wide_dirty(spark, sf_dir))
+
+
+def build_sales_wide_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     lg = sales_long_window(spark, sf_dir)
     cell = md5_mod(F.concat("store_id", "item_id", "d"), SALES_BAD_CELL_MOD) == 0
     dn = F.substring("d", 3, 10).cast("int")
@@ -195,6 +216,11 @@ def sales_wide_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prices_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices with NULL / zero / negative values and duplicated keys (raw input)."""
+    return materialized(spark, "prices_dirty", _sku_inputs(sf_dir), lambda: build_prices_dirty(spark, sf_dir))
+
+
+def build_prices_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices with NULL / zero / negative values and duplicated keys.
 
     ``src_rank`` records file order (0 = original, 1 = appended duplicate) so that
