@@ -142,8 +142,9 @@ def drift_listing(summary: DataFrame, n: int = 30) -> DataFrame:
     """Drifted, then warned, then stable SKUs; the first ``n`` (a display top-k)."""
     r = F.when(F.col("drift"), 0).when(F.col("label") == "LOW", 1).otherwise(2)
     top = summary.withColumn("_r", r).orderBy("_r", "sku").limit(n)
-    return top.select(F.row_number().over(Window.orderBy("_r", "sku")).alias("listing_rank"), "sku", "label",
-                      "severity", "mean_residual", "std_residual")
+    from shelfcast.operators.orders import with_remainder
+    return with_remainder(top.select(F.row_number().over(Window.orderBy("_r", "sku")).alias("listing_rank"), "sku",
+                                     "label", "severity", "mean_residual", "std_residual"), summary, n)
 
 
 def ks_statistic(snap: DataFrame) -> DataFrame:

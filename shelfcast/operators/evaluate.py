@@ -72,9 +72,10 @@ def quality_bands(metrics: DataFrame) -> DataFrame:
 
 def worst_models(metrics: DataFrame, n: int = 50) -> DataFrame:
     """The ``n`` models with the largest MAE (a top-k report)."""
+    from shelfcast.operators.orders import with_remainder
     top = metrics.orderBy(F.col("mae").desc(), "sku").limit(n)
-    return top.select(F.row_number().over(Window.orderBy(F.col("mae").desc(), "sku")).alias("listing_rank"),
-                      "sku", "mae", "rmse", "r2")
+    return with_remainder(top.select(F.row_number().over(Window.orderBy(F.col("mae").desc(), "sku"))
+                                     .alias("listing_rank"), "sku", "mae", "rmse", "r2"), metrics, n)
 
 
 def training_summary(metrics: DataFrame, skus: DataFrame) -> DataFrame:

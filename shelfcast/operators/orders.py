@@ -188,7 +188,17 @@ def order_listing(orders: DataFrame, n: int = 30) -> DataFrame:
     top = (orders.withColumn("status", st).withColumn("_r", rank)
            .orderBy("_r", "sku").limit(n))
     w = Window.orderBy("_r", "sku")  # over at most n rows
-    return top.select(F.row_number().over(w).alias("listing_rank"), "sku", "status", "forecast_qty", "final_qty")
+    return with_remainder(top.select(F.row_number().over(w).alias("listing_rank"), "sku", "status",
+                                     "forecast_qty", "final_qty"), orders, n)
+
+
+def with_remainder(top: DataFrame, full: DataFrame, n: int) -> DataFrame:
+    """Add ``n_more`` ("... and N more"): rows of ``full`` beyond the first ``n``.
+
+    The count is a one-row aggregate joined on a constant key (exactly one row).
+    """
+    more = full.agg(F.greatest(F.count(F.lit(1)) - n, F.lit(0)).alias("n_more")).withColumn("_k", F.lit(0))
+    return top.withColumn("_k", F.lit(0)).join(F.broadcast(more), "_k").drop("_k")
 
 
 def sku_economics(skus: DataFrame) -> DataFrame:

@@ -129,9 +129,10 @@ def drift_counts(spark, sf_dir):
 
 
 @query("drift_listing", sql=DRIFT + fin("""
+SELECT *, GREATEST((SELECT count(*) FROM ds) - 30, 0) AS n_more FROM (
 SELECT row_number() OVER (ORDER BY r, sku) AS listing_rank, sku, label, severity, mean_residual, std_residual
 FROM (SELECT *, CASE WHEN drift THEN 0 WHEN label = 'LOW' THEN 1 ELSE 2 END AS r FROM ds)
-ORDER BY r, sku LIMIT 30""", ints=["listing_rank"], dbls=["severity", "mean_residual", "std_residual"],
+ORDER BY r, sku LIMIT 30)""", ints=["listing_rank", "n_more"], dbls=["severity", "mean_residual", "std_residual"],
     keep=["sku", "label"]))
 def drift_listing(spark, sf_dir):
     return dr.drift_listing(dr.drift_summary(residuals_df(spark, sf_dir)), 30)

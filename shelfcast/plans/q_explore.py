@@ -138,8 +138,9 @@ def quality_bands(spark, sf_dir):
 
 
 @query("worst_models", sql=with_adapter(BASE_SQL) + fin("""
+SELECT *, GREATEST((SELECT count(*) FROM bm) - 50, 0) AS n_more FROM (
 SELECT row_number() OVER (ORDER BY mae DESC, sku) AS listing_rank, sku, mae, rmse, r2 FROM bm
-ORDER BY mae DESC, sku LIMIT 50""", ints=["listing_rank"], dbls=["mae", "rmse", "r2"], keep=["sku"]))
+ORDER BY mae DESC, sku LIMIT 50)""", ints=["listing_rank", "n_more"], dbls=["mae", "rmse", "r2"], keep=["sku"]))
 def worst_models(spark, sf_dir):
     return ev.worst_models(baseline_metrics_df(spark, sf_dir), 50)
 

@@ -177,9 +177,10 @@ def order_summary(spark, sf_dir):
 
 
 @query("order_listing", sql=APPLY_SQL + "," + ORDER_STATUS_SQL + """
+SELECT *, CAST(GREATEST((SELECT count(*) FROM st) - 30, 0) AS BIGINT) AS n_more FROM (
 SELECT CAST(row_number() OVER (ORDER BY r, sku) AS BIGINT) AS listing_rank, sku, status, forecast_qty, final_qty
 FROM (SELECT *, CASE status WHEN 'capped' THEN 0 WHEN 'ok' THEN 1 ELSE 2 END AS r FROM st)
-ORDER BY r, sku LIMIT 30""")
+ORDER BY r, sku LIMIT 30)""")
 def order_listing(spark, sf_dir):
     return od.order_listing(applied_orders(spark, sf_dir), 30)
 
