@@ -5,7 +5,8 @@ per SKU with ``applyInPandasWithState``. The state is the bounded
 ``OnlineDrift`` JSON plus the running count/sum of actuals (the predictor is the
 running mean of earlier values) and the last (ts, event_id) seen. Rows at or
 before the last seen position are late: they are emitted with ``late = true``
-and do not touch the detectors (T2). The state store is RocksDB and the query
+and do not touch the detectors (T2); an event-time watermark expires the state of
+idle SKUs. The state store is RocksDB and the query
 checkpoint sits in the shared folder, so a lost executor replays from the
 last committed batch.
 """
@@ -28,7 +29,15 @@ STATE_SCHEMA = "state string"
 OUT_COLS = [c.split()[0] for c in OUT_SCHEMA.split(", ")]
 
 
+IDLE_MS = 90 * 24 * 3600 * 1000          # state of a SKU silent for 90 days of event time expires
+WATERMARK_DELAY = "30 days"
+
+
 def _monitor(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    if state.hasTimedOut:                  # idle key: drop its state, emit nothing
+        state.remove()
+        yield pd.DataFrame(columns=OUT_COLS)
+        return
     if state.exists:
         st = json.loads(state.get[0])
         det = OnlineDrift.from_json(st["det"])
@@ -56,18 +65,27 @@ def _monitor(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]
     st["last"] = list(last) if last else None
     st["det"] = det.to_json()
     state.update((json.dumps(st),))
+    if last is not None:
+        state.setTimeoutTimestamp(last[0] // 1_000_000 + IDLE_MS)
     yield pd.DataFrame(rows, columns=OUT_COLS)
 
 
-def monitor_stream(stream: DataFrame) -> DataFrame:
-    """Keyed stateful monitor over a streaming (sku, ts, event_id, actual) frame."""
-    return stream.groupBy("sku").applyInPandasWithState(
-        _monitor, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+def monitor_stream(stream: DataFrame, watermark_delay: str = WATERMARK_DELAY) -> DataFrame:
+    """Keyed stateful monitor over a streaming (sku, ts, event_id, actual) frame.
+
+    The event-time watermark bounds how long state lives: a SKU whose last
+    observation is older than the watermark by more than the idle period is
+    timed out and its state removed. Rows later than the watermark delay are
+    dropped by Spark; later rows within it are reported with ``late = true``.
+    """
+    return (stream.withWatermark("ts", watermark_delay).groupBy("sku").applyInPandasWithState(
+        _monitor, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout))
 
 
 def events_as_observations(events: DataFrame) -> DataFrame:
     """The given ``events`` table as monitor input: sku = user, actual = value."""
-    return events.select(F.col("user_id").cast("string").alias("sku"), "ts", "event_id",
+    return events.select(F.col("user_id").cast("string").alias("sku"), F.col("ts").cast("timestamp").alias("ts"),
+                         "event_id",
                          F.col("value").cast("double").alias("actual"))
 
 

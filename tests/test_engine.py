@@ -119,3 +119,20 @@ def test_determinism_across_partitioning(spark):
 
 def test_pos_fixture_counts(spark):
     assert fx.pos(spark, SF_SMALL).count() == 5477
+
+
+def test_stream_idle_state_expires(spark):
+    """A SKU silent for longer than the idle period restarts from fresh state."""
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "sku string, event_id long, ts timestamp, actual double"
+    src = store.unique_path(spark, "t_idle_src")
+    batches = [[("A", 1, t0, 5.0)], [("B", 2, t0 + dt.timedelta(days=200), 1.0)],
+               [("B", 3, t0 + dt.timedelta(days=400), 1.0)], [("A", 4, t0 + dt.timedelta(days=401), 7.0)]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{src}/b{i}")
+    sch = spark.createDataFrame(batches[0], schema).schema
+    out = ds.run_to_table(spark, src + "/*", sch, store.unique_path(spark, "t_idle_out"),
+                          store.unique_path(spark, "t_idle_ck"), max_files=1)
+    r = {x.event_id: x for x in out.collect()}
+    assert r[4].n == 1 and r[4].predicted == 0.0
