@@ -178,3 +178,42 @@ def retrain_subset(features: DataFrame, skus: DataFrame, feature_cols: list[str]
 def replace_predictions(old: DataFrame, new: DataFrame) -> DataFrame:
     """Predictions of retrained SKUs replace the old ones (anti-join + union)."""
     return old.join(new.select("sku").distinct(), "sku", "left_anti").unionByName(new)
+
+
+def first_skus(df: DataFrame, n: int) -> DataFrame:
+    """M3: restrict to the first ``n`` SKUs in sorted order (a user-requested limit).
+
+    The SKU list is a distributed top-n (at most ``n`` rows, so it is broadcast
+    to the semi-join).
+    """
+    keep = df.select("sku").distinct().orderBy("sku").limit(n)
+    return df.join(F.broadcast(keep), "sku", "left_semi")
+
+
+def train_pooled(features: DataFrame, feature_cols: list[str], target: str = "units_sold",
+                 test_share: float = TEST_SHARE, max_iter: int = 100, max_depth: int = 5, step: float = 0.1,
+                 seed: int = 42, validation_tol: float = 0.0):
+    """M6, pooled form: one Spark ML ``GBTRegressor`` over every SKU's rows.
+
+    Each SKU's chronological hold-out (M4) is the validation set that drives
+    early stopping (``validationIndicatorCol``); ``validationTol`` is set
+    explicitly (the default stops after very few trees). Training is a
+    distributed Spark job per boosting iteration. Returns (model, assembled frame).
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    from shelfcast.operators.evaluate import holdout_split
+    split = holdout_split(features.select("sku", "date", target, *feature_cols), test_share)
+    data = VectorAssembler(inputCols=feature_cols, outputCol="features").transform(
+        split.withColumn("is_val", F.col("split") == "val").withColumn("label", F.col(target).cast("double")))
+    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
+                       stepSize=step, seed=seed, validationIndicatorCol="is_val", validationTol=validation_tol,
+                       maxBins=256)
+    return gbt.fit(data), data
+
+
+def score_pooled(model, data: DataFrame, target: str = "units_sold") -> DataFrame:
+    """M9 for the pooled model: (sku, date, actual, predicted >= 0, split)."""
+    return model.transform(data).select("sku", "date", F.col(target).cast("double").alias("actual"),
+                                        F.greatest(F.col("prediction"), F.lit(0.0)).alias("predicted"), "split")

@@ -210,3 +210,12 @@ def ddm_replay(spark, sf_dir):
     rep = rp.replay(q_drift.residuals_df(spark, sf_dir))
     return rep.select("sku", "n", F.col("ddm_drift").cast("int").alias("ddm_drift"),
                       F.col("ddm_warning").cast("int").alias("ddm_warning"))
+
+
+@query("pooled_model_metrics")
+def pooled_model_metrics(spark, sf_dir):
+    """M6 (pooled Spark ML GBT) + M7: per-SKU hold-out metrics of one model over all SKUs."""
+    from shelfcast.operators.evaluate import holdout_metrics
+    feats = features_df(spark, sf_dir).checkpoint(eager=True)
+    model, data = fc.train_pooled(feats, fe.FEATURE_COLUMNS)
+    return holdout_metrics(fc.score_pooled(model, data).drop("split"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.plans.normalize import finalize
+from shelfcast.session import ensure_checkpoint_dir, ship_code
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -18,7 +19,12 @@ def query(name: str, sql: str | None = None, normalize: bool = True):
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = (lambda spark, sf_dir: finalize(fn(spark, sf_dir))) if normalize else fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_checkpoint_dir(spark)
+            ship_code(spark)
+            out = fn(spark, sf_dir)
+            return finalize(out) if normalize else out
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

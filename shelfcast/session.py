@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +40,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_code(spark)
     return spark
 
 
@@ -61,3 +64,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make the ``shelfcast`` package importable in every Python worker.
+
+    Grouped maps and pandas UDFs pickle references to functions of this package;
+    executors need the package itself. It is zipped once per SparkContext and
+    distributed with ``addPyFile`` (Spark's file distribution, so it also
+    reaches executors started later).
+    """
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    fd, path = tempfile.mkstemp(prefix="shelfcast-code-", suffix=".zip")
+    with os.fdopen(fd, "wb") as out:
+        out.write(buf.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
