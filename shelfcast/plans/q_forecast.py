@@ -103,18 +103,6 @@ def rp_last100(scored):
                     (F.col("actual") - F.col("predicted")).alias("residual"))
 
 
-@query("drift_replay")
-def drift_replay(spark, sf_dir):
-    """Per-observation verdicts of the full detectors (with resets)."""
-    return rp.replay(q_drift.residuals_df(spark, sf_dir))
-
-
-@query("drift_events")
-def drift_events(spark, sf_dir):
-    """D8."""
-    return rp.drift_events(rp.replay(q_drift.residuals_df(spark, sf_dir)))
-
-
 @query("drift_check")
 def drift_check(spark, sf_dir):
     """D11-D14 with input drift from the KS tests."""
@@ -219,3 +207,67 @@ def pooled_model_metrics(spark, sf_dir):
     feats = features_df(spark, sf_dir).checkpoint(eager=True)
     model, data = fc.train_pooled(feats, fe.FEATURE_COLUMNS)
     return holdout_metrics(fc.score_pooled(model, data).drop("split"))
+
+
+ADWIN_SPLIT = ("list_filter(range(10, len(w2) - 10), lambda s: "
+               "sqrt((list_var_pop(w2[1:s]) + list_var_pop(w2[s + 1:len(w2)])) / 2) > 0 "
+               "AND abs(list_avg(w2[1:s]) - list_avg(w2[s + 1:len(w2)])) "
+               "/ sqrt((list_var_pop(w2[1:s]) + list_var_pop(w2[s + 1:len(w2)])) / 2) "
+               "> sqrt(2 * ln(2 / 0.002) / least(s, len(w2) - s)))[1]")
+ADWIN_REC_SQL = f""",
+adw_in AS (SELECT sku, n, abs(residual) AS v FROM res),
+adw AS (
+  SELECT sku, CAST(0 AS BIGINT) AS n, CAST([] AS DOUBLE[]) AS w, false AS hit, CAST(0 AS BIGINT) AS wlen
+  FROM (SELECT DISTINCT sku FROM adw_in)
+  UNION ALL
+  SELECT sku, n, CASE WHEN fs IS NOT NULL THEN w2[fs + 1:len(w2)]
+                      WHEN len(w2) > 200 THEN w2[len(w2) - 99:len(w2)] ELSE w2 END,
+         fs IS NOT NULL,
+         len(CASE WHEN fs IS NOT NULL THEN w2[fs + 1:len(w2)]
+                  WHEN len(w2) > 200 THEN w2[len(w2) - 99:len(w2)] ELSE w2 END)
+  FROM (SELECT *, CASE WHEN len(w2) < 20 THEN NULL ELSE {ADWIN_SPLIT} END AS fs
+        FROM (SELECT a.sku, i.n, list_append(a.w, i.v) AS w2
+              FROM adw a JOIN adw_in i ON i.sku = a.sku AND i.n = a.n + 1) x) y)
+"""
+
+
+@query("adwin_replay", sql=q_drift.DRIFT + ADWIN_REC_SQL + """
+SELECT sku, n, CAST(hit AS INTEGER) AS adwin_drift, wlen AS window_len FROM adw WHERE n > 0""")
+def adwin_replay(spark, sf_dir):
+    """D2 per observation (drift flag and window length after the update); oracle: a
+    recursive CTE carrying the window as a list."""
+    res = q_drift.residuals_df(spark, sf_dir).select("sku", "n", "residual")
+    return rp.adwin_trace(res)
+
+
+REPLAY_SQL = q_drift.DRIFT + DDM_REC_SQL + ADWIN_REC_SQL + """,
+rp AS (
+  SELECT r.sku, r.n, r.residual, a.hit AS adwin_drift, d.drift AS ddm_drift, d.warn AS ddm_warning,
+         a.hit OR d.drift AS drift_detected,
+         CASE WHEN a.hit AND d.drift THEN ['ADWIN', 'DDM'] WHEN a.hit THEN ['ADWIN'] WHEN d.drift THEN ['DDM']
+              ELSE CAST([] AS VARCHAR[]) END AS detectors,
+         CASE WHEN a.hit OR d.drift THEN v.severity_score ELSE 0.0 END AS severity,
+         v.recent_mae
+  FROM res r JOIN adw a ON a.sku = r.sku AND a.n = r.n JOIN rec d ON d.sku = r.sku AND d.n = r.n
+       JOIN sev v ON v.sku = r.sku AND v.n = r.n),
+rp2 AS (
+  SELECT *, CASE WHEN drift_detected THEN printf('Drift detected by %s. Recent MAE: %.2f',
+                                                 array_to_string(detectors, ', '), recent_mae)
+                 ELSE '' END AS message FROM rp)
+"""
+
+
+@query("drift_replay", sql=REPLAY_SQL + fin(
+    "SELECT * FROM rp2", ints=["n"], dbls=["residual", "severity"],
+    keep=["sku", "adwin_drift", "ddm_drift", "ddm_warning", "drift_detected", "detectors", "message"]))
+def drift_replay(spark, sf_dir):
+    """Per-observation verdicts of the full detectors (with resets)."""
+    return rp.replay(q_drift.residuals_df(spark, sf_dir))
+
+
+@query("drift_events", sql=REPLAY_SQL + fin(
+    "SELECT * FROM rp2 WHERE drift_detected", ints=["n"], dbls=["severity"],
+    keep=["sku", "detectors", "message"]))
+def drift_events(spark, sf_dir):
+    """D8."""
+    return rp.drift_events(rp.replay(q_drift.residuals_df(spark, sf_dir)))
