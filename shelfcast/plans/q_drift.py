@@ -11,7 +11,7 @@ from shelfcast.plans.registry import query
 from shelfcast.sources import fixture as fx
 
 RUN = "PARTITION BY sku ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-RES_SQL = f"""
+RES_DEF = f"""
 res_base AS (
   SELECT sku, date, units_sold,
          COALESCE(avg(units_sold) OVER (PARTITION BY sku ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 0)
@@ -24,6 +24,8 @@ res AS (
          CAST(units_sold + CASE WHEN {h('sku')} % 4 = 0 AND rd <= 40 THEN 60 ELSE 0 END AS DOUBLE) - predicted
            AS residual
   FROM res_base WHERE rd <= 100),
+"""
+DETECT_SQL = f"""
 be AS (
   SELECT *, abs(residual) AS abs_residual, avg(abs(residual)) OVER ({RUN}) AS running_mae FROM res),
 be2 AS (SELECT *, CAST(abs_residual > running_mae AS INTEGER) AS binary_error FROM be),
@@ -60,8 +62,21 @@ ds AS (
               WHEN first_drift_n IS NOT NULL THEN 'MEDIUM' WHEN warning_last = 1 THEN 'LOW' ELSE 'NONE' END AS label,
          mean_residual, std_residual FROM ds0)
 """
+RES_SQL = RES_DEF + DETECT_SQL
 DRIFT = with_adapter(RES_SQL)
 
+# The same detector chain over the ``events`` table (the streaming monitor's input):
+# sku = user, predictor = running mean of earlier values, ordered by (ts, event_id).
+EVENTS_RES_DEF = """
+res AS (
+  SELECT CAST(user_id AS VARCHAR) AS sku, event_id, CAST(ts AS TIMESTAMP) AS ts,
+         CAST(row_number() OVER w AS BIGINT) AS n, value AS actual,
+         COALESCE(avg(value) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS predicted,
+         value - COALESCE(avg(value) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS residual
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+"""
+EVENTS_DRIFT = with_adapter(EVENTS_RES_DEF + DETECT_SQL)
+
 
 def residuals_df(spark, sf_dir):
     return dr.residual_series(fx.pos(spark, sf_dir))

@@ -240,7 +240,7 @@ def adwin_replay(spark, sf_dir):
     return rp.adwin_trace(res)
 
 
-REPLAY_SQL = q_drift.DRIFT + DDM_REC_SQL + ADWIN_REC_SQL + """,
+REPLAY_TAIL = """,
 rp AS (
   SELECT r.sku, r.n, r.residual, a.hit AS adwin_drift, d.drift AS ddm_drift, d.warn AS ddm_warning,
          a.hit OR d.drift AS drift_detected,
@@ -255,6 +255,8 @@ rp2 AS (
                                                  array_to_string(detectors, ', '), recent_mae)
                  ELSE '' END AS message FROM rp)
 """
+REPLAY_SQL = q_drift.DRIFT + DDM_REC_SQL + ADWIN_REC_SQL + REPLAY_TAIL
+EVENTS_REPLAY_SQL = q_drift.EVENTS_DRIFT + DDM_REC_SQL + ADWIN_REC_SQL + REPLAY_TAIL
 
 
 @query("drift_replay", sql=REPLAY_SQL + fin(

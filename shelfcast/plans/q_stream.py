@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import shelfcast.plans.q_prep  # noqa: F401  (registers incremental_merge and its oracle first)
+from shelfcast.plans.oracle_base import fin
+from shelfcast.plans.q_forecast import EVENTS_REPLAY_SQL
 from shelfcast.plans.registry import ORACLE
 from shelfcast.sources import fixture as fx
 from shelfcast.sources import store
@@ -14,21 +16,33 @@ from shelfcast.streaming import drift_stream as ds
 from shelfcast.plans.registry import query
 
 
-@query("stream_drift")
+MONITOR_SQL = EVENTS_REPLAY_SQL + fin("""
+SELECT r.sku, r.event_id, CAST(r.ts AS TIMESTAMP) AS ts, false AS late, r.n, r.actual, r.predicted, r.residual,
+       p.drift_detected, p.detectors, p.severity
+FROM res r JOIN rp2 p ON p.sku = r.sku AND p.n = r.n""", ints=["event_id", "n"],
+    dbls=["actual", "predicted", "residual", "severity"], keep=["sku", "ts", "late", "drift_detected", "detectors"])
+
+
+def _wall_clock(df):
+    """Event times as TIMESTAMP_NTZ: the same wall-clock values whatever the reader's zone."""
+    return df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("stream_drift", sql=MONITOR_SQL)
 def stream_drift(spark, sf_dir):
     """T1/T2 on the ``events`` table: written as the stream's source files, then
     consumed by the stateful monitor with an ``availableNow`` trigger."""
     obs = ds.events_as_observations(read_table(spark, sf_dir, "events"))
     src = store.unique_path(spark, "events_stream_src")
     obs.repartition(8, "sku").write.mode("overwrite").parquet(src)
-    return ds.run_to_table(spark, src, obs.schema, store.unique_path(spark, "stream_out"),
-                           store.unique_path(spark, "stream_ckpt"))
+    return _wall_clock(ds.run_to_table(spark, src, obs.schema, store.unique_path(spark, "stream_out"),
+                                       store.unique_path(spark, "stream_ckpt")))
 
 
-@query("events_drift_batch")
+@query("events_drift_batch", sql=MONITOR_SQL)
 def events_drift_batch(spark, sf_dir):
-    """Batch twin of ``stream_drift`` (the tests check the two agree)."""
-    return ds.batch_monitor(ds.events_as_observations(read_table(spark, sf_dir, "events")))
+    """Batch twin of ``stream_drift`` (same oracle)."""
+    return _wall_clock(ds.batch_monitor(ds.events_as_observations(read_table(spark, sf_dir, "events"))))
 
 
 @query("stream_pos_history", sql=ORACLE["incremental_merge"])
