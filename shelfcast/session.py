@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import os
 import tempfile
@@ -73,9 +74,9 @@ def ship_code(spark: SparkSession) -> None:
     """Make the ``shelfcast`` package importable in every Python worker.
 
     Grouped maps and pandas UDFs pickle references to functions of this package;
-    executors need the package itself. It is zipped once per SparkContext and
-    distributed with ``addPyFile`` (Spark's file distribution, so it also
-    reaches executors started later).
+    executors need the package itself. It is zipped once per SparkContext,
+    written to the shared checkpoint folder and registered with ``addPyFile``
+    (Spark's file distribution, so it also reaches executors started later).
     """
     sc = spark.sparkContext
     key = id(sc._jsc)
@@ -90,8 +91,15 @@ def ship_code(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, root))
-    fd, path = tempfile.mkstemp(prefix="shelfcast-code-", suffix=".zip")
-    with os.fdopen(fd, "wb") as out:
-        out.write(buf.getvalue())
+    data = buf.getvalue()
+    digest = hashlib.md5(data).hexdigest()[:12]
+    path = scratch_path(spark, f"code/shelfcast-{digest}.zip")     # the shared folder, not a local temp dir
+    jvm = sc._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        out = fs.create(p, True)
+        out.write(bytearray(data))
+        out.close()
     sc.addPyFile(path)
     _SHIPPED.add(key)
