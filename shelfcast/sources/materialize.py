@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +27,18 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def input_key(spark: SparkSession, paths: list[str]) -> str:
+def _code_version() -> bytes:
+    """Source of the derivations, so a changed adapter never reuses an old table."""
+    here = os.path.dirname(os.path.abspath(__file__))
     h = hashlib.md5()
+    for name in ("fixture.py", "materialize.py"):
+        with open(os.path.join(here, name), "rb") as f:
+            h.update(f.read())
+    return h.digest()
+
+
+def input_key(spark: SparkSession, paths: list[str]) -> str:
+    h = hashlib.md5(_code_version())
     for path in paths:
         p, fs = _fs(spark, path)
         st = fs.getFileStatus(p)
@@ -40,14 +51,15 @@ def materialized(spark: SparkSession, name: str, inputs: list[str], build, parti
     ns = spark.conf.get(NAMESPACE_CONF, "default")
     path = scratch_path(spark, os.path.join("derived", ns, input_key(spark, inputs), name))
     p, fs = _fs(spark, path)
-    if not fs.exists(jvm_path_success(spark, path)):
+    if not fs.exists(p):
+        # Write aside, then publish with one rename: concurrent builders cannot
+        # interleave files, and readers only ever see a complete table.
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
         w = build().write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(path)
+        w.parquet(tmp)
+        tp, _ = _fs(spark, tmp)
+        if not fs.exists(p):
+            fs.rename(tp, p)
     return spark.read.parquet(path)
-
-
-def jvm_path_success(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    return jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
