@@ -217,3 +217,9 @@ def score_pooled(model, data: DataFrame, target: str = "units_sold") -> DataFram
     """M9 for the pooled model: (sku, date, actual, predicted >= 0, split)."""
     return model.transform(data).select("sku", "date", F.col(target).cast("double").alias("actual"),
                                         F.greatest(F.col("prediction"), F.lit(0.0)).alias("predicted"), "split")
+
+
+def forecast_one(features: DataFrame, sku: str, feature_cols: list[str], horizon: int = 7) -> DataFrame:
+    """Train one SKU's model and score its last ``horizon`` observed rows."""
+    one = features.where(F.col("sku") == sku)
+    return predict_tail(one, train_models(one, feature_cols), horizon)

@@ -249,3 +249,15 @@ def cleaned_sink(spark, sf_dir):
     df.write.mode("overwrite").option("header", True).csv(path)
     back = spark.read.option("header", True).schema(df.schema).csv(path)
     return back.fillna("", subset=[c for c in cl.EVENT_COLUMNS if c in back.columns])
+
+
+@query("raw_csv_clean_calendar", sql=PREP + fin("SELECT * FROM cal_clean", ints=CAL_INTS, keep=CAL_KEEP))
+def raw_csv_clean_calendar(spark, sf_dir):
+    """The raw calendar arrives as CSV (no Parquet cache yet), is read through
+    the cached-scan fallback with an explicit schema, and cleaned."""
+    from shelfcast.sources import store
+    raw = fx.calendar_dirty(spark, sf_dir)
+    base = store.unique_path(spark, "raw_calendar")
+    raw.write.mode("overwrite").option("header", True).csv(base + "/calendar.csv")
+    scanned = store.cached_scan(spark, base + "/calendar.csv", base + "/calendar.parquet", schema=raw.schema)
+    return cl.clean_calendar(scanned)

@@ -136,3 +136,11 @@ def test_stream_idle_state_expires(spark):
                           store.unique_path(spark, "t_idle_ck"), max_files=1)
     r = {x.event_id: x for x in out.collect()}
     assert r[4].n == 1 and r[4].predicted == 0.0
+
+
+def test_forecast_one_and_first_skus(spark):
+    feats = q_features.features_df(spark, SF_SMALL, for_training=True)
+    big = feats.groupBy("sku").count().where("count >= 50").orderBy("sku").first().sku
+    out = fc.forecast_one(feats, big, fe.FEATURE_COLUMNS, horizon=7).collect()
+    assert len(out) == 7 and all(r.sku == big and r.forecast >= 0 and r.model_version == 1 for r in out)
+    assert fc.first_skus(feats, 3).select("sku").distinct().count() == 3
