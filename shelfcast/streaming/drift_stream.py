@@ -89,6 +89,22 @@ def events_as_observations(events: DataFrame) -> DataFrame:
                          F.col("value").cast("double").alias("actual"))
 
 
+def write_arrivals(obs: DataFrame, source_dir: str, slice_days: int = 7) -> int:
+    """Write observations as the stream's arrival files: one file per time slice,
+    written slice after slice so file order follows event time. Returns the
+    number of slices (bounded by the time span / ``slice_days``)."""
+    day0 = obs.agg(F.min(F.to_date("ts")).alias("d0")).collect()[0]["d0"]
+    if day0 is None:
+        return 0
+    sl = (F.datediff(F.to_date("ts"), F.lit(day0)) / slice_days).cast("int")
+    tagged = obs.withColumn("_slice", sl)
+    slices = sorted(r["_slice"] for r in tagged.select("_slice").distinct().collect())
+    for k in slices:
+        (tagged.where(F.col("_slice") == k).drop("_slice").coalesce(1)
+         .write.mode("append").parquet(source_dir))
+    return len(slices)
+
+
 def run_to_table(spark: SparkSession, source_dir: str, schema, out_dir: str, ckpt_dir: str,
                  max_files: int | None = None) -> DataFrame:
     """Run the monitor over the files in ``source_dir`` until they are consumed
