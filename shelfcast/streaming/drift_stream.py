@@ -44,30 +44,36 @@ def _monitor(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]
     else:
         st = dict(cnt=0, sum=0.0, last=None)
         det = OnlineDrift()
-    batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
-    rows = []
+    parts = list(pdfs)
+    batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    batch = batch.sort_values(["ts", "event_id"], kind="stable")
+    ts_ns = batch["ts"].to_numpy(dtype="datetime64[ns]").astype("int64").tolist()
+    eids = batch["event_id"].astype("int64").tolist()
+    acts = batch["actual"].astype("float64").tolist()
+    m = len(eids)
+    late, ns, preds, resid, drift, dets, sev = ([None] * m for _ in range(7))
     last = tuple(st["last"]) if st["last"] else None
-    for sku, eid, ts, a in zip(batch["sku"], batch["event_id"], batch["ts"], batch["actual"]):
-        pos = (pd.Timestamp(ts).value, int(eid))
+    cnt, tot = st["cnt"], st["sum"]
+    for i in range(m):
+        pos = (ts_ns[i], eids[i])
         if last is not None and pos <= last:
-            rows.append(dict(sku=sku, event_id=int(eid), ts=ts, late=True, n=None, actual=float(a), predicted=None,
-                             residual=None, drift_detected=None, detectors=None, severity=None))
+            late[i] = True
             continue
-        pred = st["sum"] / st["cnt"] if st["cnt"] else 0.0
-        r = float(a) - pred
+        pred = tot / cnt if cnt else 0.0
+        r = acts[i] - pred
         out = det.update(r)
-        st["cnt"] += 1
-        st["sum"] += float(a)
+        cnt += 1
+        tot += acts[i]
         last = pos
-        rows.append(dict(sku=sku, event_id=int(eid), ts=ts, late=False, n=st["cnt"], actual=float(a),
-                         predicted=pred, residual=r, drift_detected=out["drift_detected"],
-                         detectors=out["detectors"], severity=out["severity"]))
-    st["last"] = list(last) if last else None
-    st["det"] = det.to_json()
+        late[i], ns[i], preds[i], resid[i] = False, cnt, pred, r
+        drift[i], dets[i], sev[i] = out["drift_detected"], out["detectors"], out["severity"]
+    st.update(cnt=cnt, sum=tot, last=list(last) if last else None, det=det.to_json())
     state.update((json.dumps(st),))
     if last is not None:
         state.setTimeoutTimestamp(last[0] // 1_000_000 + IDLE_MS)
-    yield pd.DataFrame(rows, columns=OUT_COLS)
+    yield pd.DataFrame({"sku": batch["sku"].tolist(), "event_id": eids, "ts": batch["ts"].to_numpy(),
+                        "late": late, "n": ns, "actual": acts, "predicted": preds, "residual": resid,
+                        "drift_detected": drift, "detectors": dets, "severity": sev}, columns=OUT_COLS)
 
 
 def monitor_stream(stream: DataFrame, watermark_delay: str = WATERMARK_DELAY) -> DataFrame:
