@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from shelfcast.functions.dates import day_of_week, holiday_dimension, iso_week
+from shelfcast.functions.dates import day_of_week, iso_week
 
 # The model's ordered feature list.
 FEATURE_COLUMNS = [

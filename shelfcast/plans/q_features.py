@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from shelfcast.functions.dates import holiday_dimension
 from shelfcast.operators import features as fe
 from shelfcast.plans.oracle_base import HOLIDAYS, fin, with_adapter

@@ -107,7 +107,8 @@ def simulated_stock(spark, sf_dir):
 
 @query("default_stock", sql=with_adapter() + "SELECT DISTINCT sku, CAST(50 AS BIGINT) AS current_stock FROM pos")
 def default_stock(spark, sf_dir):
-    return od.default_stock(fx.pos(spark, sf_dir).select("sku").distinct())
+    """No stock file exists, so every SKU gets the default level."""
+    return store.load_stock(spark, None, fx.pos(spark, sf_dir).select("sku").distinct())
 
 
 @query("apply_rules", sql=APPLY_SQL + "SELECT * FROM ar")

@@ -1,5 +1,7 @@
 """Sources and sinks: cached scans, rules files, stock files, model and history tables.
 
+Write-once derived tables (S9/S10) are in ``sources/materialize.py``.
+
 All paths are expected below a shared folder (the session's checkpoint folder in
 tests). Writes are atomic per Spark job (``mode('overwrite')``), so a lost
 executor only re-runs tasks; readers never see half-written tables.
@@ -7,7 +9,6 @@ executor only re-runs tasks; readers never see half-written tables.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,16 +56,6 @@ def cached_scan(spark: SparkSession, csv_path: str, parquet_path: str, schema=No
     return df
 
 
-def materialize_once(spark: SparkSession, path: str, build, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Read the table at ``path`` if it exists, else build, write and read it."""
-    if not _exists(spark, path):
-        w = build().write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-    return spark.read.parquet(path)
-
-
 def load_stock(spark: SparkSession, path: str | None, skus: DataFrame | None = None) -> DataFrame:
     """Stock CSV when it exists, else the default level for every SKU given."""
     if path and _exists(spark, path):
@@ -107,7 +98,3 @@ def append_history(spark: SparkSession, path: str, runs: DataFrame) -> DataFrame
            .drop("_prev"))
     new.write.mode("append").parquet(path)
     return spark.read.parquet(path)
-
-
-def model_table_path(base: str) -> str:
-    return os.path.join(base, "models")
