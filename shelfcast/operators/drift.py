@@ -171,3 +171,17 @@ def feature_snapshots(res: DataFrame, split_n: int = MONITOR_ROWS // 2) -> DataF
     return (res.select("sku", F.lit("actual").alias("feature"), side.alias("side"), F.col("actual").alias("value"))
             .unionByName(res.select("sku", F.lit("predicted").alias("feature"), side.alias("side"),
                                     F.col("predicted").alias("value"))))
+
+
+def ks_tests(stats: DataFrame) -> DataFrame:
+    """D10 verdicts: exact p-value (pandas UDF over (D, n1, n2)), drift when p < 0.05,
+    statistic and p rounded to 4 places, and the per-feature message."""
+    from shelfcast.functions.ks import ALPHA, MIN_SAMPLES, ks_pvalue_udf
+    p = ks_pvalue_udf(F.col("ks_statistic"), F.col("n_before"), F.col("n_after"))
+    out = stats.withColumn("_p", p)
+    drift = F.col("_p") < ALPHA
+    enough = (F.col("n_before") >= MIN_SAMPLES) & (F.col("n_after") >= MIN_SAMPLES) & F.col("ks_statistic").isNotNull()
+    msg = F.when(~enough, F.lit("Insufficient data")).otherwise(F.format_string(
+        "%s: %s (p=%.4f)", F.col("feature"), F.when(drift, "Drift detected").otherwise("No drift"), F.col("_p")))
+    return out.select("sku", "feature", "n_before", "n_after", F.round("ks_statistic", 4).alias("ks_statistic"),
+                      F.round("_p", 4).alias("p_value"), drift.alias("drift_detected"), msg.alias("message"))

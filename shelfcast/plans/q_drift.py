@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfcast.functions.ks import ALPHA, ks_pvalue_udf
 from shelfcast.operators import drift as dr
 from shelfcast.plans.oracle_base import fin, h, with_adapter
 from shelfcast.plans.registry import query
@@ -176,14 +175,61 @@ def ks_statistic(spark, sf_dir):
 
 
 def ks_tests(spark, sf_dir):
-    k = dr.ks_statistic(dr.feature_snapshots(residuals_df(spark, sf_dir)))
-    p = ks_pvalue_udf(F.col("ks_statistic"), F.col("n_before"), F.col("n_after"))
-    return (k.withColumn("p_value", F.round(p, 4))
-            .withColumn("drift_detected", F.col("p_value") < ALPHA)
-            .withColumn("ks_statistic", F.round("ks_statistic", 4)))
+    return dr.ks_tests(dr.ks_statistic(dr.feature_snapshots(residuals_df(spark, sf_dir))))
+
+
+# Exact two-sided KS p-value as a lattice-path walk, one cell per recursion step, with the
+# same operation order as functions/ks.py (so the doubles agree bit for bit).
+KS_P_SQL = """,
+ks_base AS (SELECT sku, feature, min(n1) AS n_before, min(n2) AS n_after, max(d) AS ks_statistic
+            FROM kd GROUP BY sku, feature),
+ks_gp AS (
+  SELECT sku, feature, CAST(n_before AS BIGINT) AS n1, CAST(n_after AS BIGINT) AS n2,
+         CAST(n_before + n_after AS BIGINT) AS tot,
+         CAST(round(ks_statistic * (n_before // gcd(CAST(n_before AS BIGINT), CAST(n_after AS BIGINT)) * n_after))
+              AS BIGINT) * gcd(CAST(n_before AS BIGINT), CAST(n_after AS BIGINT)) AS bound
+  FROM ks_base WHERE n_before >= 5 AND n_after >= 5 AND ks_statistic IS NOT NULL),
+lat AS (
+  SELECT sku, feature, n1, n2, tot, bound, CAST(0 AS BIGINT) AS i, CAST(1 AS BIGINT) AS j,
+         CAST([] AS DOUBLE[]) AS prev, [1.0::DOUBLE] AS cur
+  FROM ks_gp WHERE bound > 0 AND n1 * n2 <= 1000000
+  UNION ALL
+  SELECT sku, feature, n1, n2, tot, bound, CASE WHEN j = n2 THEN i + 1 ELSE i END,
+         CASE WHEN j = n2 THEN 0 ELSE j + 1 END,
+         CASE WHEN j = n2 THEN list_append(cur, v) ELSE prev END,
+         CASE WHEN j = n2 THEN CAST([] AS DOUBLE[]) ELSE list_append(cur, v) END
+  FROM (
+    SELECT *, CASE WHEN abs(i * n2 - j * n1) < bound THEN
+                (CASE WHEN i > 0 THEN prev[j + 1] * (n1 - i + 1) / greatest(tot - (i - 1) - j, 1) ELSE 0.0 END)
+                + (CASE WHEN j > 0 THEN cur[j] * (n2 - j + 1) / (tot - i - (j - 1)) ELSE 0.0 END)
+              ELSE 0.0 END AS v
+    FROM lat WHERE i <= n1) x),
+ks_exact AS (SELECT sku, feature, least(1.0, greatest(0.0, 1 - prev[n2 + 1])) AS p FROM lat
+             WHERE i = n1 + 1 AND j = 0),
+ks_asym AS (
+  SELECT sku, feature, CASE WHEN lam < 1e-3 THEN 1.0 ELSE least(1.0, greatest(0.0, 2 * list_sum(
+           list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END)
+                                                   * exp(-2 * k * k * lam * lam))))) END AS p
+  FROM (SELECT g.sku, g.feature, b.ks_statistic * sqrt(g.n1 * g.n2 / (g.n1 + g.n2)) AS lam
+        FROM ks_gp g JOIN ks_base b ON b.sku = g.sku AND b.feature = g.feature WHERE g.n1 * g.n2 > 1000000)),
+ks AS (
+  SELECT b.sku, b.feature, b.n_before, b.n_after, b.ks_statistic,
+         COALESCE(e.p, a.p, 1.0) AS p_raw
+  FROM ks_base b LEFT JOIN ks_exact e ON e.sku = b.sku AND e.feature = b.feature
+       LEFT JOIN ks_asym a ON a.sku = b.sku AND a.feature = b.feature),
+ks_out AS (
+  SELECT sku, feature, n_before, n_after, round(ks_statistic, 4) AS ks_statistic, round(p_raw, 4) AS p_value,
+         p_raw < 0.05 AS drift_detected,
+         CASE WHEN n_before < 5 OR n_after < 5 OR ks_statistic IS NULL THEN 'Insufficient data'
+              ELSE printf('%s: %s (p=%.4f)', feature, CASE WHEN p_raw < 0.05 THEN 'Drift detected'
+                                                             ELSE 'No drift' END, p_raw) END AS message
+  FROM ks)
+"""
 
 
-@query("ks_test")
+@query("ks_test", sql=DRIFT + KS_SQL + KS_P_SQL + fin(
+    "SELECT * FROM ks_out", ints=["n_before", "n_after"], dbls=["ks_statistic", "p_value"],
+    keep=["sku", "feature", "drift_detected", "message"]))
 def ks_test(spark, sf_dir):
-    """D10 with exact p-values (pandas UDF); rows-only check."""
+    """D10 with exact p-values (an Arrow pandas UDF; the oracle walks the same lattice in SQL)."""
     return ks_tests(spark, sf_dir)

@@ -103,13 +103,6 @@ def rp_last100(scored):
                     (F.col("actual") - F.col("predicted")).alias("residual"))
 
 
-@query("drift_check")
-def drift_check(spark, sf_dir):
-    """D11-D14 with input drift from the KS tests."""
-    res = q_drift.residuals_df(spark, sf_dir)
-    return rp.drift_check(rp.replay(res), res, q_drift.ks_tests(spark, sf_dir))
-
-
 # ----------------------------------------------------------------- history
 HIST_SQL = BASE_SQL.replace("bm AS (", "bm_unused AS (") + """,
 runs AS (
@@ -273,3 +266,28 @@ def drift_replay(spark, sf_dir):
 def drift_events(spark, sf_dir):
     """D8."""
     return rp.drift_events(rp.replay(q_drift.residuals_df(spark, sf_dir)))
+
+
+DRIFT_CHECK_SQL = """
+SELECT s.sku, x.lv.d OR COALESCE(k.in_d, false) AS drift_detected, x.lv.s AS severity,
+       CASE WHEN len(x.lv.det) > 0 THEN array_to_string(x.lv.det, ', ') ELSE '—' END AS detectors,
+       x.lv.m AS message,
+       CASE WHEN x.lv.d AND x.lv.s >= 0.5 THEN 'HIGH' WHEN x.lv.d OR COALESCE(k.in_d, false) THEN 'MEDIUM'
+            WHEN x.lv.w THEN 'LOW' ELSE 'NONE' END AS label,
+       x.drift_events, s.mean_residual, s.std_residual, s.mae, s.n_obs,
+       COALESCE(k.input_drift, CAST([] AS VARCHAR[])) AS input_drift
+FROM (SELECT sku, arg_max({'d': drift_detected, 's': severity, 'det': detectors, 'm': message, 'w': ddm_warning}, n)
+             AS lv, count(*) FILTER (WHERE drift_detected) AS drift_events FROM rp2 GROUP BY sku) x
+     JOIN (SELECT sku, avg(residual) AS mean_residual, stddev_pop(residual) AS std_residual,
+                  avg(abs(residual)) AS mae, count(*) AS n_obs FROM res GROUP BY sku) s ON s.sku = x.sku
+     LEFT JOIN (SELECT sku, list_sort(list(message)) AS input_drift, bool_or(drift_detected) AS in_d
+                FROM ks_out GROUP BY sku) k ON k.sku = x.sku"""
+
+
+@query("drift_check", sql=REPLAY_SQL + q_drift.KS_SQL + q_drift.KS_P_SQL + fin(
+    DRIFT_CHECK_SQL, ints=["drift_events", "n_obs"], dbls=["severity", "mean_residual", "std_residual", "mae"],
+    keep=["sku", "drift_detected", "detectors", "message", "label", "input_drift"]))
+def drift_check(spark, sf_dir):
+    """D11-D14 with input drift from the KS tests."""
+    res = q_drift.residuals_df(spark, sf_dir)
+    return rp.drift_check(rp.replay(res), res, q_drift.ks_tests(spark, sf_dir))
