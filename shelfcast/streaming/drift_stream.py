@@ -105,9 +105,22 @@ def write_arrivals(obs: DataFrame, source_dir: str, slice_days: int = 7) -> int:
     sl = (F.datediff(F.to_date("ts"), F.lit(day0)) / slice_days).cast("int")
     tagged = obs.withColumn("_slice", sl)
     slices = sorted(r["_slice"] for r in tagged.select("_slice").distinct().collect())
-    for k in slices:
+    spark = obs.sparkSession
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(source_dir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    seen: set[str] = set()
+    base_ms = 1_000_000_000_000
+    for i, k in enumerate(slices):
         (tagged.where(F.col("_slice") == k).drop("_slice").coalesce(1)
          .write.mode("append").parquet(source_dir))
+        # The file source orders new files by modification time: stamp each slice's
+        # files explicitly so arrival order never depends on clock resolution.
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if name.endswith(".parquet") and name not in seen:
+                fs.setTimes(st.getPath(), base_ms + i * 60_000, -1)
+                seen.add(name)
     return len(slices)
 
 
