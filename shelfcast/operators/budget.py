@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.prefix import global_running_sum
 
+# The note appended when the global budget reduces an order.
 REDUCED_NOTE = " |  Reduced from %d to %d due to Budget Limit."
 
 

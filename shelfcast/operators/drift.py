@@ -16,6 +16,10 @@ from shelfcast.functions.hashing import md5_mod
 from shelfcast.operators.features import add_rolling_features
 
 MONITOR_ROWS = 100          # last pairs fed per SKU
+# Drift and input-drift message texts.
+DRIFT_MESSAGE = "Drift detected by %s. Recent MAE: %.2f"
+KS_MESSAGE = "%s: %s (p=%.4f)"
+KS_DRIFT, KS_NO_DRIFT, KS_INSUFFICIENT = "Drift detected", "No drift", "Insufficient data"
 DDM_MIN_INSTANCES = 30
 DDM_WARNING, DDM_DRIFT = 2.0, 3.0
 RECENT = 7                  # severity / message window
@@ -107,7 +111,7 @@ def residual_stats(res: DataFrame) -> DataFrame:
 
 def drift_message(detectors: Column, recent_mae: Column) -> Column:
     """D7: "Drift detected by A, B. Recent MAE: x.xx"."""
-    return F.format_string("Drift detected by %s. Recent MAE: %.2f", F.array_join(detectors, ", "), recent_mae)
+    return F.format_string(DRIFT_MESSAGE, F.array_join(detectors, ", "), recent_mae)
 
 
 def drift_summary(res: DataFrame) -> DataFrame:
@@ -181,7 +185,7 @@ def ks_tests(stats: DataFrame) -> DataFrame:
     out = stats.withColumn("_p", p)
     drift = F.col("_p") < ALPHA
     enough = (F.col("n_before") >= MIN_SAMPLES) & (F.col("n_after") >= MIN_SAMPLES) & F.col("ks_statistic").isNotNull()
-    msg = F.when(~enough, F.lit("Insufficient data")).otherwise(F.format_string(
-        "%s: %s (p=%.4f)", F.col("feature"), F.when(drift, "Drift detected").otherwise("No drift"), F.col("_p")))
+    msg = F.when(~enough, F.lit(KS_INSUFFICIENT)).otherwise(F.format_string(
+        KS_MESSAGE, F.col("feature"), F.when(drift, KS_DRIFT).otherwise(KS_NO_DRIFT), F.col("_p")))
     return out.select("sku", "feature", "n_before", "n_after", F.round("ks_statistic", 4).alias("ks_statistic"),
                       F.round("_p", 4).alias("p_value"), drift.alias("drift_detected"), msg.alias("message"))

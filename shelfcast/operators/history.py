@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.evaluate import MIN_TRAIN_ROWS, with_positions
 
+# Improvement report messages.
+INSUFFICIENT_NOTE = "Insufficient history"
+IMPROVED_NOTE = "MAE improved by %.1f%%"
+NEEDS_DATA_NOTE = "Model needs more data"
+
 
 def expanding_runs(scored: DataFrame, runs: int = 3, min_rows: int = MIN_TRAIN_ROWS) -> DataFrame:
     """One metric snapshot per successive run; run v sees the first v/runs of
@@ -38,9 +43,9 @@ def improvement_report(history: DataFrame) -> DataFrame:
     pct = F.when(F.col("initial_mae") != 0, (F.col("initial_mae") - F.col("current_mae")) / F.col("initial_mae")
                  * 100).otherwise(F.lit(0.0))
     enough = F.col("versions_trained") >= 2
-    msg = (F.when(~enough, F.lit("Insufficient history"))
-           .when(pct > 0, F.format_string("MAE improved by %.1f%%", pct))
-           .otherwise(F.lit("Model needs more data")))
+    msg = (F.when(~enough, F.lit(INSUFFICIENT_NOTE))
+           .when(pct > 0, F.format_string(IMPROVED_NOTE, pct))
+           .otherwise(F.lit(NEEDS_DATA_NOTE)))
     return g.select("sku", "versions_trained", "initial_mae", "current_mae",
                     F.round(pct, 2).alias("mae_improvement_pct"), (enough & (pct > 0)).alias("improved"),
                     msg.alias("message"))

@@ -19,8 +19,13 @@ SAFETY_STOCK_DAYS = {"FOODS": 1, "HOUSEHOLD": 3, "OTHER": 2}
 RULE_DEFAULTS = {"max_shelf_capacity": 100, "unit_cost": 1.0, "max_budget_per_order": 500,
                  "perishability_days": 30, "safety_stock_days": 2}
 RULE_FIELDS = list(RULE_DEFAULTS)
+# Order explanation texts.
 NO_RULE_NOTE = "No rules configured, using raw forecast minus stock"
 WITHIN_NOTE = "Within all constraints"
+SHELF_NOTE = "Capped by shelf capacity (%d)"
+BUDGET_NOTE = "Capped by budget ($%d)"
+PERISH_NOTE = "Capped by perishability (%d days)"
+NOTE_SEPARATOR = "; "
 DEFAULT_STOCK = 50
 
 
@@ -105,10 +110,10 @@ def constrain(f: Column, s: Column, cap: Column, cost: Column, budget: Column, d
         limit = demand * days
         per_hit = F.coalesce((demand > 0) & (q2 > limit), F.lit(False))
         q3 = F.when(per_hit, F.floor(limit)).otherwise(q2)
-    notes = F.concat_ws("; ",
-                        _note(cap_hit, F.format_string("Capped by shelf capacity (%d)", cap)),
-                        _note(bud_hit, F.format_string("Capped by budget ($%d)", budget)),
-                        _note(per_hit, F.format_string("Capped by perishability (%d days)", days)))
+    notes = F.concat_ws(NOTE_SEPARATOR,
+                        _note(cap_hit, F.format_string(SHELF_NOTE, cap)),
+                        _note(bud_hit, F.format_string(BUDGET_NOTE, budget)),
+                        _note(per_hit, F.format_string(PERISH_NOTE, days)))
     expl = F.when(~has_rule, F.lit(NO_RULE_NOTE)).otherwise(
         F.coalesce(F.nullif(notes, F.lit("")), F.lit(WITHIN_NOTE)))
     final = F.when(~has_rule, net).otherwise(q3).cast("bigint")
