@@ -31,6 +31,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # commit a changelog per micro-batch instead of a full RocksDB checkpoint
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
