@@ -291,3 +291,15 @@ def drift_check(spark, sf_dir):
     """D11-D14 with input drift from the KS tests."""
     res = q_drift.residuals_df(spark, sf_dir)
     return rp.drift_check(rp.replay(res), res, q_drift.ks_tests(spark, sf_dir))
+
+
+@query("monitor_counts", sql=REPLAY_SQL + q_drift.KS_SQL + q_drift.KS_P_SQL + fin(f"""
+SELECT count(*) FILTER (WHERE drift_detected) AS drift_skus, count(*) FILTER (WHERE label = 'LOW') AS warning_skus,
+       count(*) FILTER (WHERE label = 'NONE') AS stable_skus, count(*) AS total_skus,
+       avg(mean_residual) AS avg_mean_residual, avg(std_residual) AS avg_std_residual
+FROM ({DRIFT_CHECK_SQL}) c""", ints=["drift_skus", "warning_skus", "stable_skus", "total_skus"],
+    dbls=["avg_mean_residual", "avg_std_residual"]))
+def monitor_counts(spark, sf_dir):
+    """D15 on the last-observation verdicts of the full detectors (Q4), with input drift."""
+    from shelfcast.operators import drift as dr
+    return dr.drift_counts(drift_check(spark, sf_dir).withColumnRenamed("drift_detected", "drift"))
