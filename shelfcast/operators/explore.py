@@ -29,19 +29,17 @@ def top_skus(pos: DataFrame, n: int = 50) -> DataFrame:
 def price_histogram(pos: DataFrame, bins: int = 30, col: str = "price") -> DataFrame:
     """A4: equal-width bins between min and max, the max falling into the last bin.
 
-    min/max come from one global aggregate (a single row, broadcast back);
-    the counting is a partial aggregation on at most ``bins`` keys.
+    min and max are scalar subqueries (one global aggregate, computed once and
+    used as constants); the counting is a partial aggregation on at most
+    ``bins`` keys.
     """
-    rng = pos.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo"))
-    b = F.when(width > 0, F.least(F.floor((F.col(col) - F.col("_lo")) / width * bins) + 1, F.lit(bins))) \
-        .otherwise(F.lit(1))
-    lo_hi = F.broadcast(rng.withColumn("_k", F.lit(0)))  # exactly one row
-    x = pos.select(col).where(F.col(col).isNotNull()).withColumn("_k", F.lit(0)).join(lo_hi, "_k")
-    return (x.groupBy(b.cast("bigint").alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_lo").alias("_lo"), F.min("_hi").alias("_hi"))
-        .select("bin", "n", (F.col("_lo") + (F.col("bin") - 1) * (F.col("_hi") - F.col("_lo")) / bins)
-                .alias("bin_start")))
+    vals = pos.select(col).where(F.col(col).isNotNull())
+    lo = vals.select(F.min(col)).scalar()
+    hi = vals.select(F.max(col)).scalar()
+    width = hi - lo
+    b = F.when(width > 0, F.least(F.floor((F.col(col) - lo) / width * bins) + 1, F.lit(bins))).otherwise(F.lit(1))
+    return (vals.groupBy(b.cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+            .select("bin", "n", (lo + (F.col("bin") - 1) * width / bins).alias("bin_start")))
 
 
 def category_counts(pos: DataFrame) -> DataFrame:

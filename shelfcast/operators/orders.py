@@ -198,12 +198,10 @@ def order_listing(orders: DataFrame, n: int = 30) -> DataFrame:
 
 
 def with_remainder(top: DataFrame, full: DataFrame, n: int) -> DataFrame:
-    """Add ``n_more`` ("... and N more"): rows of ``full`` beyond the first ``n``.
-
-    The count is a one-row aggregate joined on a constant key (exactly one row).
-    """
-    more = full.agg(F.greatest(F.count(F.lit(1)) - n, F.lit(0)).alias("n_more")).withColumn("_k", F.lit(0))
-    return top.withColumn("_k", F.lit(0)).join(F.broadcast(more), "_k").drop("_k")
+    """Add ``n_more`` ("... and N more"): rows of ``full`` beyond the first ``n``
+    (a scalar subquery over ``full``)."""
+    total = full.select(F.count(F.lit(1))).scalar()
+    return top.withColumn("n_more", F.greatest(total - n, F.lit(0)))
 
 
 def sku_economics(skus: DataFrame) -> DataFrame:
