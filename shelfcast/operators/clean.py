@@ -183,16 +183,15 @@ def exact_median(df: DataFrame, col: str) -> DataFrame:
     """Exact median (mean of the two middle values for an even count), distributed.
 
     Values are reduced to (value, count) pairs, a global running count is built
-    with range partitioning (no single-task window), and the middle values are
-    picked by rank. Only the total count reaches the driver. Returns one row.
+    with range partitioning (no single-task window), and the middle ranks are
+    picked with the total count as a scalar subquery. Returns one row (NULL
+    median for an empty input).
     """
-    spark = df.sparkSession
     vc = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
     run = global_running_sum(vc, [F.col(col).asc()], "_c", "_cum")
-    n = run.agg(F.max("_cum")).collect()[0][0]
-    if not n:
-        return spark.createDataFrame([(None,)], "median double")
-    k1, k2 = (n + 1) // 2, n // 2 + 1
+    n = run.select(F.max("_cum")).scalar()
+    k1 = F.floor((n + 1) / 2)
+    k2 = F.floor(n / 2) + 1
     cum = F.col("_cum")
     picks = run.where((cum >= k1) & (cum - F.col("_c") < k2))
     return picks.agg(((F.min(F.when(cum >= k1, F.col(col))) + F.min(F.when(cum >= k2, F.col(col))))
