@@ -156,3 +156,11 @@ def test_replay_across_small_arrow_batches(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == want
+
+
+def test_pooled_model(spark):
+    feats = q_features.features_df(spark, SF_SMALL).checkpoint(eager=True)
+    model, data = fc.train_pooled(feats, fe.FEATURE_COLUMNS, max_iter=20)
+    scored = fc.score_pooled(model, data)
+    assert scored.count() == feats.count() and scored.where("predicted < 0").count() == 0
+    assert model.getNumTrees >= 1
