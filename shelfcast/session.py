@@ -47,19 +47,29 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_FALLBACK_DIRS: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder for checkpoints and written intermediate tables.
 
-    The cluster names it; only when it is unset (local tests) do we create a
-    private scratch folder. Lineage cuts use ``DataFrame.checkpoint()`` or tables
-    written below this folder, never executor-local storage.
+    The cluster names it in ``spark.checkpoint.dir`` (a static setting, read
+    here, never changed). When it is unset, a checkpoint folder already given
+    to the SparkContext is used; only when neither exists (local tests) is a
+    private scratch folder created. Lineage cuts use ``DataFrame.checkpoint()``
+    or tables written below this folder, never executor-local storage.
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        key = id(sc._jsc)
+        d = _FALLBACK_DIRS.get(key)
+        if d is None:
+            current = sc.getCheckpointDir()
+            d = os.path.dirname(current.rstrip("/")) if current else tempfile.mkdtemp(prefix="shelfcast-ckpt-")
+            _FALLBACK_DIRS[key] = d
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
