@@ -29,10 +29,11 @@ def _fs(spark: SparkSession, path: str):
 
 def _code_version() -> bytes:
     """Source of the derivations, so a changed adapter never reuses an old table."""
-    here = os.path.dirname(os.path.abspath(__file__))
+    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     h = hashlib.md5()
-    for name in ("fixture.py", "materialize.py"):
-        with open(os.path.join(here, name), "rb") as f:
+    for name in ("sources/fixture.py", "sources/materialize.py", "sources/tables.py", "functions/dates.py",
+                 "functions/hashing.py"):
+        with open(os.path.join(pkg, name), "rb") as f:
             h.update(f.read())
     return h.digest()
 
