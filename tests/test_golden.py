@@ -148,3 +148,18 @@ def test_ks_pvalues():
     assert ks_pvalue(1.0, 5, 5) == pytest.approx(1 / 126, abs=1e-9)
     assert ks_pvalue(0.5, 4, 50) == 1.0
     assert 0 <= ks_pvalue(0.05, 2000, 2000) <= 1 and math.isfinite(ks_pvalue(0.05, 2000, 2000))
+
+
+def test_holiday_dimension_golden(spark):
+    import datetime as dt
+    from shelfcast.functions.dates import holiday_dimension
+    days = spark.createDataFrame([(dt.date(1995, 1, 2),), (dt.date(2000, 6, 1),)], "date date")
+    got = {(r.holiday_date, r.holiday_name) for r in holiday_dimension(days).collect()}
+    for d, name in [((1995, 1, 16), "Martin Luther King Jr. Day"), ((1995, 5, 29), "Memorial Day"),
+                    ((1995, 7, 4), "Independence Day"), ((1995, 11, 23), "Thanksgiving"),
+                    ((1998, 7, 3), "Independence Day (observed)"),        # July 4 1998 was a Saturday
+                    ((1999, 12, 31), "New Year's Day (observed)"),        # Jan 1 2000 was a Saturday
+                    ((1995, 9, 4), "Labor Day"), ((1995, 10, 9), "Columbus Day"),
+                    ((1995, 2, 20), "Washington's Birthday"), ((1995, 12, 25), "Christmas Day")]:
+        assert (dt.date(*d), name) in got, (d, name)
+    assert not any(n.startswith("Juneteenth") for _, n in got)          # only from 2021
