@@ -303,3 +303,22 @@ def monitor_counts(spark, sf_dir):
     """D15 on the last-observation verdicts of the full detectors (Q4), with input drift."""
     from shelfcast.operators import drift as dr
     return dr.drift_counts(drift_check(spark, sf_dir).withColumnRenamed("drift_detected", "drift"))
+
+
+@query("incremental_retrain")
+def incremental_retrain(spark, sf_dir):
+    """Models trained on the history before 2000 (version 1) are retrained on the
+    union of that history and newer observations (existing rows win, J11): version 2."""
+    from shelfcast.functions.dates import holiday_dimension
+    from shelfcast.operators import reshape as rs
+    from shelfcast.sources import fixture as fx
+    pos = fx.pos(spark, sf_dir)
+    hol = holiday_dimension(fx.calendar_raw(spark, sf_dir))
+    existing = pos.where(F.col("date") < F.lit("2000-01-01").cast("date"))
+    new = (pos.where(F.col("date") >= F.lit("1999-07-01").cast("date"))
+           .withColumn("units_sold", F.col("units_sold") + 1))
+    merged = rs.incremental_merge(existing, new).drop("_src")
+    old_feats = fe.prepare_features(fc.partition_for_training(existing), hol)
+    v1 = fc.train_models(old_feats, fe.FEATURE_COLUMNS)
+    new_feats = fe.prepare_features(fc.partition_for_training(merged), hol)
+    return fc.train_models(new_feats, fe.FEATURE_COLUMNS, prior=v1).select(*METRIC_COLS)
