@@ -185,7 +185,7 @@ rec AS (
 
 
 @query("ddm_replay", sql=q_drift.DRIFT + DDM_REC_SQL + """
-SELECT sku, n, CAST(drift AS INTEGER) AS ddm_drift, CAST(warn AS INTEGER) AS ddm_warning FROM rec WHERE n > 0""")
+SELECT sku, n, CAST(drift AS BIGINT) AS ddm_drift, CAST(warn AS BIGINT) AS ddm_warning FROM rec WHERE n > 0""")
 def ddm_replay(spark, sf_dir):
     """D3 with resets (the online detector), per observation; oracle: a recursive CTE."""
     rep = rp.replay(q_drift.residuals_df(spark, sf_dir))
@@ -225,7 +225,7 @@ adw AS (
 
 
 @query("adwin_replay", sql=q_drift.DRIFT + ADWIN_REC_SQL + """
-SELECT sku, n, CAST(hit AS INTEGER) AS adwin_drift, wlen AS window_len FROM adw WHERE n > 0""")
+SELECT sku, n, CAST(hit AS BIGINT) AS adwin_drift, wlen AS window_len FROM adw WHERE n > 0""")
 def adwin_replay(spark, sf_dir):
     """D2 per observation (drift flag and window length after the update); oracle: a
     recursive CTE carrying the window as a list."""

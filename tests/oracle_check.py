@@ -16,6 +16,11 @@ sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
 from shelfcast.sources.tables import TABLES, table_path  # noqa: E402
 
 
+# Spark simple type name -> DuckDB type name, for the schema part of the comparison.
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+              "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "array<string>": "VARCHAR[]"}
+
+
 def duck(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
@@ -50,11 +55,17 @@ def compare(spark, con, name, fn, sql, sf_dir):
     t1 = time.time()
     if sql is None:
         return f"{name}: rows-only {len(srows)} ({t1 - t0:.1f}s)"
-    res = con.execute(sql)
-    dcols = [d[0] for d in res.description]
-    drows = res.fetchall()
+    rel = con.sql(sql)
+    dcols = list(rel.columns)
+    dtypes = {c: str(t) for c, t in zip(dcols, rel.types)}
+    drows = rel.fetchall()
     if sorted(scols) != sorted(dcols):
         return f"{name}: COLUMNS DIFFER spark={scols} duck={dcols}"
+    stypes = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema.fields}
+    if stypes != dtypes:
+        diff = {c: (stypes[c], dtypes[c]) for c in stypes if stypes[c] != dtypes[c]}
+        return f"{name}: TYPES DIFFER {diff}"
     a, b = rows_of(scols, srows), rows_of(dcols, drows)
     if len(a) != len(b):
         return f"{name}: ROWCOUNT spark={len(a)} duck={len(b)}"
