@@ -163,3 +163,23 @@ def test_holiday_dimension_golden(spark):
                     ((1995, 2, 20), "Washington's Birthday"), ((1995, 12, 25), "Christmas Day")]:
         assert (dt.date(*d), name) in got, (d, name)
     assert not any(n.startswith("Juneteenth") for _, n in got)          # only from 2021
+
+
+def test_gbt_closed_form():
+    from shelfcast.operators.gbt import HistGBT
+    X = np.array([[0.0], [0.0], [1.0], [1.0]])
+    y = np.array([0.0, 0.0, 10.0, 10.0])
+    # one stump, no shrinkage: base 5, gradients +-5, leaf weight -G / (H + lambda)
+    m = HistGBT(n_estimators=1, max_depth=1, learning_rate=1.0, reg_lambda=0.0).fit(X, y)
+    assert np.allclose(m.predict(X), y)
+    m = HistGBT(n_estimators=1, max_depth=1, learning_rate=1.0, reg_lambda=1.0).fit(X, y)
+    assert np.allclose(m.predict(X), [5 - 10 / 3, 5 - 10 / 3, 5 + 10 / 3, 5 + 10 / 3])
+    # the split threshold sits between the two values: x < 1 goes left
+    assert np.allclose(m.predict(np.array([[0.5], [1.5]])), [5 - 10 / 3, 5 + 10 / 3])
+    # early stopping keeps the best iteration on the validation set
+    rng = np.random.default_rng(3)
+    Xr = rng.normal(size=(300, 3))
+    yr = Xr[:, 0] * 2 + rng.normal(scale=0.1, size=300)
+    m = HistGBT(early_stopping_rounds=10).fit(Xr[:240], yr[:240], Xr[240:], yr[240:])
+    assert 0 <= m.best_iteration < len(m.trees) <= 100
+    assert np.sqrt(np.mean((m.predict(Xr[240:]) - yr[240:]) ** 2)) < 0.5
