@@ -36,7 +36,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", max(8, cpus * 2))
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):          # stage/task times without the UI
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
+    spark = build_session(f"local[{cpus}]", max(8, cpus * 2), extra_conf=extra)
     load_all()
     spark.range(1000).selectExpr("sum(id)").collect()   # warm-up: JVM and codegen start
     # Derived fixture tables are written once per input (S10); a fresh namespace makes

@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "shelfcast") -> SparkSession:
+                  app_name: str = "shelfcast", extra_conf: dict | None = None) -> SparkSession:
     """Create (or reuse) a session configured for the engine.
 
     On a cluster the master, memory and ``spark.checkpoint.dir`` come from the
@@ -38,6 +38,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", "16g")
+    conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
