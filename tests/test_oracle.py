@@ -7,7 +7,8 @@ from oracle_check import compare, duck
 
 SAMPLE = ["feature_matrix", "apply_rules", "global_budget", "pos_merged", "cleaning_audit", "price_summary",
           "ddm_first_detection", "drift_summary", "ks_statistic", "baseline_metrics", "improvement_report",
-          "order_listing", "calendar_gaps", "cv_folds", "update_rules"]
+          "order_listing", "calendar_gaps", "cv_folds", "update_rules", "drift_replay", "adwin_replay",
+          "ddm_replay", "ks_test", "drift_check", "events_drift_batch", "monitor_counts", "stream_pos_history"]
 
 
 @pytest.fixture(scope="module")
@@ -26,4 +27,4 @@ def test_query_matches_oracle(spark, con, name):
 def test_every_query_registered_with_entry():
     import __spark_entry__ as e
     q, o = e.queries(), e.oracle_sql()
-    assert set(o) <= set(q) and len(q) >= 70
+    assert set(o) <= set(q) and len(q) >= 85 and len(o) >= 75
