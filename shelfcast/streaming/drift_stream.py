@@ -125,10 +125,18 @@ def write_arrivals(obs: DataFrame, source_dir: str, slice_days: int = 7) -> int:
 
 
 def run_to_table(spark: SparkSession, source_dir: str, schema, out_dir: str, ckpt_dir: str,
-                 max_files: int | None = None) -> DataFrame:
+                 max_files: int | None = None, state_partitions: int | None = None) -> DataFrame:
     """Run the monitor over the files in ``source_dir`` until they are consumed
-    (``availableNow``), writing Parquet to ``out_dir``; return the written table."""
-    r = spark.readStream.schema(schema)
+    (``availableNow``), writing Parquet to ``out_dir``; return the written table.
+
+    The number of state partitions is fixed when a query first starts; it is set
+    to one per core (``state_partitions``) on a child session, so the caller's
+    shuffle setting is left alone.
+    """
+    ss = spark.newSession()
+    ss.conf.set("spark.sql.shuffle.partitions",
+                str(state_partitions or spark.sparkContext.defaultParallelism))
+    r = ss.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     q = (monitor_stream(r.parquet(source_dir)).writeStream.format("parquet")
