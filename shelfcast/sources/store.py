@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.operators.orders import RULE_DEFAULTS, RULE_FIELDS, default_stock
+from shelfcast.sources.materialize import _fs
 from shelfcast.session import scratch_path
 
 RULES_SCHEMA = T.StructType([
@@ -36,9 +37,7 @@ def unique_path(spark: SparkSession, name: str) -> str:
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """Path check through the Hadoop FileSystem of the path (works for shared stores)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p, fs = _fs(spark, path)
     return fs.exists(p)
 
 
