@@ -164,3 +164,28 @@ def test_pooled_model(spark):
     scored = fc.score_pooled(model, data)
     assert scored.count() == feats.count() and scored.where("predicted < 0").count() == 0
     assert model.getNumTrees >= 1
+
+
+def test_sources_and_sinks(spark):
+    # Sparse rules file -> per-field defaults
+    rules = spark.createDataFrame([("a", "FOODS", 10, 2.5, None, None, 1), ("b", "X", None, None, 700, 9, None)],
+                                  store.RULES_SCHEMA)
+    path = store.unique_path(spark, "t_rules")
+    store.save_rules(rules, path)
+    got = {r.sku: r for r in store.load_rules(spark, path).collect()}
+    assert (got["a"].max_budget_per_order, got["a"].perishability_days) == (500, 30)
+    assert (got["b"].max_shelf_capacity, got["b"].unit_cost, got["b"].safety_stock_days) == (100, 1.0, 2)
+    # Stock file when present, default level otherwise
+    skus = spark.createDataFrame([("a",), ("b",)], "sku string")
+    assert {r.current_stock for r in store.load_stock(spark, None, skus).collect()} == {50}
+    sp = store.unique_path(spark, "t_stock")
+    spark.createDataFrame([("a", 7)], "sku string, current_stock long").write.option("header", True).csv(sp)
+    assert [tuple(r) for r in store.load_stock(spark, sp, skus).collect()] == [("a", 7)]
+    # Parquet cache wins over CSV when it exists
+    base = store.unique_path(spark, "t_cached")
+    spark.createDataFrame([("2020-01-02", 1)], "date string, v long").write.option("header", True).csv(base + "/x.csv")
+    r = store.cached_scan(spark, base + "/x.csv", base + "/x.parquet", date_cols=("date",)).collect()[0]
+    assert str(r.date) == "2020-01-02"
+    spark.createDataFrame([("2021-05-06", 2)], "date string, v long").write.parquet(base + "/x.parquet")
+    r = store.cached_scan(spark, base + "/x.csv", base + "/x.parquet", date_cols=("date",)).collect()[0]
+    assert str(r.date) == "2021-05-06" and r.v == 2
