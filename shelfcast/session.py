@@ -48,7 +48,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-_FALLBACK_DIRS: dict[int, str] = {}
+_FALLBACK_DIRS: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -56,18 +56,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     The cluster names it in ``spark.checkpoint.dir`` (a static setting, read
     here, never changed). When it is unset, a checkpoint folder already given
-    to the SparkContext is used; only when neither exists (local tests) is a
-    private scratch folder created. Lineage cuts use ``DataFrame.checkpoint()``
+    to the SparkContext is used; only when neither exists on a local master
+    (tests) is a private scratch folder created, any other master is an error. Lineage cuts use ``DataFrame.checkpoint()``
     or tables written below this folder, never executor-local storage.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        key = id(sc._jsc)
+        key = sc.applicationId
         d = _FALLBACK_DIRS.get(key)
         if d is None:
             current = sc.getCheckpointDir()
-            d = os.path.dirname(current.rstrip("/")) if current else tempfile.mkdtemp(prefix="shelfcast-ckpt-")
+            if current:
+                d = os.path.dirname(current.rstrip("/"))
+            elif sc.master.split("[")[0] == "local":
+                d = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
+            else:
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             _FALLBACK_DIRS[key] = d
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
@@ -80,7 +85,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -92,7 +97,7 @@ def ship_code(spark: SparkSession) -> None:
     (Spark's file distribution, so it also reaches executors started later).
     """
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
