@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import packing, sharding, simhash
-from shelfcast.llm.common import ready
+from shelfcast.llm import packing, quality, sharding, simhash, toxicity
+from shelfcast.llm.common import ready, remainder
 from shelfcast.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"),
+                             remainder("doc_id", 4) == 2)
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"),
+                            remainder("doc_id", 5) == 0)
+
+
 @query
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
