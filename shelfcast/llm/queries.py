@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import packing, quality, sharding, simhash, toxicity
+from shelfcast.llm import language, packing, quality, sharding, simhash, toxicity
 from shelfcast.llm.common import ready, remainder
 from shelfcast.sources.tables import read_table
 
@@ -58,6 +58,11 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.classify(documents(spark, sf_dir), remainder("doc_id", 3) == 1)
+
+
 def all_queries() -> dict:
     return dict(QUERIES)
 
