@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import language, packing, quality, sharding, simhash, toxicity
+from shelfcast.llm import decontaminate, language, packing, pii, quality, sharding, simhash, toxicity
 from shelfcast.llm.common import ready, remainder
 from shelfcast.sources.tables import read_table
 
@@ -41,6 +41,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
+
+
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"),
