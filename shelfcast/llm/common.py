@@ -58,6 +58,14 @@ def dealt_rank(df: DataFrame, groups: list[str], order: list[str], out: str, row
             .drop("_bucket", "_rank", "_before"))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of the value as text, modulo ``divisor`` (null: null)."""
     return F.crc32(F.col(column).cast("string")) % divisor
