@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import decontaminate, language, packing, pii, quality, sharding, simhash, toxicity
+from shelfcast.llm import decontaminate, language, packing, pii, quality, secrets, sharding, simhash, toxicity
 from shelfcast.llm.common import ready, remainder
 from shelfcast.sources.tables import read_table
 
@@ -63,6 +63,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                             remainder("doc_id", 5) == 0)
 
 
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(documents(spark, sf_dir))
+
+
 @query
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
