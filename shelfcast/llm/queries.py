@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import decontaminate, language, packing, pii, quality, secrets, sharding, simhash, toxicity
+from shelfcast.llm import decontaminate, language, neighbours, packing, pii, quality, secrets, sharding, simhash, toxicity
 from shelfcast.llm.common import ready, remainder
 from shelfcast.sources.tables import read_table
 
@@ -78,6 +78,11 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.classify(documents(spark, sf_dir), remainder("doc_id", 3) == 1)
 
 
+@query
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def all_queries() -> dict:
     return dict(QUERIES)
 
