@@ -38,7 +38,8 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(documents(spark, sf_dir))
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", "fingerprint", "component_id")
 
 
 @query

@@ -59,16 +59,18 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(at), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of every row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``keep`` and fp (the fingerprint as a signed long) of every row."""
     def mapped(batches):
         for batch in batches:
-            fps = np.fromiter((fingerprint(t, shingle) for t in batch.column(1).to_pylist()), np.uint64,
+            fps = np.fromiter((fingerprint(t, shingle) for t in batch.column(0).to_pylist()), np.uint64,
                               batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fps.view(np.int64))],
+                                             names=[*batch.schema.names[1:], "fp"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary")).mapInArrow(
-        mapped, "doc_id bigint, fp bigint")
+    picked = docs.select(F.col("text").cast("binary"), F.col("doc_id").cast("bigint"), *keep)
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[1:]]
+    return picked.mapInArrow(mapped, ", ".join([*fields, "fp bigint"]))
 
 
 def _bytes_at(fp, positions) -> F.Column:
@@ -151,20 +153,22 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return edges
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fingerprint (hex) and component_id for every row.
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fingerprint (hex), component_id, the group's root and the columns ``keep`` for every row.
 
     A null, empty or wordless text has fingerprint zero and is linked like any
     other. component_id is the least non-null doc_id reachable (null if there is
-    none). Repeated rows stay; an empty table gives an empty result.
+    none); root tells groups apart in any case. Repeated rows stay; an empty
+    table gives an empty result; other columns are ignored.
     """
     ready(docs.sparkSession)
-    rows = written(fingerprints(docs, shingle), "fingerprints")
+    rows = written(fingerprints(docs, shingle, keep), "fingerprints")
     known = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     rooted = components(links(known.select("fp"), radius)).withColumnRenamed("node", "fp")
     marked = known.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = marked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = marked.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    named = written(named, "named-fingerprints")
+    named = written(marked.select("fp", "root").join(ids, "root").select("fp", "root", "component_id"),
+                    "named-fingerprints")
     return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-                                         "component_id")
+                                         "component_id", "root", *keep)
