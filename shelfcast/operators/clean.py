@@ -69,9 +69,18 @@ def split_columns(wide: DataFrame, prefix: str = DAY_PREFIX) -> tuple[list[str],
 
 
 def melt_sales(wide: DataFrame, value: str = "units_sold") -> DataFrame:
-    """Wide -> long with ``unpivot``; NULL cells are kept (they are "no value")."""
+    """Wide -> long; NULL cells are kept (they are "no value").
+
+    One generator over an array of the day columns: thousands of columns make
+    ``unpivot`` plan one projection for each.
+    """
     ids, days = split_columns(wide)
-    return wide.unpivot(ids, days, "d", value)
+    if not days:
+        return wide.unpivot(ids, days, "d", value)
+    cells = F.expr("array(" + ", ".join(f"`{c}`" for c in days) + ")")
+    names = F.expr("array(" + ", ".join(f"'{c}'" for c in days) + ")")
+    long = wide.select(*ids, F.posexplode(cells).alias("_day", value))
+    return long.select(*ids, F.element_at(names, F.col("_day") + 1).alias("d"), value)
 
 
 def clean_sales(wide: DataFrame, dedup_keys: tuple[str, ...] = ("item_id",),

@@ -22,10 +22,10 @@ DAYNUM = "(date_diff('day', DATE '1995-01-01', {d}) + 1)"
 
 ADAPTER = f"""
 sku_day AS (
-  SELECT r_name AS store_id, p_brand AS item_id, CAST(l_shipdate AS DATE) AS date,
+  SELECT r_name AS store_id, 'Suppl#' || CAST((l_suppkey + 1) // 2 AS VARCHAR) AS item_id, CAST(l_shipdate AS DATE) AS date,
          CAST(SUM(l_quantity) AS BIGINT) AS units_sold,
          SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS revenue_cents
-  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
        JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
   GROUP BY 1, 2, 3),
 calendar_raw AS (
@@ -50,7 +50,7 @@ pos AS (
 sales_long_window AS (
   SELECT item_id, store_id, {CAT.format(i='item_id')} AS cat_id,
          'd_' || CAST({DAYNUM.format(d='date')} AS VARCHAR) AS d, units_sold
-  FROM sku_day WHERE date < DATE '1995-03-01'),
+  FROM sku_day),
 sales_cells AS (
   SELECT i.item_id, i.store_id, i.cat_id, dd.d, s.units_sold
   FROM (SELECT DISTINCT item_id, store_id, cat_id FROM sales_long_window) i
@@ -59,7 +59,7 @@ sales_cells AS (
 sales_cells_dirty AS (
   SELECT i.item_id, i.store_id, i.cat_id, dd.d,
          CAST(CASE WHEN s.d IS NULL THEN NULL
-              WHEN i.store_id = 'ASIA' AND i.item_id = 'Brand#11' THEN 0
+              WHEN i.item_id = 'Suppl#1' THEN 0
               WHEN s.d IS NOT NULL AND {h("s.store_id || s.item_id || s.d")} % 20 = 0
                    AND CAST(substr(s.d, 3) AS INTEGER) % 2 = 0 THEN -s.units_sold
               WHEN s.d IS NOT NULL AND {h("s.store_id || s.item_id || s.d")} % 20 = 0 THEN NULL

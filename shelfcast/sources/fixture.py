@@ -2,17 +2,18 @@
 
 The reference consumes a calendar, a wide daily sales table and weekly prices.
 Those files are not available, so this adapter derives the same shapes from
-``lineitem``/``part``/``supplier``/``nation``/``region`` (see FIXTURES.md §2):
+``lineitem``/``supplier``/``nation``/``region`` (see FIXTURES.md §2):
 
-* store = region name, item = part brand, day = ship date, units = quantity;
+* store = region name, item = a pair of neighbouring supplier keys (so items and
+  series grow with the data), day = ship date, units = quantity;
 * the calendar holds every ship date; weeks whose ISO number is divisible by 13
   carry no price so that the "not yet on sale" drop has work to do.
 
 The base derivations (``sku_day``, ``calendar_raw``, ``pos``) and the raw
 inputs of the cleaners (wide sales and the dirtied tables, which are files in
 the reference) are materialised once per input in the shared folder (S10), so
-every query built on them starts from a Parquet scan. Nothing is collected except the bounded list
-of day columns needed to pivot the wide sales table.
+every query built on them starts from a Parquet scan. Nothing is collected except the list of day
+columns (one a calendar day) needed to pivot the wide sales table.
 """
 
 from __future__ import annotations
@@ -27,9 +28,8 @@ from shelfcast.sources.tables import read_table, table_path
 
 # Fixed values of the adapter (FIXTURES.md §2).
 DAY_ZERO = "1995-01-01"          # d_1 is this date
-WIDE_SALES_END = "1995-03-01"    # the wide sales table covers ship dates before this
 NO_PRICE_WEEK_MODULUS = 13       # weeks with wm_yr_wk % 13 == 0 have no price
-ZERO_ITEM = ("ASIA", "Brand#11")  # (store_id, item_id) zeroed in the dirtied sales
+ZERO_ITEM = "Suppl#1"            # item zeroed in the dirtied sales
 
 
 def week_key(d: Column) -> Column:
@@ -47,7 +47,7 @@ def day_number(d: Column) -> Column:
 
 
 def sku_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = [table_path(sf_dir, t) for t in ("lineitem", "part", "supplier", "nation", "region")]
+    src = [table_path(sf_dir, t) for t in ("lineitem", "supplier", "nation", "region")]
     return materialized(spark, "sku_day", src, lambda: build_sku_day(spark, sf_dir))
 
 
@@ -57,7 +57,7 @@ def calendar_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = [table_path(sf_dir, t) for t in ("lineitem", "part", "supplier", "nation", "region")]
+    src = [table_path(sf_dir, t) for t in ("lineitem", "supplier", "nation", "region")]
     return materialized(spark, "pos", src, lambda: build_pos(spark, sf_dir))
 
 
@@ -65,23 +65,22 @@ def build_sku_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily units and revenue per (store, item); the heavy aggregation of the adapter.
 
     nation (25 rows) and region (5 rows) are fixed-size dimensions and are
-    broadcast; part and supplier grow with the data and are left to the planner
-    (AQE turns them into broadcasts only when their measured size allows it).
+    broadcast; supplier grows with the data and is left to the planner (AQE turns
+    it into a broadcast only when its measured size allows it).
     The aggregation has at most stores x items x days groups, so the partial
     (map-side) aggregate collapses each task's rows before the shuffle.
     """
     li = read_table(spark, sf_dir, "lineitem",
-                    ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"])
-    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand"])
+                    ["l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"])
     supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
     region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
     supp_region = (supp.join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey)
                    .join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
                    .select("s_suppkey", "r_name"))
-    j = (li.join(part, li.l_partkey == part.p_partkey)
-         .join(supp_region, li.l_suppkey == supp_region.s_suppkey))
-    return (j.groupBy(F.col("r_name").alias("store_id"), F.col("p_brand").alias("item_id"),
+    j = li.join(supp_region, li.l_suppkey == supp_region.s_suppkey)
+    item = F.concat(F.lit("Suppl#"), F.expr("(l_suppkey + 1) div 2").cast("string"))
+    return (j.groupBy(F.col("r_name").alias("store_id"), item.alias("item_id"),
                       F.to_date("l_shipdate").alias("date"))
             .agg(F.sum("l_quantity").cast("bigint").alias("units_sold"),
                  F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("revenue_cents")))
@@ -138,8 +137,8 @@ def build_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_long_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(item, store, category, d, units) for the ship dates covered by the wide table."""
-    sd = sku_day(spark, sf_dir).where(F.col("date") < F.lit(WIDE_SALES_END).cast("date"))
+    """(item, store, category, d, units) for every ship date."""
+    sd = sku_day(spark, sf_dir)
     return sd.select("item_id", "store_id", category_of(F.col("item_id")).alias("cat_id"),
                      F.concat(F.lit("d_"), day_number(F.col("date")).cast("string")).alias("d"),
                      "units_sold")
@@ -148,8 +147,8 @@ def sales_long_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 def day_columns(long_df: DataFrame) -> list[str]:
     """Distinct ``d`` values of the wide window, in day order.
 
-    Bounded by the window length (59 days before 1995-03-01), so collecting it to
-    the driver is safe; it names the pivot columns.
+    One a calendar day, so collecting it to the driver is safe; it names the pivot
+    columns.
     """
     rows = long_df.select("d").distinct().collect()
     return sorted((r.d for r in rows), key=lambda s: int(s[2:]))
@@ -161,7 +160,7 @@ def _pivot(long_df: DataFrame) -> DataFrame:
             .agg(F.sum("units_sold").cast("bigint")))
 
 
-SKU_INPUTS = ("lineitem", "part", "supplier", "nation", "region")
+SKU_INPUTS = ("lineitem", "supplier", "nation", "region")
 
 
 def _sku_inputs(sf_dir: str) -> list[str]:
@@ -208,7 +207,7 @@ def build_sales_wide_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     lg = sales_long_window(spark, sf_dir)
     cell = md5_mod(F.concat("store_id", "item_id", "d"), SALES_BAD_CELL_MOD) == 0
     dn = F.substring("d", 3, 10).cast("int")
-    units = (F.when((F.col("store_id") == ZERO_ITEM[0]) & (F.col("item_id") == ZERO_ITEM[1]), F.lit(0))
+    units = (F.when(F.col("item_id") == ZERO_ITEM, F.lit(0))
              .when(cell & (dn % 2 == 0), -F.col("units_sold"))
              .when(cell, F.lit(None))
              .otherwise(F.col("units_sold")))
