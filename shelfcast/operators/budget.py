@@ -12,10 +12,8 @@ that come after the last fixed row:
      fill) and leaves ``R' < cost``; rows after it form the next round.
 Each round fixes at least one row and shrinks the budget below the partial
 row's cost, so the next round only keeps cheaper rows. Money is integer cents.
-Rounds run on Spark; only the single partial row per round reaches the driver.
-Once the remaining candidates number at most ``local_limit`` (a count checked
-before the step), the rest of the greedy runs as one sequential pass inside a
-single grouped task: exact, and bounded by the check.
+Rounds run on Spark; only the single partial row of a round reaches the driver.
+A line without a positive cost does not touch the budget and is filled in full.
 """
 
 from __future__ import annotations
@@ -38,25 +36,7 @@ def _before(m: Column, s: Column, m0: int, s0: str) -> Column:
     return (m > F.lit(m0)) | ((m == F.lit(m0)) & (s < F.lit(s0)))
 
 
-LOCAL_LIMIT = 50_000
-
-
-def _sequential_tail(budget: int):
-    import pandas as pd
-
-    def run(pdf: "pd.DataFrame") -> "pd.DataFrame":
-        pdf = pdf.sort_values(["margin_cents", "sku"], ascending=[False, True], kind="stable")
-        rem, out = int(budget), []
-        for sku, cost, qty in zip(pdf["sku"], pdf["cost_cents"], pdf["qty"]):
-            f = min(int(qty), rem // int(cost))
-            rem -= f * int(cost)
-            out.append((sku, f))
-        return pd.DataFrame(out, columns=["sku", "final_qty"])
-    return run
-
-
-def allocate(rows: DataFrame, budget_cents: int, max_rounds: int | None = None,
-             local_limit: int = LOCAL_LIMIT) -> DataFrame:
+def allocate(rows: DataFrame, budget_cents: int, max_rounds: int | None = None) -> DataFrame:
     """Greedy fill of ``rows`` (sku, margin_cents, cost_cents, qty) within ``budget_cents``.
 
     Returns (sku, final_qty). ``max_rounds`` is only a guard for tests; the loop
@@ -65,19 +45,17 @@ def allocate(rows: DataFrame, budget_cents: int, max_rounds: int | None = None,
     spark = rows.sparkSession
     m, s = F.col("margin_cents"), F.col("sku")
     order = [m.desc(), s.asc()]
-    pending = rows.select("sku", "margin_cents", "cost_cents", "qty").where(F.col("qty") > 0)
+    wanted = rows.select("sku", "margin_cents", "cost_cents", "qty").where(F.col("qty") > 0)
+    free = F.coalesce(F.col("cost_cents") <= 0, F.lit(True))
+    pending = wanted.where(~free)
     remaining = int(budget_cents)
-    fixed: list[DataFrame] = []
+    fixed = [wanted.where(free).select("sku", F.col("qty").alias("final_qty"))]
     rounds = 0
     while True:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError("budget allocation did not finish within max_rounds")
         cand = pending.where(F.col("cost_cents") <= F.lit(remaining))
-        if local_limit and cand.count() <= local_limit:
-            fixed.append(cand.groupBy(F.lit(0).alias("_g")).applyInPandas(
-                _sequential_tail(remaining), "sku string, final_qty long"))
-            break
         run = global_running_sum(cand.withColumn("_line", F.col("qty") * F.col("cost_cents")),
                                  order, "_line", "_S")
         over = run.where(F.col("_S") > F.lit(remaining)).orderBy(*order).limit(1).collect()

@@ -109,29 +109,6 @@ def residual_stats(res: DataFrame) -> DataFrame:
                                   F.avg(F.abs("residual")).alias("mae"), F.count(F.lit(1)).alias("n_obs"))
 
 
-def drift_message(detectors: Column, recent_mae: Column) -> Column:
-    """D7: "Drift detected by A, B. Recent MAE: x.xx"."""
-    return F.format_string(DRIFT_MESSAGE, F.array_join(detectors, ", "), recent_mae)
-
-
-def drift_summary(res: DataFrame) -> DataFrame:
-    """D13/D14 from the window form: first DDM drift, its severity, warning at the
-    last observation, residual statistics, detector string and label (Q3, Q4)."""
-    d = with_severity(ddm_no_reset(res))
-    g = d.groupBy("sku").agg(
-        F.min(F.when(F.col("ddm_drift") == 1, F.col("n"))).alias("first_drift_n"),
-        F.min_by("severity_score", F.when(F.col("ddm_drift") == 1, F.col("n"))).alias("_sev"),
-        F.max_by("ddm_warning", "n").alias("warning_last"),
-        F.avg("residual").alias("mean_residual"), F.stddev_pop("residual").alias("std_residual"))
-    drift = F.col("first_drift_n").isNotNull()
-    sev = F.when(drift, F.col("_sev")).otherwise(F.lit(0.0))
-    label = (F.when(drift & (sev >= 0.5), "HIGH").when(drift, "MEDIUM")
-             .when(F.col("warning_last") == 1, "LOW").otherwise("NONE"))
-    return g.select("sku", drift.alias("drift"), "first_drift_n", sev.alias("severity"),
-                    F.when(drift, "DDM").otherwise("—").alias("detectors"), label.alias("label"),
-                    "mean_residual", "std_residual")
-
-
 def drift_counts(summary: DataFrame) -> DataFrame:
     """Drift / warning / stable / total and the average residual statistics."""
     return summary.agg(F.count_if(F.col("drift")).alias("drift_skus"),

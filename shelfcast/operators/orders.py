@@ -147,13 +147,13 @@ def apply_rules_batch(forecast: DataFrame, stock: DataFrame, rules: DataFrame) -
 
 
 def update_rules(rules: DataFrame, edits: DataFrame) -> DataFrame:
-    """Apply (sku, field, value) edits; unknown SKUs and fields are ignored.
+    """Apply (sku, field, value, edit_order) edits; unknown SKUs and fields are ignored.
 
-    Edits are pivoted per SKU with a fixed field list (no value discovery) and
+    Of several edits of a field the last by ``edit_order`` counts. Edits are pivoted per SKU with a fixed field list (no value discovery) and
     left-joined, so only SKUs present in ``rules`` change.
     """
     e = edits.where(F.col("field").isin(RULE_FIELDS))
-    wide = e.groupBy("sku").agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f"_e_{f}")
+    wide = e.groupBy("sku").agg(*[F.max_by("value", F.when(F.col("field") == f, F.col("edit_order"))).alias(f"_e_{f}")
                                   for f in RULE_FIELDS])
     j = rules.join(wide, "sku", "left")
     cols = []

@@ -47,19 +47,7 @@ sv3 AS (SELECT *, CASE WHEN base0 = 0 THEN rs / rc ELSE base0 END AS base FROM s
 sev AS (
   SELECT *, CASE WHEN n < 10 THEN 0.5 ELSE
            ROUND(LEAST(1.0, GREATEST(0.0, ((CASE WHEN base <> 0 THEN (rs / rc) / base ELSE 1.0 END) - 1) / 2)), 2)
-         END AS severity_score, rs / rc AS recent_mae FROM sv3),
-ds0 AS (
-  SELECT sku, min(CASE WHEN ddm_drift = 1 THEN n END) AS first_drift_n,
-         arg_min(severity_score, CASE WHEN ddm_drift = 1 THEN n END) AS sev_first,
-         arg_max(ddm_warning, n) AS warning_last,
-         avg(residual) AS mean_residual, stddev_pop(residual) AS std_residual FROM sev GROUP BY sku),
-ds AS (
-  SELECT sku, first_drift_n IS NOT NULL AS drift, first_drift_n,
-         CASE WHEN first_drift_n IS NOT NULL THEN sev_first ELSE 0.0 END AS severity,
-         CASE WHEN first_drift_n IS NOT NULL THEN 'DDM' ELSE '—' END AS detectors,
-         CASE WHEN first_drift_n IS NOT NULL AND sev_first >= 0.5 THEN 'HIGH'
-              WHEN first_drift_n IS NOT NULL THEN 'MEDIUM' WHEN warning_last = 1 THEN 'LOW' ELSE 'NONE' END AS label,
-         mean_residual, std_residual FROM ds0)
+         END AS severity_score, rs / rc AS recent_mae FROM sv3)
 """
 RES_SQL = RES_DEF + DETECT_SQL
 DRIFT = with_adapter(RES_SQL)
@@ -125,33 +113,6 @@ def residual_stats(spark, sf_dir):
     return dr.residual_stats(residuals_df(spark, sf_dir))
 
 
-@query("drift_summary", sql=DRIFT + fin("SELECT * FROM ds", ints=["first_drift_n"],
-                                        dbls=["severity", "mean_residual", "std_residual"],
-                                        keep=["sku", "drift", "detectors", "label"]))
-def drift_summary(spark, sf_dir):
-    return dr.drift_summary(residuals_df(spark, sf_dir))
-
-
-@query("drift_counts", sql=DRIFT + fin("""
-SELECT count(*) FILTER (WHERE drift) AS drift_skus, count(*) FILTER (WHERE label = 'LOW') AS warning_skus,
-       count(*) FILTER (WHERE label = 'NONE') AS stable_skus, count(*) AS total_skus,
-       avg(mean_residual) AS avg_mean_residual, avg(std_residual) AS avg_std_residual FROM ds""",
-    ints=["drift_skus", "warning_skus", "stable_skus", "total_skus"],
-    dbls=["avg_mean_residual", "avg_std_residual"]))
-def drift_counts(spark, sf_dir):
-    return dr.drift_counts(dr.drift_summary(residuals_df(spark, sf_dir)))
-
-
-@query("drift_listing", sql=DRIFT + fin("""
-SELECT *, GREATEST((SELECT count(*) FROM ds) - 30, 0) AS n_more FROM (
-SELECT row_number() OVER (ORDER BY r, sku) AS listing_rank, sku, label, severity, mean_residual, std_residual
-FROM (SELECT *, CASE WHEN drift THEN 0 WHEN label = 'LOW' THEN 1 ELSE 2 END AS r FROM ds)
-ORDER BY r, sku LIMIT 30)""", ints=["listing_rank", "n_more"], dbls=["severity", "mean_residual", "std_residual"],
-    keep=["sku", "label"]))
-def drift_listing(spark, sf_dir):
-    return dr.drift_listing(dr.drift_summary(residuals_df(spark, sf_dir)), 30)
-
-
 KS_SQL = """,
 snap AS (
   SELECT sku, 'actual' AS feature, CASE WHEN n <= 50 THEN 'before' ELSE 'after' END AS side, actual AS value FROM res

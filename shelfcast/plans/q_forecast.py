@@ -75,10 +75,10 @@ def model_store(spark, sf_dir):
 
 @query("retrain_drifted")
 def retrain_drifted(spark, sf_dir):
-    """Retrain the SKUs flagged by the drift summary on the merged history;
+    """Retrain the SKUs whose last verdict is a drift on the merged history;
     versions continue from the first training run."""
     feats, models = trained(spark, sf_dir)
-    drifted = dr.drift_summary(q_drift.residuals_df(spark, sf_dir)).where("drift").select("sku")
+    drifted = rp.last_verdicts(q_drift.residuals_df(spark, sf_dir)).where("drift").select("sku")
     new = fc.retrain_subset(feats, drifted, fe.FEATURE_COLUMNS, prior=models)
     return new.select(*METRIC_COLS)
 
@@ -293,16 +293,55 @@ def drift_check(spark, sf_dir):
     return rp.drift_check(rp.replay(res), res, q_drift.ks_tests(spark, sf_dir))
 
 
-@query("monitor_counts", sql=REPLAY_SQL + q_drift.KS_SQL + q_drift.KS_P_SQL + fin(f"""
-SELECT count(*) FILTER (WHERE drift_detected) AS drift_skus, count(*) FILTER (WHERE label = 'LOW') AS warning_skus,
+# The verdict at the last observation, without input tests (Q4).
+VERDICT_SQL = """,
+ds AS (
+  SELECT s.sku, x.lv.d AS drift, x.lv.s AS severity,
+         CASE WHEN len(x.lv.det) > 0 THEN array_to_string(x.lv.det, ', ') ELSE '—' END AS detectors,
+         CASE WHEN x.lv.d AND x.lv.s >= 0.5 THEN 'HIGH' WHEN x.lv.d THEN 'MEDIUM' WHEN x.lv.w THEN 'LOW'
+              ELSE 'NONE' END AS label,
+         x.drift_events, s.mean_residual, s.std_residual
+  FROM (SELECT sku, arg_max({'d': drift_detected, 's': severity, 'det': detectors, 'w': ddm_warning}, n) AS lv,
+               count(*) FILTER (WHERE drift_detected) AS drift_events FROM rp2 GROUP BY sku) x
+       JOIN (SELECT sku, avg(residual) AS mean_residual, stddev_pop(residual) AS std_residual FROM res GROUP BY sku) s
+         ON s.sku = x.sku)
+"""
+COUNTS_SQL = fin("""
+SELECT count(*) FILTER (WHERE drift) AS drift_skus, count(*) FILTER (WHERE label = 'LOW') AS warning_skus,
        count(*) FILTER (WHERE label = 'NONE') AS stable_skus, count(*) AS total_skus,
-       avg(mean_residual) AS avg_mean_residual, avg(std_residual) AS avg_std_residual
-FROM ({DRIFT_CHECK_SQL}) c""", ints=["drift_skus", "warning_skus", "stable_skus", "total_skus"],
-    dbls=["avg_mean_residual", "avg_std_residual"]))
+       avg(mean_residual) AS avg_mean_residual, avg(std_residual) AS avg_std_residual FROM ds""",
+    ints=["drift_skus", "warning_skus", "stable_skus", "total_skus"], dbls=["avg_mean_residual", "avg_std_residual"])
+
+
+@query("drift_summary", sql=REPLAY_SQL + VERDICT_SQL + fin(
+    "SELECT * FROM ds", ints=["drift_events"], dbls=["severity", "mean_residual", "std_residual"],
+    keep=["sku", "drift", "detectors", "label"]))
+def drift_summary(spark, sf_dir):
+    """D13, D14."""
+    return rp.last_verdicts(q_drift.residuals_df(spark, sf_dir))
+
+
+@query("drift_counts", sql=REPLAY_SQL + VERDICT_SQL + COUNTS_SQL)
+def drift_counts(spark, sf_dir):
+    """D15."""
+    return dr.drift_counts(rp.last_verdicts(q_drift.residuals_df(spark, sf_dir)))
+
+
+@query("drift_listing", sql=REPLAY_SQL + VERDICT_SQL + fin("""
+SELECT *, GREATEST((SELECT count(*) FROM ds) - 30, 0) AS n_more FROM (
+SELECT row_number() OVER (ORDER BY r, sku) AS listing_rank, sku, label, severity, mean_residual, std_residual
+FROM (SELECT *, CASE WHEN drift THEN 0 WHEN label = 'LOW' THEN 1 ELSE 2 END AS r FROM ds)
+ORDER BY r, sku LIMIT 30)""", ints=["listing_rank", "n_more"], dbls=["severity", "mean_residual", "std_residual"],
+    keep=["sku", "label"]))
+def drift_listing(spark, sf_dir):
+    """D16."""
+    return dr.drift_listing(rp.last_verdicts(q_drift.residuals_df(spark, sf_dir)), 30)
+
+
+@query("monitor_counts", sql=REPLAY_SQL + VERDICT_SQL + COUNTS_SQL)
 def monitor_counts(spark, sf_dir):
-    """D15 on the last-observation verdicts of the full detectors (Q4), with input drift."""
-    from shelfcast.operators import drift as dr
-    return dr.drift_counts(drift_check(spark, sf_dir).withColumnRenamed("drift_detected", "drift"))
+    """D15 for the monitor page: the same counts as the drift report."""
+    return dr.drift_counts(rp.last_verdicts(q_drift.residuals_df(spark, sf_dir)))
 
 
 @query("incremental_retrain")

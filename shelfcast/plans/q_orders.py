@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfcast.functions.hashing import md5_mod
 from shelfcast.operators import budget as bg
 from shelfcast.operators import orders as od
 from shelfcast.plans.oracle_base import fin, h, with_adapter
@@ -123,29 +124,36 @@ def apply_rules_batch(spark, sf_dir):
     return od.apply_rules_batch(fc, stock, rules)
 
 
-EDITS_SQL = """
+EDITS_SQL = f"""
 edits AS (
-  SELECT sku, 'perishability_days' AS field, 5.0 AS value FROM rules_d WHERE category = 'FOODS'
-  UNION ALL SELECT sku, 'max_shelf_capacity', max_shelf_capacity + 100.0 FROM rules_d WHERE category = 'HOBBIES'
-  UNION ALL SELECT sku || '_GONE', 'unit_cost', 9.99 FROM rules_d WHERE category = 'HOUSEHOLD'),
-ed AS (SELECT sku, max(CASE WHEN field = 'max_shelf_capacity' THEN value END) AS e_cap,
-              max(CASE WHEN field = 'unit_cost' THEN value END) AS e_cost,
-              max(CASE WHEN field = 'perishability_days' THEN value END) AS e_days
+  SELECT sku, 'perishability_days' AS field, 5.0 AS value, 1 AS edit_order FROM rules_d WHERE category = 'FOODS'
+  UNION ALL SELECT sku, 'max_shelf_capacity', max_shelf_capacity + 100.0, 1 FROM rules_d WHERE category = 'HOBBIES'
+  UNION ALL SELECT sku || '_GONE', 'unit_cost', 9.99, 1 FROM rules_d WHERE category = 'HOUSEHOLD'
+  UNION ALL SELECT sku, 'max_shelf_capacity', CAST(max_shelf_capacity - 10 AS DOUBLE), 2 FROM rules_d
+            WHERE category = 'HOBBIES' AND {h("sku", "#again")} % 2 = 0),
+ed AS (SELECT sku, arg_max(value, edit_order) FILTER (WHERE field = 'max_shelf_capacity') AS e_cap,
+              arg_max(value, edit_order) FILTER (WHERE field = 'unit_cost') AS e_cost,
+              arg_max(value, edit_order) FILTER (WHERE field = 'perishability_days') AS e_days
        FROM edits GROUP BY sku)
 """
 
 
 def rule_edits(rules):
-    """Edits derived from the rules themselves; the HOUSEHOLD ones name unknown SKUs."""
+    """Edits derived from the rules themselves, in the order they are made; the HOUSEHOLD ones name
+    unknown SKUs, and some HOBBIES shelves are edited twice (the later, lower value counts)."""
     c = F.col("category")
+    again = md5_mod(F.col("sku"), 2, "#again") == 0
     return (rules.where(c == "FOODS").select("sku", F.lit("perishability_days").alias("field"),
-                                              F.lit(5.0).alias("value"))
+                                              F.lit(5.0).alias("value"), F.lit(1).alias("edit_order"))
             .unionByName(rules.where(c == "HOBBIES").select(
                 "sku", F.lit("max_shelf_capacity").alias("field"),
-                (F.col("max_shelf_capacity") + 100.0).alias("value")))
+                (F.col("max_shelf_capacity") + 100.0).alias("value"), F.lit(1).alias("edit_order")))
+            .unionByName(rules.where((c == "HOBBIES") & again).select(
+                "sku", F.lit("max_shelf_capacity").alias("field"),
+                (F.col("max_shelf_capacity") - 10.0).alias("value"), F.lit(2).alias("edit_order")))
             .unionByName(rules.where(c == "HOUSEHOLD").select(
                 F.concat("sku", F.lit("_GONE")).alias("sku"), F.lit("unit_cost").alias("field"),
-                F.lit(9.99).alias("value"))))
+                F.lit(9.99).alias("value"), F.lit(1).alias("edit_order"))))
 
 
 @query("update_rules", sql=with_adapter(RULES_SQL, EDITS_SQL) + fin("""
@@ -228,20 +236,21 @@ def rules_roundtrip(spark, sf_dir):
     return store.load_rules(spark, path)
 
 
-BUDGET_SQL = """
+BUDGET_SQL = f"""
 b_in AS (
   SELECT a.sku, a.forecast_qty, a.final_qty AS qty, a.explanation,
          CAST(ROUND(e.unit_cost * 100) AS BIGINT) AS cost_cents,
          CAST(ROUND(e.selling_price * 100) AS BIGINT) - CAST(ROUND(e.unit_cost * 100) AS BIGINT) AS margin_cents
-  FROM ar a JOIN econ e ON e.sku = a.sku),
+  FROM ar a JOIN (SELECT * REPLACE (CASE WHEN {h("sku", "#free")} % 10 = 0 THEN 0.0 ELSE unit_cost END AS unit_cost)
+                  FROM econ) e ON e.sku = a.sku),
 b_rows AS (SELECT row_number() OVER (ORDER BY margin_cents DESC, sku) AS i, * FROM b_in),
 b_total AS (SELECT CAST(sum(qty * cost_cents) AS BIGINT) * 2 // 5 AS b FROM b_rows),
 rec AS (
   SELECT CAST(0 AS BIGINT) AS i, (SELECT b FROM b_total) AS rem, CAST(NULL AS VARCHAR) AS sku,
          CAST(NULL AS BIGINT) AS fq
   UNION ALL
-  SELECT r.i, rec.rem - LEAST(r.qty, rec.rem // r.cost_cents) * r.cost_cents, r.sku,
-         LEAST(r.qty, rec.rem // r.cost_cents)
+  SELECT r.i, rec.rem - CASE WHEN r.cost_cents > 0 THEN LEAST(r.qty, rec.rem // r.cost_cents) * r.cost_cents ELSE 0 END,
+         r.sku, CASE WHEN r.cost_cents > 0 THEN LEAST(r.qty, rec.rem // r.cost_cents) ELSE r.qty END
   FROM rec JOIN b_rows r ON r.i = rec.i + 1),
 alloc AS (
   SELECT r.sku, r.forecast_qty, r.margin_cents / 100.0 AS margin, r.cost_cents / 100.0 AS unit_cost,
@@ -256,7 +265,8 @@ alloc AS (
 def budget_allocation(spark, sf_dir):
     orders = applied_orders(spark, sf_dir)
     econ = od.sku_economics(fx.pos(spark, sf_dir).select("sku").distinct())
-    return bg.global_budget(orders, econ)
+    free = md5_mod(F.col("sku"), 10, "#free") == 0             # some lines cost nothing (Q11)
+    return bg.global_budget(orders, econ.withColumn("unit_cost", F.when(free, 0.0).otherwise(F.col("unit_cost"))))
 
 
 @query("global_budget", sql=APPLY_SQL + "," + ECON_SQL + "," + BUDGET_SQL + fin(
@@ -282,7 +292,9 @@ def budget_summary(spark, sf_dir):
 def _summary_sql(select: str) -> str:
     from shelfcast.plans.q_drift import RES_SQL
     from shelfcast.plans.q_explore import BASE_SQL
-    return with_adapter(RULES_SQL, AR_INPUT, constrain_sql("ar_in"), BASE_SQL, RES_SQL) + select
+    from shelfcast.plans.q_forecast import ADWIN_REC_SQL, DDM_REC_SQL, REPLAY_TAIL, VERDICT_SQL
+    head = with_adapter(RULES_SQL, AR_INPUT, constrain_sql("ar_in"), BASE_SQL, RES_SQL)
+    return head + DDM_REC_SQL + ADWIN_REC_SQL + REPLAY_TAIL + VERDICT_SQL + select
 
 
 @query("run_summary", sql=_summary_sql(fin("""
@@ -297,12 +309,13 @@ def run_summary(spark, sf_dir):
     """Records, SKUs, models trained (baseline), drifted SKUs, order totals and reduction."""
     from shelfcast.functions.scalars import combine_scalars
     from shelfcast.operators import drift as dr
+    from shelfcast.operators import drift_replay as rp
     from shelfcast.operators import explore as ex
     from shelfcast.plans.q_drift import residuals_df
     from shelfcast.plans.q_explore import baseline_metrics_df
     ov = ex.overview(fx.pos(spark, sf_dir)).select("n_records", "n_skus")
     tr = baseline_metrics_df(spark, sf_dir).agg(F.count(F.lit(1)).alias("models_trained"))
-    dc = dr.drift_counts(dr.drift_summary(residuals_df(spark, sf_dir))).select("drift_skus")
+    dc = dr.drift_counts(rp.last_verdicts(residuals_df(spark, sf_dir))).select("drift_skus")
     os_ = od.order_summary(applied_orders(spark, sf_dir)).select(
         "total_forecast", "total_order", F.col("reduction_pct").alias("order_reduction_pct"))
     return combine_scalars(ov, tr, dc, os_)
@@ -320,11 +333,12 @@ def metrics_dashboard(spark, sf_dir):
     """A10: averages of model, residual and order statistics (one row)."""
     from shelfcast.functions.scalars import combine_scalars
     from shelfcast.operators import drift as dr
+    from shelfcast.operators import drift_replay as rp
     from shelfcast.plans.q_drift import residuals_df
     from shelfcast.plans.q_explore import baseline_metrics_df
     m = baseline_metrics_df(spark, sf_dir).agg(F.avg("mae").alias("avg_mae"), F.avg("rmse").alias("avg_rmse"),
                                                F.avg("r2").alias("avg_r2"))
-    d = dr.drift_counts(dr.drift_summary(residuals_df(spark, sf_dir))).select("avg_mean_residual",
+    d = dr.drift_counts(rp.last_verdicts(residuals_df(spark, sf_dir))).select("avg_mean_residual",
                                                                               "avg_std_residual")
     o = applied_orders(spark, sf_dir).agg(F.count_if(F.col("explanation").contains("Capped")).alias("capped_skus"),
                                           F.avg("final_qty").alias("avg_order_qty"))

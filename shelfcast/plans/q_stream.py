@@ -30,8 +30,8 @@ def _wall_clock(df):
 
 @query("stream_drift", sql=MONITOR_SQL)
 def stream_drift(spark, sf_dir):
-    """T1/T2 on the ``events`` table: arrivals are written as weekly files in time
-    order and consumed one file per micro-batch by the stateful monitor
+    """T1/T2 on the ``events`` table: arrivals are written as files in time order
+    and consumed one file per micro-batch by the stateful monitor
     (``availableNow``), so state is carried across batches."""
     obs = ds.events_as_observations(read_table(spark, sf_dir, "events"))
     src = store.unique_path(spark, "events_stream_src")
@@ -57,6 +57,6 @@ def stream_pos_history(spark, sf_dir):
                 .select("sku", "date", (F.col("units_sold") + 1).alias("units_sold"), F.lit(1).alias("src"),
                         F.lit(0).alias("src_order")))
     src = store.unique_path(spark, "pos_arrivals")
-    arrivals.repartition(4, "sku").write.mode("overwrite").parquet(src)
+    arrivals.write.mode("overwrite").parquet(src)
     return ps.stream_into_history(spark, history, src, arrivals.schema, store.unique_path(spark, "pos_history"),
                                   store.unique_path(spark, "pos_history_ckpt"))

@@ -2,11 +2,11 @@
 
 Stream of (sku, ts, event_id, actual) -> per-observation verdicts, keyed state
 per SKU with ``applyInPandasWithState``. The state is the bounded
-``OnlineDrift`` JSON plus the running count/sum of actuals (the predictor is the
+``SeriesState`` JSON plus the running count/sum of actuals (the predictor is the
 running mean of earlier values) and the last (ts, event_id) seen. Rows at or
 before the last seen position are late: they are emitted with ``late = true``
-and do not touch the detectors (T2); an event-time watermark expires the state of
-idle SKUs. The state store is RocksDB and the query
+and do not touch the detectors (T2). Nothing expires and nothing is dropped
+unless the caller asks for it. The state store is RocksDB and the query
 checkpoint sits in the shared folder, so a lost executor replays from the
 last committed batch.
 """
@@ -16,12 +16,13 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from shelfcast.operators.drift_replay import OnlineDrift, replay
+from shelfcast.operators.drift_replay import SeriesState, replay
 
 OUT_SCHEMA = ("sku string, event_id long, ts timestamp, late boolean, n long, actual double, predicted double, "
               "residual double, drift_detected boolean, detectors array<string>, severity double")
@@ -29,63 +30,62 @@ STATE_SCHEMA = "state string"
 OUT_COLS = [c.split()[0] for c in OUT_SCHEMA.split(", ")]
 
 
-IDLE_MS = 90 * 24 * 3600 * 1000          # state of a SKU silent for 90 days of event time expires
-WATERMARK_DELAY = "30 days"
-
-
-def _monitor(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:                  # idle key: drop its state, emit nothing
-        state.remove()
-        yield pd.DataFrame(columns=OUT_COLS)
-        return
-    if state.exists:
-        st = json.loads(state.get[0])
-        det = OnlineDrift.from_json(st["det"])
-    else:
-        st = dict(cnt=0, sum=0.0, last=None)
-        det = OnlineDrift()
-    parts = list(pdfs)
-    batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-    batch = batch.sort_values(["ts", "event_id"], kind="stable")
-    ts_ns = batch["ts"].to_numpy(dtype="datetime64[ns]").astype("int64").tolist()
-    eids = batch["event_id"].astype("int64").tolist()
-    acts = batch["actual"].astype("float64").tolist()
-    m = len(eids)
-    late, ns, preds, resid, drift, dets, sev = ([None] * m for _ in range(7))
-    last = tuple(st["last"]) if st["last"] else None
-    cnt, tot = st["cnt"], st["sum"]
-    for i in range(m):
-        pos = (ts_ns[i], eids[i])
-        if last is not None and pos <= last:
-            late[i] = True
-            continue
-        pred = tot / cnt if cnt else 0.0
-        r = acts[i] - pred
-        out = det.update(r)
-        cnt += 1
-        tot += acts[i]
-        last = pos
-        late[i], ns[i], preds[i], resid[i] = False, cnt, pred, r
-        drift[i], dets[i], sev[i] = out["drift_detected"], out["detectors"], out["severity"]
-    st.update(cnt=cnt, sum=tot, last=list(last) if last else None, det=det.to_json())
-    state.update((json.dumps(st),))
-    if last is not None:
-        state.setTimeoutTimestamp(last[0] // 1_000_000 + IDLE_MS)
-    yield pd.DataFrame({"sku": batch["sku"].tolist(), "event_id": eids, "ts": batch["ts"].to_numpy(),
-                        "late": late, "n": ns, "actual": acts, "predicted": preds, "residual": resid,
-                        "drift_detected": drift, "detectors": dets, "severity": sev}, columns=OUT_COLS)
-
-
-def monitor_stream(stream: DataFrame, watermark_delay: str = WATERMARK_DELAY) -> DataFrame:
+def _monitor(idle_ms: int | None):
+    """The state function; ``idle_ms`` of event time without a row removes a SKU's state (None: never)."""
+    def run(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame(columns=OUT_COLS)
+            return
+        held = json.loads(state.get[0]) if state.exists else dict(cnt=0, sum=0.0, last=None)
+        series = SeriesState.from_json(held["series"]) if state.exists else SeriesState()
+        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
+        when = batch["ts"].to_numpy(dtype="datetime64[ns]").astype("int64")
+        event, actual = batch["event_id"].to_numpy("int64"), batch["actual"].to_numpy("float64")
+        # sorted, so what is late comes first; of equal positions only the first counts
+        again = np.zeros(len(when), bool)
+        again[1:] = (when[1:] == when[:-1]) & (event[1:] == event[:-1])
+        if held["last"]:
+            t, e = held["last"]
+            again |= (when < t) | ((when == t) & (event <= e))
+        fresh = ~again
+        value = actual[fresh]
+        number = held["cnt"] + np.arange(len(value))
+        before = held["sum"] + np.concatenate([[0.0], np.cumsum(value)[:-1]]) if len(value) else value
+        predicted = np.divide(before, number, out=np.zeros(len(value)), where=number > 0)
+        got = series.advance(value - predicted)
+        out = pd.DataFrame({"sku": batch["sku"].to_numpy(), "event_id": event, "ts": batch["ts"].to_numpy(),
+                            "late": again, "actual": actual}).astype({"actual": object})
+        for name, column in (("n", (number + 1).tolist()), ("predicted", predicted.tolist()),
+                             ("residual", (value - predicted).tolist()), ("drift_detected", got["drift_detected"]),
+                             ("detectors", got["detectors"]), ("severity", got["severity"])):
+            filled = np.full(len(out), None, object)
+            filled[np.flatnonzero(fresh)] = pd.Series(column, dtype=object).to_numpy()
+            out[name] = filled
+        out.loc[again, "actual"] = None
+        if len(value):
+            held = dict(cnt=int(number[-1]) + 1, sum=float(before[-1] + value[-1]),
+                        last=[int(when[fresh][-1]), int(event[fresh][-1])])
+        state.update((json.dumps(dict(cnt=held["cnt"], sum=held["sum"], last=held["last"], series=series.to_json())),))
+        if idle_ms is not None and held["last"]:
+            state.setTimeoutTimestamp(held["last"][0] // 1_000_000 + idle_ms)
+        yield out[OUT_COLS]
+    return run
+
+
+def monitor_stream(stream: DataFrame, watermark_delay: str | None = None, idle_ms: int | None = None) -> DataFrame:
     """Keyed stateful monitor over a streaming (sku, ts, event_id, actual) frame.
 
-    The event-time watermark bounds how long state lives: a SKU whose last
-    observation is older than the watermark by more than the idle period is
-    timed out and its state removed. Rows later than the watermark delay are
-    dropped by Spark; later rows within it are reported with ``late = true``.
+    By default every row comes out: in order with its verdict, or flagged late.
+    With both parameters, Spark drops rows later than ``watermark_delay`` and the
+    state of a SKU silent for ``idle_ms`` of event time is removed.
     """
+    if watermark_delay is None:
+        return stream.groupBy("sku").applyInPandasWithState(
+            _monitor(None), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.EventTimeTimeout
     return (stream.withWatermark("ts", watermark_delay).groupBy("sku").applyInPandasWithState(
-        _monitor, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout))
+        _monitor(idle_ms), OUT_SCHEMA, STATE_SCHEMA, "append", timeout))
 
 
 def events_as_observations(events: DataFrame) -> DataFrame:
@@ -95,33 +95,19 @@ def events_as_observations(events: DataFrame) -> DataFrame:
                          F.col("value").cast("double").alias("actual"))
 
 
-def write_arrivals(obs: DataFrame, source_dir: str, slice_days: int = 7) -> int:
-    """Write observations as the stream's arrival files: one file per time slice,
-    written slice after slice so file order follows event time. Returns the
-    number of slices (bounded by the time span / ``slice_days``)."""
-    day0 = obs.agg(F.min(F.to_date("ts")).alias("d0")).collect()[0]["d0"]
-    if day0 is None:
-        return 0
-    sl = (F.datediff(F.to_date("ts"), F.lit(day0)) / slice_days).cast("int")
-    tagged = obs.withColumn("_slice", sl)
-    slices = sorted(r["_slice"] for r in tagged.select("_slice").distinct().collect())
+def write_arrivals(obs: DataFrame, source_dir: str, files: int = 8) -> int:
+    """Write observations as the stream's arrival files: one range-partitioned write, a file per
+    stretch of time. Only file names and times pass the driver. Returns the number of files."""
     spark = obs.sparkSession
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(source_dir)
+    (obs.repartitionByRange(files, "ts", "event_id").sortWithinPartitions("ts", "event_id")
+     .write.mode("append").parquet(source_dir))
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source_dir)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    seen: set[str] = set()
-    base_ms = 1_000_000_000_000
-    for i, k in enumerate(slices):
-        (tagged.where(F.col("_slice") == k).drop("_slice").coalesce(1)
-         .write.mode("append").parquet(source_dir))
-        # The file source orders new files by modification time: stamp each slice's
-        # files explicitly so arrival order never depends on clock resolution.
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if name.endswith(".parquet") and name not in seen:
-                fs.setTimes(st.getPath(), base_ms + i * 60_000, -1)
-                seen.add(name)
-    return len(slices)
+    names = sorted((f.getPath().getName(), f.getPath()) for f in fs.listStatus(root)
+                   if f.getPath().getName().endswith(".parquet"))
+    for i, (_, path) in enumerate(names):       # the file source takes new files by modification time
+        fs.setTimes(path, 1_000_000_000_000 + i * 60_000, -1)
+    return len(names)
 
 
 def run_to_table(spark: SparkSession, source_dir: str, schema, out_dir: str, ckpt_dir: str,
@@ -154,7 +140,6 @@ def batch_monitor(obs: DataFrame) -> DataFrame:
     res = (obs.withColumn("n", F.row_number().over(w).cast("bigint"))
            .withColumn("predicted", F.coalesce(F.avg("actual").over(prior), F.lit(0.0)))
            .withColumn("residual", F.col("actual") - F.col("predicted")))
-    rep = replay(res)
-    return res.join(rep.select("sku", "n", "drift_detected", "detectors", "severity"), ["sku", "n"]).select(
+    return replay(res, keep=("event_id", "ts", "actual", "predicted")).select(
         "sku", "event_id", "ts", F.lit(False).alias("late"), "n", "actual", "predicted", "residual",
         "drift_detected", "detectors", "severity")
