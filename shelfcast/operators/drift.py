@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.hashing import md5_mod
 from shelfcast.operators.features import add_rolling_features
+from shelfcast.operators.orders import tail_rows
 
 MONITOR_ROWS = 100          # last pairs fed per SKU
 # Drift and input-drift message texts.
@@ -32,7 +33,8 @@ def residual_series(pos: DataFrame, shift: float = 60.0, shifted_rows: int = 40)
     (hash draw) the last ``shifted_rows`` actuals are raised by ``shift``, so
     the detectors have something to find. ``n`` is 1 for the oldest pair.
     """
-    f = add_rolling_features(pos.select("sku", "date", "units_sold"), windows=(7,))
+    last = tail_rows(pos.select("sku", "date", "units_sold"), MONITOR_ROWS + 7)     # all that the windows can see
+    f = add_rolling_features(last, windows=(7,))
     rd = F.row_number().over(Window.partitionBy("sku").orderBy(F.col("date").desc()))
     t = f.withColumn("_rd", rd).where(F.col("_rd") <= MONITOR_ROWS)
     cnt = F.count(F.lit(1)).over(Window.partitionBy("sku"))
@@ -154,15 +156,15 @@ def feature_snapshots(res: DataFrame, split_n: int = MONITOR_ROWS // 2) -> DataF
                                     F.col("predicted").alias("value"))))
 
 
-def ks_tests(stats: DataFrame) -> DataFrame:
-    """D10 verdicts: exact p-value (pandas UDF over (D, n1, n2)), drift when p < 0.05,
+def ks_tests(stats: DataFrame, method: str = "exact") -> DataFrame:
+    """D10 verdicts: p-value by the caller's ``method`` (pandas UDF over (D, n1, n2)), drift when p < 0.05,
     statistic and p rounded to 4 places, and the per-feature message."""
     from shelfcast.functions.ks import ALPHA, MIN_SAMPLES, ks_pvalue_udf
-    p = ks_pvalue_udf(F.col("ks_statistic"), F.col("n_before"), F.col("n_after"))
+    p = ks_pvalue_udf(method)(F.col("ks_statistic"), F.col("n_before"), F.col("n_after"))
     out = stats.withColumn("_p", p)
     drift = F.col("_p") < ALPHA
     enough = (F.col("n_before") >= MIN_SAMPLES) & (F.col("n_after") >= MIN_SAMPLES) & F.col("ks_statistic").isNotNull()
     msg = F.when(~enough, F.lit(KS_INSUFFICIENT)).otherwise(F.format_string(
         KS_MESSAGE, F.col("feature"), F.when(drift, KS_DRIFT).otherwise(KS_NO_DRIFT), F.col("_p")))
     return out.select("sku", "feature", "n_before", "n_after", F.round("ks_statistic", 4).alias("ks_statistic"),
-                      F.round("_p", 4).alias("p_value"), drift.alias("drift_detected"), msg.alias("message"))
+                      F.round("_p", 4).alias("p_value"), drift.alias("drift_detected"), msg.alias("message"), F.lit(method).alias("method"))

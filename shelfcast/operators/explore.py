@@ -27,7 +27,7 @@ def top_skus(pos: DataFrame, n: int = 50) -> DataFrame:
 
 
 def price_histogram(pos: DataFrame, bins: int = 30, col: str = "price") -> DataFrame:
-    """A4: equal-width bins between min and max, the max falling into the last bin.
+    """A4: equal-width bins between min and max, empty ones too; the max falls into the last bin.
 
     min and max are scalar subqueries (one global aggregate, computed once and
     used as constants); the counting is a partial aggregation on at most
@@ -38,8 +38,10 @@ def price_histogram(pos: DataFrame, bins: int = 30, col: str = "price") -> DataF
     hi = vals.select(F.max(col)).scalar()
     width = hi - lo
     b = F.when(width > 0, F.least(F.floor((F.col(col) - lo) / width * bins) + 1, F.lit(bins))).otherwise(F.lit(1))
-    return (vals.groupBy(b.cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-            .select("bin", "n", (lo + (F.col("bin") - 1) * width / bins).alias("bin_start")))
+    counts = vals.groupBy(b.cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    every = vals.sparkSession.range(1, bins + 1).withColumnRenamed("id", "bin")
+    return every.join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"),
+                                                    (lo + (F.col("bin") - 1) * width / bins).alias("bin_start"))
 
 
 def category_counts(pos: DataFrame) -> DataFrame:
@@ -62,8 +64,3 @@ def overview(pos: DataFrame) -> DataFrame:
     return pos.agg(F.count(F.lit(1)).alias("n_records"), F.count_distinct("sku").alias("n_skus"),
                    F.min("date").alias("min_date"), F.max("date").alias("max_date"))
 
-
-def sku_series_stats(pos: DataFrame) -> DataFrame:
-    """Per-SKU row count, used by the training filters."""
-    return pos.groupBy("sku").agg(F.count(F.lit(1)).alias("n_rows"))
-

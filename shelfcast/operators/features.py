@@ -96,11 +96,6 @@ def feature_columns(df: DataFrame) -> list[str]:
     return [c for c in FEATURE_COLUMNS if c in df.columns]
 
 
-def feature_vector(df: DataFrame, name: str = "features") -> Column:
-    """The model input as ``array<double>`` in the fixed feature order."""
-    return F.array(*[F.col(c).cast("double") for c in feature_columns(df)]).alias(name)
-
-
 def feature_step_report(pos_df: DataFrame, feat_df: DataFrame) -> DataFrame:
     """input rows, output rows, feature count (one row, one job, no join)."""
     n_feat = len(feature_columns(feat_df))

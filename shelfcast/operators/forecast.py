@@ -28,7 +28,8 @@ GBT_PARAMS = dict(n_estimators=100, max_depth=5, learning_rate=0.1, reg_lambda=1
 MODEL_SCHEMA = ("sku string, n_rows long, train_samples long, val_samples long, best_iteration long, "
                 "mae double, rmse double, r2 double, mape double, model binary, "
                 "feature_columns array<string>, importance array<double>, error string")
-SCORE_SCHEMA = "sku string, date date, actual double, predicted double, split string"
+SCORE_SCHEMA = ("sku string, date date, actual double, predicted double, split string, model_version long, "
+                "error string")
 FOLD_SCHEMA = "sku string, fold long, train_samples long, val_samples long, mae double, rmse double, r2 double, mape double"
 
 
@@ -101,24 +102,34 @@ def train_models(features: DataFrame, feature_cols: list[str], target: str = "un
 
 def _score_fn(target: str, test_share: float):
     def score(key, feats: pd.DataFrame, models: pd.DataFrame) -> pd.DataFrame:
-        if feats.empty or models.empty or models["model"].iloc[0] is None:
-            return pd.DataFrame(columns=["sku", "date", "actual", "predicted", "split"])
-        feats = feats.sort_values("date", kind="stable")
-        cols = list(models["feature_columns"].iloc[0])
-        m = HistGBT.from_bytes(models["model"].iloc[0])
-        p = np.maximum(m.predict(feats[cols].to_numpy(dtype=float)), 0)
+        names = [c.split()[0] for c in SCORE_SCHEMA.split(", ")]
+        if feats.empty or models.empty:
+            return pd.DataFrame(columns=names)
+        latest = models.sort_values("version").iloc[-1]
+        try:
+            feats = feats.sort_values("date", kind="stable")
+            p = np.maximum(HistGBT.from_bytes(latest["model"]).predict(
+                feats[list(latest["feature_columns"])].to_numpy(dtype=float)), 0)
+        except Exception as exc:  # an unreadable model is reported and skipped, it does not end the job (S15)
+            row = dict.fromkeys(names) | dict(sku=latest["sku"], model_version=latest["version"],
+                                              error=f"{type(exc).__name__}: {exc}")
+            return pd.DataFrame({name: pd.Series([row[name]], dtype=object) for name in names})
         n = len(feats)
         n_val = int(math.ceil(test_share * n))
         split = np.where(np.arange(n) >= n - n_val, "val", "train")
         return pd.DataFrame({"sku": feats["sku"].to_numpy(), "date": feats["date"].to_numpy(),
-                             "actual": feats[target].to_numpy(dtype=float), "predicted": p, "split": split})
+                             "actual": feats[target].to_numpy(dtype=float), "predicted": p, "split": split,
+                             "model_version": latest["version"], "error": None}, columns=names)
     return score
 
 
 def score(features: DataFrame, models: DataFrame, target: str = "units_sold",
           test_share: float = TEST_SHARE) -> DataFrame:
-    """Predictions (floored at 0) for every row of every trained SKU."""
-    m = models.where(F.col("model").isNotNull()).select("sku", "model", "feature_columns")
+    """Predictions (floored at 0) for every row of every trained SKU, by its latest model.
+
+    A SKU whose model cannot be read gives one row with its error.
+    """
+    m = models.where(F.col("model").isNotNull()).select("sku", "model", "feature_columns", "version")
     return (features.groupBy("sku").cogroup(m.groupBy("sku"))
             .applyInPandas(_score_fn(target, test_share), SCORE_SCHEMA))
 
@@ -127,8 +138,7 @@ def predict_tail(features: DataFrame, models: DataFrame, horizon: int = 7, targe
     """Score the last ``horizon`` observed rows of each SKU, with the model version (Q8)."""
     t = tail_rows(features, horizon)
     s = score(t, models, target, test_share=1.0)
-    return s.join(models.select("sku", F.col("version").alias("model_version")), "sku").select(
-        "sku", "date", F.col("predicted").alias("forecast"), "model_version")
+    return s.where("error IS NULL").select("sku", "date", F.col("predicted").alias("forecast"), "model_version")
 
 
 def feature_importance(models: DataFrame) -> DataFrame:
@@ -183,11 +193,10 @@ def replace_predictions(old: DataFrame, new: DataFrame) -> DataFrame:
 def first_skus(df: DataFrame, n: int) -> DataFrame:
     """M3: restrict to the first ``n`` SKUs in sorted order (a user-requested limit).
 
-    The SKU list is a distributed top-n (at most ``n`` rows, so it is broadcast
-    to the semi-join).
+    The SKU list is a distributed top-n; the planner picks the semi-join.
     """
     keep = df.select("sku").distinct().orderBy("sku").limit(n)
-    return df.join(F.broadcast(keep), "sku", "left_semi")
+    return df.join(keep, "sku", "left_semi")
 
 
 def train_pooled(features: DataFrame, feature_cols: list[str], target: str = "units_sold",

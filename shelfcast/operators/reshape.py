@@ -11,12 +11,11 @@ from shelfcast.operators.clean import melt_sales  # noqa: F401  (J1 lives with t
 def merge_pos(long: DataFrame, calendar: DataFrame, prices: DataFrame) -> DataFrame:
     """Join calendar on ``d`` and prices on (item, week[, store]); build the SKU key.
 
-    The calendar has one row per day (bounded by the calendar span), so it is
-    broadcast. The price join is left to the planner: a left join followed by a
-    NOT NULL filter on price is rewritten to an inner join by Catalyst, and AQE
-    picks broadcast or sort-merge from the measured price table size.
+    Both joins are left to the planner: a left join followed by a NOT NULL filter
+    on price is rewritten to an inner join by Catalyst, and AQE picks broadcast or
+    sort-merge from the measured table sizes.
     """
-    cal = F.broadcast(calendar.select("d", "date", "wm_yr_wk", "promo_flag"))
+    cal = calendar.select("d", "date", "wm_yr_wk", "promo_flag")
     j = long.join(cal, "d", "left")
     keys = ["item_id", "wm_yr_wk"]
     if "store_id" in prices.columns and "store_id" in long.columns:
@@ -32,13 +31,6 @@ def merge_pos(long: DataFrame, calendar: DataFrame, prices: DataFrame) -> DataFr
     return j.select(*keep)
 
 
-def cluster_by_sku(pos: DataFrame, partitions: int | None = None) -> DataFrame:
-    """J7's "sorted by sku, date" as a physical layout: hash on ``sku``, sorted inside
-    each partition. No global sort is needed by any consumer (all are per-SKU)."""
-    r = pos.repartition(partitions, "sku") if partitions else pos.repartition("sku")
-    return r.sortWithinPartitions("sku", "date")
-
-
 def pos_profile(pos: DataFrame) -> DataFrame:
     """Rows, SKUs, stores, date range, mean units, price range (one row)."""
     return pos.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("sku").alias("n_skus"),

@@ -136,7 +136,11 @@ def ks_statistic(spark, sf_dir):
 
 
 def ks_tests(spark, sf_dir):
-    return dr.ks_tests(dr.ks_statistic(dr.feature_snapshots(residuals_df(spark, sf_dir))))
+    return ks_tests_by(spark, sf_dir, "exact")
+
+
+def ks_tests_by(spark, sf_dir, method):
+    return dr.ks_tests(dr.ks_statistic(dr.feature_snapshots(residuals_df(spark, sf_dir))), method)
 
 
 # Exact two-sided KS p-value as a lattice-path walk, one cell per recursion step, with the
@@ -153,7 +157,7 @@ ks_gp AS (
 lat AS (
   SELECT sku, feature, n1, n2, tot, bound, CAST(0 AS BIGINT) AS i, CAST(1 AS BIGINT) AS j,
          CAST([] AS DOUBLE[]) AS prev, [1.0::DOUBLE] AS cur
-  FROM ks_gp WHERE bound > 0 AND n1 * n2 <= 1000000
+  FROM ks_gp WHERE bound > 0
   UNION ALL
   SELECT sku, feature, n1, n2, tot, bound, CASE WHEN j = n2 THEN i + 1 ELSE i END,
          CASE WHEN j = n2 THEN 0 ELSE j + 1 END,
@@ -172,25 +176,34 @@ ks_asym AS (
            list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END)
                                                    * exp(-2 * k * k * lam * lam))))) END AS p
   FROM (SELECT g.sku, g.feature, b.ks_statistic * sqrt(g.n1 * g.n2 / (g.n1 + g.n2)) AS lam
-        FROM ks_gp g JOIN ks_base b ON b.sku = g.sku AND b.feature = g.feature WHERE g.n1 * g.n2 > 1000000)),
+        FROM ks_gp g JOIN ks_base b ON b.sku = g.sku AND b.feature = g.feature)),
 ks AS (
-  SELECT b.sku, b.feature, b.n_before, b.n_after, b.ks_statistic,
-         COALESCE(e.p, a.p, 1.0) AS p_raw
-  FROM ks_base b LEFT JOIN ks_exact e ON e.sku = b.sku AND e.feature = b.feature
-       LEFT JOIN ks_asym a ON a.sku = b.sku AND a.feature = b.feature),
+  SELECT b.sku, b.feature, b.n_before, b.n_after, b.ks_statistic, COALESCE(e.p, 1.0) AS p_raw, 'exact' AS method
+  FROM ks_base b LEFT JOIN ks_exact e ON e.sku = b.sku AND e.feature = b.feature),
 ks_out AS (
   SELECT sku, feature, n_before, n_after, round(ks_statistic, 4) AS ks_statistic, round(p_raw, 4) AS p_value,
          p_raw < 0.05 AS drift_detected,
          CASE WHEN n_before < 5 OR n_after < 5 OR ks_statistic IS NULL THEN 'Insufficient data'
               ELSE printf('%s: %s (p=%.4f)', feature, CASE WHEN p_raw < 0.05 THEN 'Drift detected'
-                                                             ELSE 'No drift' END, p_raw) END AS message
+                                                             ELSE 'No drift' END, p_raw) END AS message, method
   FROM ks)
 """
 
 
 @query("ks_test", sql=DRIFT + KS_SQL + KS_P_SQL + fin(
     "SELECT * FROM ks_out", ints=["n_before", "n_after"], dbls=["ks_statistic", "p_value"],
-    keep=["sku", "feature", "drift_detected", "message"]))
+    keep=["sku", "feature", "drift_detected", "message", "method"]))
 def ks_test(spark, sf_dir):
     """D10 with exact p-values (an Arrow pandas UDF; the oracle walks the same lattice in SQL)."""
     return ks_tests(spark, sf_dir)
+
+
+KS_ASYM_SQL = KS_P_SQL.replace("ks_exact e ON", "ks_asym e ON").replace("'exact' AS method", "'asymptotic' AS method")
+
+
+@query("ks_test_asymptotic", sql=DRIFT + KS_SQL + KS_ASYM_SQL + fin(
+    "SELECT * FROM ks_out", ints=["n_before", "n_after"], dbls=["ks_statistic", "p_value"],
+    keep=["sku", "feature", "drift_detected", "message", "method"]))
+def ks_test_asymptotic(spark, sf_dir):
+    """D10 by the Kolmogorov series, the caller's other method."""
+    return ks_tests_by(spark, sf_dir, "asymptotic")

@@ -33,10 +33,11 @@ def top_skus(spark, sf_dir):
 
 
 @query("price_histogram", sql=with_adapter() + fin("""
-SELECT bin, count(*) AS n, min(lo) + (bin - 1) * (min(hi) - min(lo)) / 30 AS bin_start FROM (
-  SELECT CASE WHEN hi - lo > 0 THEN LEAST(floor((price - lo) / (hi - lo) * 30) + 1, 30) ELSE 1 END AS bin, lo, hi
-  FROM pos, (SELECT min(price) AS lo, max(price) AS hi FROM pos) r WHERE price IS NOT NULL)
-GROUP BY bin""", ints=["bin", "n"], dbls=["bin_start"]))
+SELECT b.bin, count(c.bin) AS n, min(lo) + (b.bin - 1) * (min(hi) - min(lo)) / 30 AS bin_start
+FROM (SELECT unnest(range(1, 31)) AS bin) b CROSS JOIN (SELECT min(price) AS lo, max(price) AS hi FROM pos) r
+     LEFT JOIN (SELECT CASE WHEN x.hi - x.lo > 0 THEN LEAST(floor((price - x.lo) / (x.hi - x.lo) * 30) + 1, 30) ELSE 1 END AS bin
+                FROM pos, (SELECT min(price) AS lo, max(price) AS hi FROM pos) x WHERE price IS NOT NULL) c ON c.bin = b.bin
+GROUP BY b.bin""", ints=["bin", "n"], dbls=["bin_start"]))
 def price_histogram(spark, sf_dir):
     return ex.price_histogram(fx.pos(spark, sf_dir), 30)
 

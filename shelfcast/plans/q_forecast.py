@@ -1,7 +1,8 @@
 """Registered queries: model training, scoring and retraining (M1-M20), drift replay.
 
-Trained models have no SQL twin (the learner runs in Python workers), so these
-queries carry no oracle and are checked by row counts, invariants and tests.
+Trained models have no SQL twin (the learner runs in Python workers): the queries
+that return their numbers carry no oracle, and the *_audit queries return what
+SQL can state about them (samples, versions, dates, soundness).
 """
 
 from __future__ import annotations
@@ -18,15 +19,21 @@ from shelfcast.plans.q_features import features_df
 from shelfcast.plans.oracle_base import fin, with_adapter
 from shelfcast.plans.q_explore import BASE_SQL
 from shelfcast.plans.registry import query
+from shelfcast.sources import fixture as fx
 from shelfcast.sources import store
+from shelfcast.sources.materialize import materialized
+from shelfcast.sources.tables import table_path
 
 METRIC_COLS = ["sku", "n_rows", "train_samples", "val_samples", "best_iteration", "mae", "rmse", "r2", "mape",
                "error", "version"]
 
 
 def trained(spark, sf_dir):
+    """The feature table and the stored models of the first training run (S10, S15): fitted once per input."""
     feats = features_df(spark, sf_dir, for_training=True)
-    return feats, fc.train_models(feats, fe.FEATURE_COLUMNS)
+    models = materialized(spark, "models", [table_path(sf_dir, t) for t in fx.SKU_INPUTS],
+                          lambda: fc.train_models(feats, fe.FEATURE_COLUMNS))
+    return feats, models
 
 
 @query("train_metrics")
@@ -40,7 +47,7 @@ def train_metrics(spark, sf_dir):
 def train_predict(spark, sf_dir):
     """In-sample and hold-out predictions for every trained SKU."""
     feats, models = trained(spark, sf_dir)
-    return fc.score(feats, models)
+    return fc.score(feats, models).where("error IS NULL").select("sku", "date", "actual", "predicted", "split")
 
 
 @query("predict_tail")
@@ -97,7 +104,7 @@ def model_drift_check(spark, sf_dir):
 def rp_last100(scored):
     from pyspark.sql import Window
     w = Window.partitionBy("sku").orderBy(F.col("date").desc())
-    t = scored.withColumn("_rd", F.row_number().over(w)).where(F.col("_rd") <= dr.MONITOR_ROWS)
+    t = scored.where("error IS NULL").withColumn("_rd", F.row_number().over(w)).where(F.col("_rd") <= dr.MONITOR_ROWS)
     cnt = F.count(F.lit(1)).over(Window.partitionBy("sku"))
     return t.select("sku", "date", (cnt - F.col("_rd") + 1).cast("bigint").alias("n"), "actual", "predicted",
                     (F.col("actual") - F.col("predicted")).alias("residual"))
@@ -361,3 +368,87 @@ def incremental_retrain(spark, sf_dir):
     v1 = fc.train_models(old_feats, fe.FEATURE_COLUMNS)
     new_feats = fe.prepare_features(fc.partition_for_training(merged), hol)
     return fc.train_models(new_feats, fe.FEATURE_COLUMNS, prior=v1).select(*METRIC_COLS)
+
+
+# ------------------------------------------------------- learner rows that SQL can state
+TRAINED_SQL = """
+trained AS (SELECT sku, count(*) AS n_rows, CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS val_samples
+            FROM pos GROUP BY sku HAVING count(*) >= 50),
+last7 AS (SELECT sku, date FROM (SELECT sku, date, row_number() OVER (PARTITION BY sku ORDER BY date DESC) AS rd FROM pos)
+          WHERE rd <= 7)
+"""
+
+
+@query("train_audit", sql=with_adapter(TRAINED_SQL) + fin("""
+SELECT sku, n_rows, n_rows - val_samples AS train_samples, val_samples, 1 AS version,
+       CAST(NULL AS VARCHAR) AS error, true AS sound FROM trained""",
+    ints=["n_rows", "train_samples", "val_samples", "version"], keep=["sku", "error", "sound"]))
+def train_audit(spark, sf_dir):
+    """Each model's samples and version, and whether its metrics and importances are sound."""
+    _, models = trained(spark, sf_dir)
+    weight = F.aggregate("importance", F.lit(0.0), lambda a, x: a + x)
+    sound = ((F.col("mae") >= 0) & (F.col("rmse") >= F.col("mae") - 1e-9) & (F.col("r2") <= 1) & (F.col("mape") >= 0)
+             & F.col("best_iteration").between(0, 100) & ((F.abs(weight - 1) < 1e-6) | (weight == 0)))
+    return models.select("sku", "n_rows", "train_samples", "val_samples", "version", "error", sound.alias("sound"))
+
+
+@query("score_audit", sql=with_adapter(TRAINED_SQL) + fin("SELECT sku, val_samples, 0.0 AS mae_gap, true AS floored FROM trained",
+                                                          ints=["val_samples"], dbls=["mae_gap"], keep=["sku", "floored"]))
+def score_audit(spark, sf_dir):
+    """The stored hold-out error against the one recomputed from the predictions."""
+    feats, models = trained(spark, sf_dir)
+    val = fc.score(feats, models).where("error IS NULL").groupBy("sku").agg(
+        F.count_if(F.col("split") == "val").alias("val_samples"), (F.min("predicted") >= 0).alias("floored"),
+        F.avg(F.when(F.col("split") == "val", F.abs(F.col("actual") - F.col("predicted")))).alias("_mae"))
+    return val.join(models.select("sku", "mae"), "sku").select(
+        "sku", "val_samples", F.round(F.abs(F.col("mae") - F.col("_mae")), 4).alias("mae_gap"), "floored")
+
+
+@query("predict_audit", sql=with_adapter(TRAINED_SQL) + fin("""
+SELECT l.sku, l.date, 1 AS model_version, true AS floored FROM last7 l JOIN trained t ON t.sku = l.sku""",
+    ints=["model_version"], keep=["sku", "date", "floored"]))
+def predict_audit(spark, sf_dir):
+    """Dates and model version of the tail forecast."""
+    return fc.predict_tail(*trained(spark, sf_dir), 7).select(
+        "sku", "date", "model_version", (F.col("forecast") >= 0).alias("floored"))
+
+
+@query("forecast_one_sku", sql=with_adapter(TRAINED_SQL) + fin("""
+SELECT sku, date, 1 AS model_version FROM last7 WHERE sku = (SELECT min(sku) FROM trained)""",
+    ints=["model_version"], keep=["sku", "date"]))
+def forecast_one_sku(spark, sf_dir):
+    """One SKU trained and its last rows scored (here the first in order)."""
+    feats = features_df(spark, sf_dir, for_training=True)
+    sku = feats.groupBy("sku").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 50).agg(F.min("sku")).first()[0]
+    return fc.forecast_one(feats, sku, fe.FEATURE_COLUMNS).select("sku", "date", "model_version")
+
+
+@query("first_skus_rows", sql=with_adapter() + """
+SELECT sku, CAST(count(*) AS BIGINT) AS n_rows FROM pos
+WHERE sku IN (SELECT DISTINCT sku FROM pos ORDER BY sku LIMIT 30) GROUP BY sku""")
+def first_skus_rows(spark, sf_dir):
+    """M3: the user's choice of the first n SKUs (n is the feature)."""
+    return fc.first_skus(fx.pos(spark, sf_dir), 30).groupBy("sku").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("fold_audit", sql=with_adapter() + fin("""
+SELECT sku, k AS fold, n - (4 - k) * (n // 4) AS train_samples, n // 4 AS val_samples, true AS sound
+FROM (SELECT sku, count(*) AS n FROM pos GROUP BY sku) c CROSS JOIN (VALUES (1), (2), (3)) f(k) WHERE n > 50""",
+    ints=["fold", "train_samples", "val_samples"], keep=["sku", "sound"]))
+def fold_audit(spark, sf_dir):
+    """M5: fold sizes, and whether each fold's metrics are sound."""
+    folds = fc.cv_fold_metrics(features_df(spark, sf_dir, for_training=True), fe.FEATURE_COLUMNS)
+    sound = (F.col("mae") >= 0) & (F.col("rmse") >= F.col("mae") - 1e-9) & (F.col("r2") <= 1)
+    return folds.select("sku", "fold", "train_samples", "val_samples", sound.alias("sound"))
+
+
+@query("refreshed_predictions", sql=REPLAY_SQL + VERDICT_SQL + "," + TRAINED_SQL + fin("""
+SELECT l.sku, l.date, CASE WHEN d.drift THEN 2 ELSE 1 END AS model_version
+FROM last7 l JOIN trained t ON t.sku = l.sku JOIN ds d ON d.sku = l.sku""", ints=["model_version"], keep=["sku", "date"]))
+def refreshed_predictions(spark, sf_dir):
+    """Drifted SKUs are retrained and their tail forecasts replace the old ones."""
+    feats, models = trained(spark, sf_dir)
+    drifted = rp.last_verdicts(q_drift.residuals_df(spark, sf_dir)).where("drift").select("sku")
+    newer = fc.retrain_subset(feats, drifted, fe.FEATURE_COLUMNS, prior=models)
+    fresh = fc.predict_tail(feats, newer, 7).checkpoint(eager=True)
+    return fc.replace_predictions(fc.predict_tail(feats, models, 7), fresh).select("sku", "date", "model_version")

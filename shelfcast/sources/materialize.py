@@ -32,7 +32,7 @@ def _code_version() -> bytes:
     pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     h = hashlib.md5()
     for name in ("sources/fixture.py", "sources/materialize.py", "sources/tables.py", "functions/dates.py",
-                 "functions/hashing.py"):
+                 "functions/hashing.py", "operators/features.py", "operators/forecast.py", "operators/gbt.py"):
         with open(os.path.join(pkg, name), "rb") as f:
             h.update(f.read())
     return h.digest()
@@ -42,8 +42,11 @@ def input_key(spark: SparkSession, paths: list[str]) -> str:
     h = hashlib.md5(_code_version())
     for path in paths:
         p, fs = _fs(spark, path)
-        st = fs.getFileStatus(p)
-        h.update(f"{path}|{st.getLen()}|{st.getModificationTime()}".encode())
+        found, files = fs.listFiles(p, True), []        # a table may be one file or a folder of files
+        while found.hasNext():
+            st = found.next()
+            files.append(f"{st.getPath()}|{st.getLen()}|{st.getModificationTime()}")
+        h.update("\n".join([path, *sorted(files)]).encode())
     return h.hexdigest()[:16]
 
 

@@ -111,7 +111,8 @@ def write_arrivals(obs: DataFrame, source_dir: str, files: int = 8) -> int:
 
 
 def run_to_table(spark: SparkSession, source_dir: str, schema, out_dir: str, ckpt_dir: str,
-                 max_files: int | None = None, state_partitions: int | None = None) -> DataFrame:
+                 max_files: int | None = None, state_partitions: int | None = None,
+                 watermark_delay: str | None = None, idle_ms: int | None = None) -> DataFrame:
     """Run the monitor over the files in ``source_dir`` until they are consumed
     (``availableNow``), writing Parquet to ``out_dir``; return the written table.
 
@@ -125,7 +126,7 @@ def run_to_table(spark: SparkSession, source_dir: str, schema, out_dir: str, ckp
     r = ss.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    q = (monitor_stream(r.parquet(source_dir)).writeStream.format("parquet")
+    q = (monitor_stream(r.parquet(source_dir), watermark_delay, idle_ms).writeStream.format("parquet")
          .option("path", out_dir).option("checkpointLocation", ckpt_dir)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
