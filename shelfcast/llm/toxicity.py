@@ -24,7 +24,7 @@ ORDERS = (3, 4, 5)
 BUCKET_BITS = 20
 FEATURES = 4096
 #: A feature must occur in this many sampled documents; smoothing of the counts; ridge penalty.
-MIN_DOCS, SMOOTH, RIDGE = 5, 0.5, 1e-3
+MIN_DOCS, SMOOTH, RIDGE = 5, 0.5, 3.0
 STEPS = 250
 THRESHOLD = 0.3
 #: Characters hashed at once: bounds a worker's memory, n-grams across the joints are kept.
