@@ -39,9 +39,12 @@ def _monitor(idle_ms: int | None):
             return
         held = json.loads(state.get[0]) if state.exists else dict(cnt=0, sum=0.0, last=None)
         series = SeriesState.from_json(held["series"]) if state.exists else SeriesState()
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
-        when = batch["ts"].to_numpy(dtype="datetime64[ns]").astype("int64")
-        event, actual = batch["event_id"].to_numpy("int64"), batch["actual"].to_numpy("float64")
+        parts = list(pdfs)
+        batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        when, event = batch["ts"].to_numpy(dtype="datetime64[ns]").astype("int64"), batch["event_id"].to_numpy("int64")
+        order = np.lexsort((event, when))
+        when, event = when[order], event[order]
+        actual = batch["actual"].to_numpy("float64")[order]
         # sorted, so what is late comes first; of equal positions only the first counts
         again = np.zeros(len(when), bool)
         again[1:] = (when[1:] == when[:-1]) & (event[1:] == event[:-1])
@@ -54,22 +57,28 @@ def _monitor(idle_ms: int | None):
         before = held["sum"] + np.concatenate([[0.0], np.cumsum(value)[:-1]]) if len(value) else value
         predicted = np.divide(before, number, out=np.zeros(len(value)), where=number > 0)
         got = series.advance(value - predicted)
-        out = pd.DataFrame({"sku": batch["sku"].to_numpy(), "event_id": event, "ts": batch["ts"].to_numpy(),
-                            "late": again, "actual": actual}).astype({"actual": object})
-        for name, column in (("n", (number + 1).tolist()), ("predicted", predicted.tolist()),
-                             ("residual", (value - predicted).tolist()), ("drift_detected", got["drift_detected"]),
-                             ("detectors", got["detectors"]), ("severity", got["severity"])):
-            filled = np.full(len(out), None, object)
-            filled[np.flatnonzero(fresh)] = pd.Series(column, dtype=object).to_numpy()
-            out[name] = filled
-        out.loc[again, "actual"] = None
+        at = np.flatnonzero(fresh).tolist()
+
+        def spread(column: list) -> list:               # late rows carry no verdict
+            if len(at) == len(when):
+                return column
+            out = [None] * len(when)
+            for i, x in zip(at, column):
+                out[i] = x
+            return out
+
+        out = {"sku": [key[0]] * len(when), "event_id": event, "ts": batch["ts"].to_numpy()[order], "late": again,
+               "n": spread((number + 1).tolist()), "actual": spread(value.tolist()),
+               "predicted": spread(predicted.tolist()), "residual": spread((value - predicted).tolist()),
+               "drift_detected": spread(got["drift_detected"]), "detectors": spread(got["detectors"]),
+               "severity": spread(got["severity"])}
         if len(value):
             held = dict(cnt=int(number[-1]) + 1, sum=float(before[-1] + value[-1]),
                         last=[int(when[fresh][-1]), int(event[fresh][-1])])
         state.update((json.dumps(dict(cnt=held["cnt"], sum=held["sum"], last=held["last"], series=series.to_json())),))
         if idle_ms is not None and held["last"]:
             state.setTimeoutTimestamp(held["last"][0] // 1_000_000 + idle_ms)
-        yield out[OUT_COLS]
+        yield pd.DataFrame(out, columns=OUT_COLS)
     return run
 
 
@@ -95,7 +104,7 @@ def events_as_observations(events: DataFrame) -> DataFrame:
                          F.col("value").cast("double").alias("actual"))
 
 
-def write_arrivals(obs: DataFrame, source_dir: str, files: int = 8) -> int:
+def write_arrivals(obs: DataFrame, source_dir: str, files: int = 5) -> int:
     """Write observations as the stream's arrival files: one range-partitioned write, a file per
     stretch of time. Only file names and times pass the driver. Returns the number of files."""
     spark = obs.sparkSession
