@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.functions.metrics import metric_aggs
 from shelfcast.operators.evaluate import MIN_TRAIN_ROWS, with_positions
 
 # Improvement report messages.
@@ -16,18 +15,14 @@ NEEDS_DATA_NOTE = "Model needs more data"
 
 
 def expanding_runs(scored: DataFrame, runs: int = 3, min_rows: int = MIN_TRAIN_ROWS) -> DataFrame:
-    """One metric snapshot per successive run; run v sees the first v/runs of
+    """One metric snapshot (mae, rmse, r2, mape, samples, day of the last row) per successive run; run v sees the first v/runs of
     each series (as when a model is retrained while data accumulates). Versions
     are 1..runs in run order."""
     p = with_positions(scored).where(F.col("n") >= min_rows)
-    parts = []
-    for v in range(1, runs + 1):
-        upto = F.floor(F.col("n") * v / float(runs)).cast("bigint")
-        e = F.col("actual") - F.col("predicted")
-        parts.append(p.where(F.col("rn") <= upto).groupBy("sku").agg(
-            F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-            F.count(F.lit(1)).alias("training_samples")).withColumn("version", F.lit(v).cast("bigint")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    each = p.withColumn("version", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(runs).cast("bigint"))))
+    seen = each.where(F.col("rn") <= F.floor(F.col("n") * F.col("version") / float(runs)).cast("bigint"))
+    return seen.groupBy("sku", "version").agg(*metric_aggs(), F.count(F.lit(1)).alias("training_samples"),
+                                              F.max("date").alias("trained_at"))
 
 
 def sku_history(history: DataFrame, sku: str) -> DataFrame:

@@ -114,6 +114,9 @@ def rp_last100(scored):
 HIST_SQL = BASE_SQL.replace("bm AS (", "bm_unused AS (") + """,
 runs AS (
   SELECT sku, v AS version, avg(abs(actual - predicted)) AS mae, sqrt(avg((actual - predicted) ^ 2)) AS rmse,
+         CASE WHEN var_pop(actual) * count(*) = 0 THEN CASE WHEN sum((actual - predicted) ^ 2) = 0 THEN 1.0 ELSE 0.0 END
+              ELSE 1 - sum((actual - predicted) ^ 2) / (var_pop(actual) * count(*)) END AS r2,
+         avg(abs(actual - predicted) / GREATEST(actual, 1)) * 100 AS mape, max(date) AS trained_at,
          count(*) AS training_samples
   FROM (SELECT s.*, v.v FROM scored s JOIN (VALUES (1), (2), (3)) v(v)
           ON s.rn <= CAST(floor(s.n * v.v / 3.0) AS BIGINT))
@@ -127,11 +130,11 @@ def history_runs(spark, sf_dir):
 
 
 @query("sku_history", sql=with_adapter(HIST_SQL) + fin(
-    "SELECT sku, version, mae, rmse, training_samples FROM runs", ints=["version", "training_samples"],
-    dbls=["mae", "rmse"], keep=["sku"]))
+    "SELECT sku, version, mae, rmse, r2, mape, training_samples, trained_at FROM runs",
+    ints=["version", "training_samples"], dbls=["mae", "rmse", "r2", "mape"], keep=["sku", "trained_at"]))
 def sku_history(spark, sf_dir):
     """Metric snapshots of three successive runs per SKU (versions 1..3)."""
-    return history_runs(spark, sf_dir).select("sku", "version", "mae", "rmse", "training_samples")
+    return history_runs(spark, sf_dir).select("sku", "version", "mae", "rmse", "r2", "mape", "training_samples", "trained_at")
 
 
 @query("improvement_report", sql=with_adapter(HIST_SQL) + fin("""
@@ -157,8 +160,8 @@ def improvement_report(spark, sf_dir):
 
 
 @query("history_store", sql=with_adapter(HIST_SQL) + fin(
-    "SELECT sku, version, mae, rmse, training_samples FROM runs", ints=["version", "training_samples"],
-    dbls=["mae", "rmse"], keep=["sku"]))
+    "SELECT sku, version, mae, rmse, r2, mape, training_samples, trained_at FROM runs",
+    ints=["version", "training_samples"], dbls=["mae", "rmse", "r2", "mape"], keep=["sku", "trained_at"]))
 def history_store(spark, sf_dir):
     """Append each run's snapshot to a history table; versions continue per SKU."""
     runs = history_runs(spark, sf_dir)
@@ -167,7 +170,7 @@ def history_store(spark, sf_dir):
     for v in (1, 2, 3):
         batch = runs.where(F.col("version") == v).drop("version").withColumn("run_order", F.lit(v))
         out = store.append_history(spark, path, batch)
-    return out.select("sku", "version", "mae", "rmse", "training_samples")
+    return out.select("sku", "version", "mae", "rmse", "r2", "mape", "training_samples", "trained_at")
 
 
 DDM_REC_SQL = """,
