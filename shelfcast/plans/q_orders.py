@@ -117,6 +117,18 @@ def apply_rules(spark, sf_dir):
     return applied_orders(spark, sf_dir)
 
 
+GAPS_INPUT = AR_INPUT.replace("st.sku = f.sku", f"st.sku = f.sku AND {h('f.sku', '#nostock')} % 5 <> 0").replace(
+    "r.sku = f.sku", f"r.sku = f.sku AND {h('f.sku', '#norule')} % 4 <> 0")
+
+
+@query("apply_rules_gaps", sql=with_adapter(RULES_SQL, GAPS_INPUT, constrain_sql("ar_in")) + "SELECT * FROM ar")
+def apply_rules_gaps(spark, sf_dir):
+    """Some SKUs have no stock row (counts as none) and some no rule (raw forecast minus stock)."""
+    _, rules, fc, stock, dem = rule_inputs(spark, sf_dir)
+    return od.apply_rules(fc, stock.where(md5_mod(F.col("sku"), 5, "#nostock") != 0),
+                          rules.where(md5_mod(F.col("sku"), 4, "#norule") != 0), dem)
+
+
 @query("apply_rules_batch", sql=with_adapter(RULES_SQL, AR_INPUT, constrain_sql("ar_in", with_demand=False))
        + "SELECT sku, forecast_qty, final_qty AS final_order_qty, explanation AS rule_explanation FROM ar")
 def apply_rules_batch(spark, sf_dir):

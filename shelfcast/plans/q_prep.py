@@ -261,3 +261,25 @@ def raw_csv_clean_calendar(spark, sf_dir):
     raw.write.mode("overwrite").option("header", True).csv(base + "/calendar.csv")
     scanned = store.cached_scan(spark, base + "/calendar.csv", base + "/calendar.parquet", schema=raw.schema)
     return cl.clean_calendar(scanned)
+
+
+def _through_csv(spark, raw, name):
+    """Write a raw table as CSV and read it through the cached-scan fallback (no Parquet cache yet)."""
+    from shelfcast.sources import store
+    base = store.unique_path(spark, f"raw_{name}")
+    raw.write.mode("overwrite").option("header", True).csv(base + f"/{name}.csv")
+    return store.cached_scan(spark, base + f"/{name}.csv", base + f"/{name}.parquet", schema=raw.schema)
+
+
+@query("raw_csv_clean_sales", sql=PREP + "SELECT * FROM sales_clean")
+def raw_csv_clean_sales(spark, sf_dir):
+    """The wide sales arrive as CSV, every day column, and are cleaned."""
+    return cl.clean_sales(_through_csv(spark, fx.sales_wide_dirty(spark, sf_dir), "sales"))
+
+
+@query("raw_csv_clean_prices", sql=PREP + fin("SELECT * FROM pc", ints=["wm_yr_wk"], dbls=["sell_price"],
+                                              keep=["store_id", "item_id"]))
+def raw_csv_clean_prices(spark, sf_dir):
+    """The prices arrive as CSV and are cleaned against the cleaned sales' items."""
+    prices = _through_csv(spark, fx.prices_dirty(spark, sf_dir), "prices")
+    return cl.clean_prices(prices, cleaned_sales(spark, sf_dir))
