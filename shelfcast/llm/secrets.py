@@ -34,10 +34,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 HINT = re.compile(r"pass|secret|token|key", re.IGNORECASE)
 LONG_HEX = re.compile(r"[0-9a-f]{24}")
-WEAK_ID = re.compile(r"""\b(?:client|account|access|tenant|user)[_-]?(?:id|name)?["']?\x20?[:=]\x20?["']?[A-Za-z0-9_.@-]{4,64}""",
+WEAK_ID = re.compile(r"""\b(?:client|account|access|tenant|user)[_-]?(?:id|name)?["']?\x20?[:=]\x20?["']?[A-Za-z0-9_.@-]{4,}""",
                      re.IGNORECASE | re.ASCII)
-WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,200}(?![A-Za-z0-9+/_=-])")
-ENDPOINT = re.compile(r"\b(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]{4,200}", re.ASCII)
+WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
+ENDPOINT = re.compile(r"\b(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]{4,}", re.ASCII)
 SECRET, IDENTIFIER, PLACE = "secret", "identifier", "endpoint"
 ROLES = {"assign": SECRET, "hex": SECRET, "key": SECRET, "access": IDENTIFIER, "id": IDENTIFIER, "endpoint": PLACE}
 NEEDS = {"id": (SECRET,), "key": (IDENTIFIER, PLACE), "endpoint": (SECRET,)}

@@ -59,3 +59,15 @@ def test_secrets_match_brute_force(spark):
 
 def test_secrets_whole_table(spark):
     check(spark, [r.text for r in spark.read.parquet(f"{SF_MID}/documents.parquet").select("text").collect()])
+
+
+def test_long_weak_parts_are_whole(spark):
+    key, rest = "Ab3" * 167, "x" * 480
+    texts = [f"client_id=abcd1234 then {key}", f"https://db.example/{rest} {'.' * 150} password=abcdef",
+             f"user_id={'u' * 300} {'.' * 150} {KEY}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans.split(",") for r in secrets.report(docs).collect()}
+    start = texts[0].index(key)
+    assert f"key:{start}:{start + len(key)}" in got[0]
+    assert f"endpoint:0:{len('https://db.example/' + rest)}" in got[1]
+    assert f"id:0:{len('user_id=') + 300}" in got[2] and [s for s in got[2] if s.startswith("key:")]
