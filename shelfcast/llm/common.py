@@ -80,6 +80,18 @@ def hashed_part(df: DataFrame, key: str, wanted: int, seed: str) -> DataFrame:
     return df.filter(F.crc32(F.concat(F.lit(seed), F.col(key).cast("string"))) < limit)
 
 
+def hashed_parts(df: DataFrame, key: str, by: str, wanted: int, seed: str) -> DataFrame:
+    """``hashed_part`` for each value of ``by``: a quarter of ``wanted`` is dealt evenly to the values, the rest by their counts."""
+    counts = {r[0]: r[1] for r in df.groupBy(by).count().collect()}
+    total = sum(counts.values())
+    if total <= wanted:
+        return df
+    even = wanted / 4 / len(counts)
+    share = {v: min(1.0, even / n + 0.75 * wanted / total) for v, n in counts.items()}
+    limits = F.create_map(*[F.lit(x) for v, p in share.items() for x in (v, int(p * 2 ** 32))])
+    return df.filter(F.crc32(F.concat(F.lit(seed), F.col(key).cast("string"))) < limits[F.col(by)])
+
+
 def labelled(spark: SparkSession, documents: DataFrame, labels: DataFrame, label: str, keep: Column,
              wanted: int, seed: str) -> DataFrame:
     """(text, label) of a bounded sample of labelled documents.

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID
 from shelfcast.llm import language, quality, toxicity
-from shelfcast.llm.common import remainder
+from shelfcast.llm.common import hashed_parts, remainder
 
 ODD = [(None, None), (None, "plain words"), (7, ""), (7, ""), (8, "x" * 200_000), (9, "!!! ??? 123"), (10, "日本語 ﬁ é")]
 SCHEMA = "doc_id long, text string"
@@ -103,3 +103,15 @@ def test_gru_gradients_match_differences():
             values.append((language.forward(table, u, steps) * weight).sum())
         target[at] = keep
         assert abs((values[0] - values[1]) / 2e-5 - grad[at]) < 1e-5
+
+
+def test_rare_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "STEPS", 1)
+    rare = [(i, "zz") for i in range(0, 40_000, 4000)]
+    rows = [(i, "common words here", "en") for i in range(40_000) if i % 4000] + [(i, "rare qxqx jzjz", z) for i, z in rare]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, F.lit(True), sample=100)
+    assert model.languages == ["en", "zz"]
+    kept = hashed_parts(docs, "doc_id", "lang", 100, "language").groupBy("lang").count().collect()
+    kept = {r.lang: r["count"] for r in kept}
+    assert kept["zz"] == 10 and 50 <= kept["en"] <= 130
