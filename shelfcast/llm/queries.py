@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import decontaminate, language, neighbours, packing, pii, quality, secrets, sharding, simhash, toxicity
+from shelfcast.llm import (
+    decontaminate,
+    language,
+    licenses,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    resampling,
+    secrets,
+    sharding,
+    simhash,
+    toxicity,
+    variants,
+)
 from shelfcast.llm.common import ready, remainder
 from shelfcast.sources.tables import read_table
 
@@ -84,6 +98,21 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read_table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(documents(spark, sf_dir))
+
+
+@query
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(documents(spark, sf_dir))
+
+
 def all_queries() -> dict:
     return dict(QUERIES)
 
