@@ -1,17 +1,19 @@
 """Personal data: base spans by pattern, and terms that disclose them by information content (DataFrame functions only).
 
 Base kinds are emails, addresses, card and phone numbers. Their values are the
-protected entities. The words in a window of CONTEXT characters on either side
-of an entity are candidate terms. Over all documents, with N documents, n(e)
-holding entity e, n(t) holding term t and n(e, t) with t in e's window,
+protected entities. The words (runs of letters, of any length) in a window of
+CONTEXT characters on either side of an entity are candidate terms; a word that the
+window's outer edge cuts, or that lies in a base span, is none. Over all documents, with N rows, n(e)
+holding entity e, n(t) holding term t and n(e, t) with t in e's window (repeated rows count each),
 
     PMI(e; t) = log2(N n(e, t) / (n(e) n(t))),    IC(e) = log2(N / n(e)),
 
 and PMI / IC is the share of the entity's information that the term gives away.
 At REMOVE or more a term is removed beside that entity, at GENERALISE or more it
-is replaced by its general class; both need EVIDENCE different contexts and
-documents, so mere copies of one passage prove nothing. Counts are over the
-whole corpus.
+is replaced by its general class; both need the pair in EVIDENCE different texts, so
+mere copies of one document prove nothing. Counts are over the whole corpus. A term's class is what
+most of its places beside entities show: organisation (a suffix such as GmbH is
+or follows it), acronym (all capitals), name (capitalised), else word.
 
 The patterns use possessive quantifiers and anchored starts: equal results to
 the plain forms, in linear time and without deep recursion on long texts.
@@ -35,8 +37,10 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 LABELS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]")
 
+# Organisation suffixes.
+SUFFIX = "inc|ltd|llc|corp|corporation|company|gmbh|ag|plc|sarl|spa|foundation|university"
+
 CONTEXT = 64
-LEAST_LETTERS = 4
 EVIDENCE = 2
 GENERALISE, REMOVE = 0.5, 0.8
 TERM = 4
@@ -89,9 +93,9 @@ def is_card(value: Column) -> Column:
 
 
 def base_spans(docs: DataFrame, *keep: str) -> DataFrame:
-    """The columns ``keep``, a row key and ``spans`` (base kinds, sorted) of every document."""
+    """The columns ``keep``, ``row`` (unique), a row key and ``spans`` (base kinds, sorted) of every document."""
     body = docs.select(*keep, F.coalesce(F.col("text"), F.lit("")).alias("_text"),
-                       F.xxhash64("doc_id", "text").alias("row_key"))
+                       F.monotonically_increasing_id().alias("row"), F.xxhash64("doc_id", "text").alias("row_key"))
     digit = F.col("_text").rlike("[0-9]")
     tests = ((EMAIL, F.contains("_text", F.lit("@"))), (IP, digit), (CARD, digit),
              (PHONE, F.contains("_text", F.lit("+"))))
@@ -103,7 +107,7 @@ def base_spans(docs: DataFrame, *keep: str) -> DataFrame:
     passes = (lambda v: F.lit(True), lambda v: v.rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$"), is_card,
               lambda v: F.length(digits(v)).between(10, 15))
     spans = F.array_sort(F.concat(*[placed(f"_m{k}", f"_g{k}", k, passes[k]) for k in range(TERM)]))
-    return matched.select(*keep, "row_key", "_text", spans.alias("spans"))
+    return matched.select(*keep, "row", "row_key", "_text", spans.alias("spans"))
 
 
 def _contexts(span: Column) -> list[Column]:
@@ -116,61 +120,86 @@ def _contexts(span: Column) -> list[Column]:
                      F.lit(False).alias("cut_left"), (F.length(text) > end + CONTEXT).alias("cut_right"))]
 
 
+def entity(kind: Column, value: Column) -> Column:
+    """A protected value: its kind and lower-cased text."""
+    return F.concat(kind.cast("string"), F.lit(":"), F.lower(value))
+
+
+def shape(value: Column, after: Column) -> Column:
+    """What one place shows of a term's class."""
+    organisation = F.lower(value).rlike(f"^(?:{SUFFIX})$") | after.rlike(rf"^[ ,.]{{1,2}}(?i:{SUFFIX})(?!\p{{L}})")
+    return (F.when(organisation, "[ORGANISATION]").when(value.rlike(r"^\p{Lu}{2,}$"), "[ACRONYM]")
+            .when(value.rlike(r"^\p{Lu}"), "[NAME]").otherwise("[WORD]"))
+
+
 def occurrences(found_spans: DataFrame) -> DataFrame:
-    """(row_key, entity, term, start, end, context): the words beside each entity, base spans left out."""
-    entities = found_spans.select("row_key", "spans", F.explode("near").alias("n")).select(
-        "row_key", "spans", F.concat(F.col("n.kind").cast("string"), F.lit(":"), F.lower("n.value")).alias("entity"),
-        F.xxhash64("n.windows.text").alias("context"), F.explode("n.windows").alias("w"))
+    """(row, body, entity, term, start, end, shape): the words beside each entity, base spans left out."""
+    entities = found_spans.select("row", "body", "spans", F.explode("near").alias("n")).select(
+        "row", "body", "spans", entity(F.col("n.kind"), F.col("n.value")).alias("entity"), F.explode("n.windows").alias("w"))
     words, gaps = found("wtext", r"\p{L}+", F.lit(True))
     split = entities.select("*", F.col("w.text").alias("wtext")).select("*", words.alias("_m"), gaps.alias("_g"))
-    spans = placed("_m", "_g", TERM, lambda v: F.length(v) >= LEAST_LETTERS, F.col("w.offset"))
-    each = split.select("row_key", "spans", "entity", "context", "w", F.explode(spans).alias("s"))
+    spans = placed("_m", "_g", TERM, lambda v: F.lit(True), F.col("w.offset"))
+    each = split.select("row", "body", "spans", "entity", "w", F.explode(spans).alias("s"))
     inside = ~(F.col("w.cut_left") & (F.col("s.start") == F.col("w.offset"))) & ~(
         F.col("w.cut_right") & (F.col("s.end") == F.col("w.offset") + CONTEXT))
     free = ~F.exists("spans", lambda b: (b["start"] < F.col("s.end")) & (b["end"] > F.col("s.start")))
-    return each.filter(inside & free).select("row_key", "entity", F.lower("s.value").alias("term"),
-                                             F.col("s.start").alias("start"), F.col("s.end").alias("end"), "context")
+    after = F.substring(F.col("w.text"), F.col("s.end") - F.col("w.offset") + 1, F.lit(16))
+    return each.filter(inside & free).select("row", "body", "entity", F.lower("s.value").alias("term"),
+                                             F.col("s.start").alias("start"), F.col("s.end").alias("end"),
+                                             shape(F.col("s.value"), after).alias("shape"))
 
 
-def disclosing(beside: DataFrame, docs: DataFrame, generalise: float = GENERALISE, evidence: int = EVIDENCE) -> DataFrame:
-    """(entity, term, share) of the pairs whose share of disclosed information reaches ``generalise``."""
+def disclosing(beside: DataFrame, held: DataFrame, docs: DataFrame, generalise: float = GENERALISE,
+               evidence: int = EVIDENCE) -> DataFrame:
+    """(entity, term, share) of the pairs whose share of disclosed information reaches ``generalise``.
+
+    ``held`` has a row for each different entity of each document.
+    """
     total = docs.count()
-    pairs = (beside.groupBy("entity", "term").agg(F.countDistinct("row_key").alias("n_et"),
-                                                  F.countDistinct("context").alias("contexts"))
-             .filter((F.col("contexts") >= evidence) & (F.col("n_et") >= evidence)))
-    held = beside.groupBy("entity").agg(F.countDistinct("row_key").alias("n_e"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(rf"\p{{L}}{{{LEAST_LETTERS},}}"), 0))
+    pairs = (beside.groupBy("entity", "term").agg(F.countDistinct("row").alias("n_et"), F.countDistinct("body").alias("texts"))
+             .filter(F.col("texts") >= evidence))
+    entities = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    words = F.array_distinct(F.transform(F.split("text", r"\P{L}++"), F.lower))
     terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     information = F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
     mutual = F.log2(F.lit(float(max(total, 1))) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-    scored = pairs.join(held, "entity").join(terms, "term").withColumn(
+    scored = pairs.join(entities, "entity").join(terms, "term").withColumn(
         "share", F.when(information > 0, mutual / information).otherwise(F.lit(0.0)))
     return scored.filter(F.col("share") >= generalise).select("entity", "term", "share")
 
 
+def classes(beside: DataFrame, told: DataFrame) -> DataFrame:
+    """(term, class): what most places of a told term show; ties go to the first in alphabetical order."""
+    counted = beside.join(told.select("term").distinct(), "term", "left_semi").groupBy("term", "shape").count()
+    return counted.groupBy("term").agg(F.min(F.struct(-F.col("count"), F.col("shape"))).alias("b")).select(
+        "term", F.col("b.shape").alias("class"))
+
+
 def find(docs: DataFrame, *keep: str) -> DataFrame:
     """The columns ``keep``, row_key and all spans (start, kind, end, value, action) of every document, sorted.
 
-    A null text counts as empty and has no spans; repeated rows get the same
+    ``action`` is what to put in place of a term: its class, or nothing if it is removed. A null text counts as empty and has no spans; repeated rows get the same
     spans; null ids are ordinary; an empty table gives an empty result.
     """
     ready(docs.sparkSession)
     based = base_spans(docs, *keep)
     near = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"),
                                                    F.array(*_contexts(s)).alias("windows")))
-    based = written(based.select(*keep, "row_key", "spans", near.alias("near")), "pii-base")
-    beside = written(occurrences(based.filter(F.size("spans") > 0).select("row_key", "spans", "near")), "pii-beside")
-    told = disclosing(beside, docs)
-    action = F.when(F.col("share") >= REMOVE, F.lit("remove")).otherwise(F.lit("generalise"))
-    terms = (beside.join(told, ["entity", "term"]).groupBy("row_key", "start", "end", "term")
-             .agg(F.max("share").alias("share"))
-             .groupBy("row_key").agg(F.collect_set(F.struct(
-                 "start", F.lit(TERM).alias("kind"), "end", F.col("term").alias("value"),
-                 action.alias("action"))).alias("terms")))
-    joined = based.select(*keep, "row_key", "spans").join(terms, "row_key", "left")
+    body = F.xxhash64("_text").alias("body")
+    based = written(based.select(*keep, "row", "row_key", body, "spans", near.alias("near")), "pii-base")
+    holding = based.filter(F.size("spans") > 0)
+    beside = written(occurrences(holding.select("row", "body", "spans", "near")), "pii-beside")
+    values = F.array_distinct(F.transform("spans", lambda s: entity(s["kind"], s["value"])))
+    told = written(disclosing(beside, holding.select(F.explode(values).alias("entity")), docs), "pii-told")
+    terms = (beside.join(told, ["entity", "term"]).groupBy("row", "start", "end", "term").agg(F.max("share").alias("share"))
+             .join(classes(beside, told), "term"))
+    action = F.when(F.col("share") >= REMOVE, F.lit("")).otherwise(F.col("class"))
+    terms = terms.groupBy("row").agg(F.collect_set(F.struct(
+        "start", F.lit(TERM).alias("kind"), "end", F.col("term").alias("value"), action.alias("action"))).alias("terms"))
+    joined = based.select(*keep, "row", "row_key", "spans").join(terms, "row", "left")
     base = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"),
                                                    s["end"].alias("end"), s["value"].alias("value"),
-                                                   F.lit("replace").alias("action")))
+                                                   F.element_at(F.array(*map(F.lit, LABELS)), s["kind"] + 1).alias("action")))
     return joined.select(*keep, "row_key", F.array_sort(F.concat(base, F.coalesce(
         "terms", F.array().cast("array<struct<start:int,kind:int,end:int,value:string,action:string>>")))).alias("spans"))
 
@@ -195,13 +224,9 @@ def report(docs: DataFrame) -> DataFrame:
 
 def sanitised_text(text: Column, spans: Column) -> Column:
     """The text with base spans replaced by labels, generalised terms by their class and removed terms left out."""
-    labels = F.array(*map(F.lit, LABELS))
-    general = lambda s: F.when(s["action"] == "remove", F.lit("")).otherwise(F.lit("[WORD]"))
-    swap = lambda s: F.when(s["kind"] < TERM, F.element_at(labels, F.least(s["kind"], F.lit(3)) + 1)).otherwise(general(s))
-
     def step(a: Column, s: Column) -> Column:
         new = s["start"] >= a["at"]                           # a span inside an earlier one is covered by it
-        text_part = F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), swap(s))
+        text_part = F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), s["action"])
         return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(new, text_part).otherwise(a["out"]).alias("out"))
 
     return F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,

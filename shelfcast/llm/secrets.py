@@ -6,8 +6,8 @@ access keys, long hexadecimal runs) are the base spans. Weak candidates are
 cases and digits) and ``endpoint`` (a service address); alone they mean nothing.
 Parts have a role: identifier, secret or endpoint. A weak candidate is reported
 only if a part with a complementary role stands within ``SCOPE`` characters in
-the same text: identifiers need a secret, keys need an identifier or an
-endpoint, endpoints need a secret.
+the same text and does not overlap it: identifiers need a secret, keys need an
+identifier or an endpoint, endpoints need a secret. So no text completes itself.
 
 The linking is an interval join over all documents: parts are dealt to cells of
 SCOPE characters, a candidate looks into its own and the neighbouring cells, so
@@ -36,7 +36,7 @@ HINT = re.compile(r"pass|secret|token|key", re.IGNORECASE)
 LONG_HEX = re.compile(r"[0-9a-f]{24}")
 WEAK_ID = re.compile(r"""\b(?:client|account|access|tenant|user)[_-]?(?:id|name)?["']?\x20?[:=]\x20?["']?[A-Za-z0-9_.@-]{4,}""",
                      re.IGNORECASE | re.ASCII)
-WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
+WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 ENDPOINT = re.compile(r"\b(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]{4,}", re.ASCII)
 SECRET, IDENTIFIER, PLACE = "secret", "identifier", "endpoint"
 ROLES = {"assign": SECRET, "hex": SECRET, "key": SECRET, "access": IDENTIFIER, "id": IDENTIFIER, "endpoint": PLACE}
@@ -108,7 +108,8 @@ def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     near = looking.alias("w").join(placed.alias("p"), (F.col("w.row_key") == F.col("p.row_key"))
                                    & (F.col("w.cell") == F.col("p.cell")) & (F.col("w.want") == F.col("p.role"))
                                    & (F.col("p.start") - F.col("w.end") <= scope)
-                                   & (F.col("w.start") - F.col("p.end") <= scope), "left_semi")
+                                   & (F.col("w.start") - F.col("p.end") <= scope)
+                                   & ((F.col("p.start") >= F.col("w.end")) | (F.col("p.end") <= F.col("w.start"))), "left_semi")
     return near.groupBy("row_key").agg(F.collect_set(F.struct("start", "kind", "end")).alias("reported"))
 
 

@@ -41,34 +41,29 @@ def digest(spans):
 
 
 def brute_terms(texts):
-    """Spans of disclosing terms of each text, by the documented counts."""
-    beside, holds = [], defaultdict(set)
-    for d, text in enumerate(texts):
-        text = text or ""
-        for w in set(re.findall(r"[^\W\d_]{4,}", text.lower())):
-            holds[w].add(d)
-        base = brute_base(text)
+    """Spans of disclosing terms of each text, from the formula: N, n(e), n(t) and n(e, t) are counts of rows."""
+    bases = [brute_base(t) for t in texts]
+    entities = [{f"{k}:{t[s:e].lower()}" for s, k, e in b} for t, b in zip(texts, bases)]
+    holds = [{w.lower() for w in re.findall(r"[^\W\d_]+", t or "")} for t in texts]
+    places = []
+    for d, (text, base) in enumerate(zip(texts, bases)):
         for s, k, e in base:
             low = max(s - 64, 0)
-            sides = [(text[low:s], low, low > 0, False), (text[e:e + 64], e, False, len(text) > e + 64)]
-            for side, off, cut_left, cut_right in sides:
+            for side, off, cut_left, cut_right in ((text[low:s], low, low > 0, False), (text[e:e + 64], e, False, len(text) > e + 64)):
                 for m in re.finditer(r"[^\W\d_]+", side):
                     a, b = m.start() + off, m.end() + off
-                    if b - a < 4 or cut_left and a == off or cut_right and b == off + 64 or any(
-                            x < b and y > a for x, _, y in base):
-                        continue
-                    beside.append((d, f"{k}:{text[s:e].lower()}", m[0].lower(), a, b, tuple(x[0] for x in sides)))
-    n = len(texts)
-    n_e, n_et, ctx = defaultdict(set), defaultdict(set), defaultdict(set)
-    for d, e, t, *_, c in beside:
-        n_e[e].add(d)
-        n_et[e, t].add(d)
-        ctx[e, t].add(c)
+                    if not (cut_left and a == off or cut_right and b == off + 64 or any(x < b and y > a for x, _, y in base)):
+                        places.append((d, f"{k}:{text[s:e].lower()}", m[0].lower(), a, b))
+    n_e, n_t = Counter(e for s in entities for e in s), Counter(w for s in holds for w in s)
+    rows, bodies = defaultdict(set), defaultdict(set)
+    for d, e, t, *_ in places:
+        rows[e, t].add(d)
+        bodies[e, t].add(texts[d])
     out = defaultdict(set)
-    for d, e, t, a, b, _ in beside:
-        info = math.log2(n / len(n_e[e]))
-        share = math.log2(n * len(n_et[e, t]) / len(n_e[e]) / len(holds[t])) / info if info > 0 else 0
-        if len(ctx[e, t]) >= 2 and len(n_et[e, t]) >= 2 and share >= 0.5 - 1e-12:
+    for d, e, t, a, b in places:
+        info = math.log2(len(texts) / n_e[e])
+        share = math.log2(len(texts) * len(rows[e, t]) / (n_e[e] * n_t[t])) / info if info > 0 else 0
+        if len(bodies[e, t]) >= 2 and share >= 0.5 - 1e-12:
             out[d].add((a, 4, b))
     return out
 
@@ -94,6 +89,25 @@ def test_pii_edges_and_terms(spark):
     assert any(terms.values())
 
 
+def test_pii_counts_entities_without_words_beside_them_and_short_names(spark):
+    bare = ["4111 1111 1111 1111"] * 2 + [f"12 4111 1111 1111 1111 {i}" for i in range(30)]
+    told = [f"Li Bo 4111 1111 1111 1111 pays {i}" for i in range(2)]
+    plain = [f"nothing of note {i}" for i in range(400)]
+    texts = told + plain + ["Kim x@y.org"] * 3 + ["say Kim x@y.org"] + bare
+    terms = check_pii(spark, texts)
+    assert (0, 4, 3) in terms[402]                             # Kim, in different texts
+    assert not any(check_pii(spark, plain + ["Kim x@y.org"] * 3).values())   # copies of one text prove nothing
+
+
+def test_generalised_terms_get_the_class_that_the_corpus_shows(spark, monkeypatch):
+    monkeypatch.setattr(pii, "REMOVE", 2.0)
+    texts = [f"{i} Anna Berg of Acme GmbH, the BKA clerk, a@b.org" for i in range(3)] + [f"plain {i}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert got[0] == ("0 [NAME] [NAME] [WORD] [ORGANISATION] [ORGANISATION], [WORD] [ACRONYM] [WORD], [WORD] [EMAIL]")
+    assert got[10] == texts[10]
+
+
 def test_pii_whole_table(spark):
     check_pii(spark, [r.text for r in spark.read.parquet(f"{SF_MID}/documents.parquet").select("text").collect()])
 
