@@ -96,9 +96,7 @@ def model_drift_check(spark, sf_dir):
     through ADWIN + DDM, then the per-SKU verdict (D11/D13/D14)."""
     feats, models = trained(spark, sf_dir)
     s = fc.score(feats, models)
-    res = rp_last100(s)
-    rep = rp.replay(res)
-    return rp.drift_check(rep, res)
+    return rp.drift_check(rp.replay(rp_last100(s)))
 
 
 def rp_last100(scored):
@@ -198,9 +196,7 @@ rec AS (
 SELECT sku, n, CAST(drift AS BIGINT) AS ddm_drift, CAST(warn AS BIGINT) AS ddm_warning FROM rec WHERE n > 0""")
 def ddm_replay(spark, sf_dir):
     """D3 with resets (the online detector), per observation; oracle: a recursive CTE."""
-    rep = rp.replay(q_drift.residuals_df(spark, sf_dir))
-    return rep.select("sku", "n", F.col("ddm_drift").cast("int").alias("ddm_drift"),
-                      F.col("ddm_warning").cast("int").alias("ddm_warning"))
+    return rp.ddm_trace(q_drift.residuals_df(spark, sf_dir))
 
 
 @query("pooled_model_metrics")
@@ -271,11 +267,11 @@ def drift_replay(spark, sf_dir):
 
 
 @query("drift_events", sql=REPLAY_SQL + fin(
-    "SELECT * FROM rp2 WHERE drift_detected", ints=["n"], dbls=["severity"],
-    keep=["sku", "detectors", "message"]))
+    "SELECT p.*, r.date FROM rp2 p JOIN res r ON r.sku = p.sku AND r.n = p.n WHERE p.drift_detected", ints=["n"], dbls=["severity"],
+    keep=["sku", "date", "detectors", "message"]))
 def drift_events(spark, sf_dir):
-    """D8."""
-    return rp.drift_events(rp.replay(q_drift.residuals_df(spark, sf_dir)))
+    """D8, each event with the date of its observation."""
+    return rp.drift_events(rp.replay(q_drift.residuals_df(spark, sf_dir), keep=("date",)), "date")
 
 
 DRIFT_CHECK_SQL = """
@@ -285,22 +281,29 @@ SELECT s.sku, x.lv.d OR COALESCE(k.in_d, false) AS drift_detected, x.lv.s AS sev
        CASE WHEN x.lv.d AND x.lv.s >= 0.5 THEN 'HIGH' WHEN x.lv.d OR COALESCE(k.in_d, false) THEN 'MEDIUM'
             WHEN x.lv.w THEN 'LOW' ELSE 'NONE' END AS label,
        x.drift_events, s.mean_residual, s.std_residual, s.mae, s.n_obs,
-       COALESCE(k.input_drift, CAST([] AS VARCHAR[])) AS input_drift
+       COALESCE(k.input_drift, CAST([] AS VARCHAR[])) AS input_drift,
+       k.input_features, k.input_ks, k.input_p, k.input_drifts
 FROM (SELECT sku, arg_max({'d': drift_detected, 's': severity, 'det': detectors, 'm': message, 'w': ddm_warning}, n)
              AS lv, count(*) FILTER (WHERE drift_detected) AS drift_events FROM rp2 GROUP BY sku) x
      JOIN (SELECT sku, avg(residual) AS mean_residual, stddev_pop(residual) AS std_residual,
                   avg(abs(residual)) AS mae, count(*) AS n_obs FROM res GROUP BY sku) s ON s.sku = x.sku
-     LEFT JOIN (SELECT sku, list_sort(list(message)) AS input_drift, bool_or(drift_detected) AS in_d
+     LEFT JOIN (SELECT sku, list_sort(list(message)) AS input_drift, bool_or(drift_detected) AS in_d,
+                       list(feature ORDER BY feature) AS input_features, list(ks_statistic ORDER BY feature) AS input_ks,
+                       list(p_value ORDER BY feature) AS input_p, list(drift_detected ORDER BY feature) AS input_drifts
                 FROM ks_out GROUP BY sku) k ON k.sku = x.sku"""
 
 
+#: The input tests as columns: feature, statistic, p and verdict, in the order of the features.
+INPUT_TESTS = (("feature", "input_features"), ("ks_statistic", "input_ks"), ("p_value", "input_p"), ("drift", "input_drifts"))
+
+
 @query("drift_check", sql=REPLAY_SQL + q_drift.KS_SQL + q_drift.KS_P_SQL + fin(
     DRIFT_CHECK_SQL, ints=["drift_events", "n_obs"], dbls=["severity", "mean_residual", "std_residual", "mae"],
-    keep=["sku", "drift_detected", "detectors", "message", "label", "input_drift"]))
+    keep=["sku", "drift_detected", "detectors", "message", "label", "input_drift", "input_features", "input_ks", "input_p", "input_drifts"]))
 def drift_check(spark, sf_dir):
     """D11-D14 with input drift from the KS tests."""
-    res = q_drift.residuals_df(spark, sf_dir)
-    return rp.drift_check(rp.replay(res), res, q_drift.ks_tests(spark, sf_dir))
+    checked = rp.drift_check(rp.replay(q_drift.residuals_df(spark, sf_dir)), q_drift.ks_tests(spark, sf_dir))
+    return checked.select("*", *[F.col(f"input_tests.{a}").alias(b) for a, b in INPUT_TESTS]).drop("input_tests")
 
 
 # The verdict at the last observation, without input tests (Q4).

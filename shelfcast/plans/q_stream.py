@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import shelfcast.plans.q_prep  # noqa: F401  (registers incremental_merge and its oracle first)
-from shelfcast.plans.oracle_base import fin
-from shelfcast.plans.q_forecast import EVENTS_REPLAY_SQL
+from shelfcast.plans.oracle_base import fin, with_adapter
+from shelfcast.plans.q_drift import DETECT_SQL, EVENTS_RES_DEF
+from shelfcast.plans.q_forecast import ADWIN_REC_SQL, DDM_REC_SQL, EVENTS_REPLAY_SQL, REPLAY_TAIL
 from shelfcast.plans.registry import ORACLE
 from shelfcast.sources import fixture as fx
 from shelfcast.sources import store
@@ -18,9 +19,25 @@ from shelfcast.plans.registry import query
 
 MONITOR_SQL = EVENTS_REPLAY_SQL + fin("""
 SELECT r.sku, r.event_id, CAST(r.ts AS TIMESTAMP) AS ts, false AS late, r.n, r.actual, r.predicted, r.residual,
-       p.drift_detected, p.detectors, p.severity
+       p.drift_detected, p.detectors, p.severity, p.message
 FROM res r JOIN rp2 p ON p.sku = r.sku AND p.n = r.n""", ints=["event_id", "n"],
-    dbls=["actual", "predicted", "residual", "severity"], keep=["sku", "ts", "late", "drift_detected", "detectors"])
+    dbls=["actual", "predicted", "residual", "severity"], keep=["sku", "ts", "late", "drift_detected", "detectors", "message"])
+
+# Late arrivals: every 40th event reaches the stream one stretch (a fifth of the time span) later.
+# A row is late if its SKU had a later position in an earlier stretch; the others are replayed in order.
+SLICED_SQL = """
+sliced AS (
+  SELECT CAST(user_id AS VARCHAR) AS sku, event_id, CAST(ts AS TIMESTAMP) AS ts, value,
+         CAST(floor(5.0 * (epoch_us(CAST(ts AS TIMESTAMP)) - lo) / (hi - lo + 1)) AS BIGINT)
+         + CASE WHEN event_id % 40 = 0 THEN 1 ELSE 0 END AS slice
+  FROM events, (SELECT min(epoch_us(CAST(ts AS TIMESTAMP))) AS lo, max(epoch_us(CAST(ts AS TIMESTAMP))) AS hi FROM events)),
+arrived AS (
+  SELECT *, COALESCE((ts, event_id) < max((ts, event_id)) OVER (
+    PARTITION BY sku ORDER BY slice RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS late FROM sliced),
+"""
+LATE_REPLAY_SQL = with_adapter(SLICED_SQL + EVENTS_RES_DEF.replace("CAST(user_id AS VARCHAR) AS sku", "sku").replace(
+    "FROM events WINDOW w AS (PARTITION BY user_id", "FROM arrived WHERE NOT late WINDOW w AS (PARTITION BY sku")
+    + DETECT_SQL) + DDM_REC_SQL + ADWIN_REC_SQL + REPLAY_TAIL
 
 
 def _wall_clock(df):
@@ -46,6 +63,40 @@ def events_drift_batch(spark, sf_dir):
     return _wall_clock(ds.batch_monitor(ds.events_as_observations(read_table(spark, sf_dir, "events"))))
 
 
+def late_arrivals(spark, sf_dir):
+    """The events as arrival slices, one file each: every 40th event comes one slice later than its time."""
+    obs = ds.events_as_observations(read_table(spark, sf_dir, "events"))
+    at = F.unix_micros("ts")
+    span = obs.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
+    on_time = F.floor(5.0 * (at - F.lit(span.lo or 0)) / F.lit((span.hi or 0) - (span.lo or 0) + 1))
+    return obs.withColumn("slice", on_time + F.when(F.col("event_id") % 40 == 0, 1).otherwise(0))
+
+
+def late_outputs(spark, sf_dir):
+    """The three outputs of one stream over late arrivals; a slice is a file, a file is a micro-batch."""
+    arrivals = late_arrivals(spark, sf_dir)
+    src = store.unique_path(spark, "late_stream_src")
+    ds.write_slices(arrivals, src, "slice")
+    return ds.run_to_outputs(spark, src, arrivals.drop("slice").schema, store.unique_path(spark, "late_out"),
+                             store.unique_path(spark, "late_ckpt"), max_files=1)
+
+
+@query("stream_late_counts", sql=LATE_REPLAY_SQL + """
+SELECT sku, slice - (SELECT min(slice) FROM arrived) AS batch_id, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(*) FILTER (WHERE late) AS BIGINT) AS n_late FROM arrived GROUP BY sku, slice""")
+def stream_late_counts(spark, sf_dir):
+    """Rows and late rows of each SKU and micro-batch, written beside the verdicts."""
+    return late_outputs(spark, sf_dir)["late"].select("sku", F.col("batch_id").cast("bigint").alias("batch_id"), "n_rows", "n_late")
+
+
+@query("stream_events", sql=LATE_REPLAY_SQL + fin("""
+SELECT p.sku, p.n, r.event_id, r.ts, p.detectors, p.severity, p.message FROM rp2 p JOIN res r ON r.sku = p.sku AND r.n = p.n
+WHERE p.drift_detected""", ints=["n", "event_id"], dbls=["severity"], keep=["sku", "ts", "detectors", "message"]))
+def stream_events(spark, sf_dir):
+    """D8 on the stream: dated drift events; late rows do not touch the detectors."""
+    return _wall_clock(late_outputs(spark, sf_dir)["events"].drop("batch_id"))
+
+
 @query("stream_pos_history", sql=ORACLE["incremental_merge"])
 def stream_pos_history(spark, sf_dir):
     """history = POS before 2000; arrivals = POS from mid-1999 on (units + 1), streamed

@@ -1,85 +1,121 @@
 """Structured Streaming drift monitor.
 
 Stream of (sku, ts, event_id, actual) -> per-observation verdicts, keyed state
-per SKU with ``applyInPandasWithState``. The state is the bounded
-``SeriesState`` JSON plus the running count/sum of actuals (the predictor is the
-running mean of earlier values) and the last (ts, event_id) seen. Rows at or
-before the last seen position are late: they are emitted with ``late = true``
-and do not touch the detectors (T2). Nothing expires and nothing is dropped
-unless the caller asks for it. The state store is RocksDB and the query
+per SKU with ``transformWithStateInPandas``. The state is typed: a value state
+holds the counters of ``SeriesState`` with the running count and sum of actuals (the
+predictor is the running mean of earlier values) and the last (ts, event_id) seen; a
+list state holds the ADWIN window. A key's rows are folded chunk by chunk: at most
+``HELD`` of them wait, sorted, so that chunks which overlap in time come out in
+order. Rows at or before the last folded position are late: they are
+emitted with ``late = true`` and do not touch the detectors (T2). Nothing expires and
+nothing is dropped unless the caller asks for it. The state store is RocksDB and the query
 checkpoint sits in the shared folder, so a lost executor replays from the
 last committed batch.
 """
 
 from __future__ import annotations
 
-import json
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from shelfcast.operators.drift_replay import SeriesState, replay
+from shelfcast.operators.drift_replay import STATE_SCHEMA, SeriesState, drift_events, replay
 
 OUT_SCHEMA = ("sku string, event_id long, ts timestamp, late boolean, n long, actual double, predicted double, "
-              "residual double, drift_detected boolean, detectors array<string>, severity double")
-STATE_SCHEMA = "state string"
+              "residual double, drift_detected boolean, detectors array<string>, severity double, message string")
 OUT_COLS = [c.split()[0] for c in OUT_SCHEMA.split(", ")]
-
-
-def _monitor(idle_ms: int | None):
-    """The state function; ``idle_ms`` of event time without a row removes a SKU's state (None: never)."""
-    def run(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame(columns=OUT_COLS)
-            return
-        held = json.loads(state.get[0]) if state.exists else dict(cnt=0, sum=0.0, last=None)
-        series = SeriesState.from_json(held["series"]) if state.exists else SeriesState()
-        parts = list(pdfs)
-        batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        when, event = batch["ts"].to_numpy(dtype="datetime64[ns]").astype("int64"), batch["event_id"].to_numpy("int64")
-        order = np.lexsort((event, when))
-        when, event = when[order], event[order]
-        actual = batch["actual"].to_numpy("float64")[order]
-        # sorted, so what is late comes first; of equal positions only the first counts
-        again = np.zeros(len(when), bool)
-        again[1:] = (when[1:] == when[:-1]) & (event[1:] == event[:-1])
-        if held["last"]:
-            t, e = held["last"]
-            again |= (when < t) | ((when == t) & (event <= e))
-        fresh = ~again
-        value = actual[fresh]
-        number = held["cnt"] + np.arange(len(value))
-        before = held["sum"] + np.concatenate([[0.0], np.cumsum(value)[:-1]]) if len(value) else value
-        predicted = np.divide(before, number, out=np.zeros(len(value)), where=number > 0)
-        got = series.advance(value - predicted)
-        at = np.flatnonzero(fresh).tolist()
-
-        def spread(column: list) -> list:               # late rows carry no verdict
-            if len(at) == len(when):
-                return column
-            out = [None] * len(when)
-            for i, x in zip(at, column):
-                out[i] = x
-            return out
-
-        out = {"sku": [key[0]] * len(when), "event_id": event, "ts": batch["ts"].to_numpy()[order], "late": again,
-               "n": spread((number + 1).tolist()), "actual": spread(value.tolist()),
-               "predicted": spread(predicted.tolist()), "residual": spread((value - predicted).tolist()),
-               "drift_detected": spread(got["drift_detected"]), "detectors": spread(got["detectors"]),
-               "severity": spread(got["severity"])}
-        if len(value):
-            held = dict(cnt=int(number[-1]) + 1, sum=float(before[-1] + value[-1]),
-                        last=[int(when[fresh][-1]), int(event[fresh][-1])])
-        state.update((json.dumps(dict(cnt=held["cnt"], sum=held["sum"], last=held["last"], series=series.to_json())),))
-        if idle_ms is not None and held["last"]:
-            state.setTimeoutTimestamp(held["last"][0] // 1_000_000 + idle_ms)
-        yield pd.DataFrame(out, columns=OUT_COLS)
-    return run
+#: Running count and sum of actuals and the last position, then the detectors' counters.
+VALUE_SCHEMA = f"seen bigint, sum double, last_ts bigint, last_event bigint, {STATE_SCHEMA}"
+#: Rows of a key that wait for their order; half of them are folded when there are more.
+HELD = 100_000
+#: Rows of one arrival file, which one task reads whole.
+FILE_ROWS = 500_000
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class Monitor(StatefulProcessor):
+    """The keyed monitor; ``idle_ms`` of event time without a row removes a SKU's state (None: never)."""
+
+    def __init__(self, idle_ms: int | None = None):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.values = handle.getValueState("series", VALUE_SCHEMA)
+        self.window = handle.getListState("window", "value double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        stored = self.values.get()
+        if stored is None:
+            series, seen, total, last = SeriesState(), 0, 0.0, None
+        else:
+            seen, total, *last = stored[:4]
+            series = SeriesState.from_row(stored[4:], np.array([v for (v,) in self.window.get()]))
+        waiting = None
+        for pdf in rows:
+            chunk = (pdf["ts"].to_numpy(dtype="datetime64[ns]").astype("int64"), pdf["event_id"].to_numpy("int64"),
+                     pdf["actual"].to_numpy("float64"))
+            waiting = chunk if waiting is None else tuple(np.concatenate(c) for c in zip(waiting, chunk))
+            if len(waiting[0]) > HELD:
+                order = np.lexsort((waiting[1], waiting[0]))
+                ready, waiting = (tuple(c[order[part]] for c in waiting) for part in (slice(HELD // 2), slice(HELD // 2, None)))
+                out, seen, total, last = folded(key[0], ready, series, seen, total, last)
+                yield out
+        if waiting is not None:
+            order = np.lexsort((waiting[1], waiting[0]))
+            out, seen, total, last = folded(key[0], tuple(c[order] for c in waiting), series, seen, total, last)
+            yield out
+        self.values.update((seen, total, *last, *series.to_row()))
+        self.window.put([(float(v),) for v in series.window])
+        if self.idle_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(last[0] // 1_000_000 + self.idle_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.values.clear()
+        self.window.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def folded(sku: str, rows: tuple, series: SeriesState, seen: int, total: float, last: list | None) -> tuple:
+    """Fold sorted rows (times, event ids, actuals) into the series: (verdicts, count, sum and last position after them)."""
+    when, event, actual = rows
+    late = np.zeros(len(when), bool)                      # of equal positions only the first counts
+    late[1:] = (when[1:] == when[:-1]) & (event[1:] == event[:-1])
+    if last is not None:
+        late |= (when < last[0]) | ((when == last[0]) & (event <= last[1]))
+    at = np.flatnonzero(~late)
+    value = actual[at]
+    number = seen + np.arange(len(value))
+    before = total + np.concatenate([[0.0], np.cumsum(value)[:-1]]) if len(value) else value
+    predicted = np.divide(before, number, out=np.zeros(len(value)), where=number > 0)
+    got = series.advance(value - predicted)
+
+    def spread(column: list) -> list:                     # late rows carry no verdict
+        if len(at) == len(when):
+            return column
+        out = [None] * len(when)
+        for i, x in zip(at.tolist(), column):
+            out[i] = x
+        return out
+
+    columns = {"sku": [sku] * len(when), "event_id": event, "ts": when.astype("datetime64[ns]"), "late": late,
+               "n": spread((number + 1).tolist()), "actual": spread(value.tolist()), "predicted": spread(predicted.tolist()),
+               "residual": spread((value - predicted).tolist())}
+    columns |= {c: spread(got[c]) for c in ("drift_detected", "detectors", "severity", "message")}
+    if len(value):
+        seen, total = int(number[-1]) + 1, float(before[-1] + value[-1])
+        last = [int(when[at[-1]]), int(event[at[-1]])]
+    return pd.DataFrame(columns, columns=OUT_COLS), seen, total, last
 
 
 def monitor_stream(stream: DataFrame, watermark_delay: str | None = None, idle_ms: int | None = None) -> DataFrame:
@@ -89,12 +125,11 @@ def monitor_stream(stream: DataFrame, watermark_delay: str | None = None, idle_m
     With both parameters, Spark drops rows later than ``watermark_delay`` and the
     state of a SKU silent for ``idle_ms`` of event time is removed.
     """
-    if watermark_delay is None:
-        return stream.groupBy("sku").applyInPandasWithState(
-            _monitor(None), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
-    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.EventTimeTimeout
-    return (stream.withWatermark("ts", watermark_delay).groupBy("sku").applyInPandasWithState(
-        _monitor(idle_ms), OUT_SCHEMA, STATE_SCHEMA, "append", timeout))
+    if watermark_delay is not None:
+        stream = stream.withWatermark("ts", watermark_delay)
+    timed = watermark_delay is not None and idle_ms is not None
+    return stream.groupBy("sku").transformWithStateInPandas(
+        Monitor(idle_ms if timed else None), OUT_SCHEMA, "append", "EventTime" if timed else "None")
 
 
 def events_as_observations(events: DataFrame) -> DataFrame:
@@ -104,44 +139,101 @@ def events_as_observations(events: DataFrame) -> DataFrame:
                          F.col("value").cast("double").alias("actual"))
 
 
-def write_arrivals(obs: DataFrame, source_dir: str, files: int = 5) -> int:
+def write_arrivals(obs: DataFrame, source_dir: str, order: tuple[str, ...] = ("ts", "event_id"), least: int = 5) -> int:
     """Write observations as the stream's arrival files: one range-partitioned write, a file per
-    stretch of time. Only file names and times pass the driver. Returns the number of files."""
+    stretch of ``order``, at least ``least`` and as many as keep each near ``FILE_ROWS`` rows. Only file names
+    and times pass the driver. Returns the number of files."""
     spark = obs.sparkSession
-    (obs.repartitionByRange(files, "ts", "event_id").sortWithinPartitions("ts", "event_id")
+    files = max(least, math.ceil(obs.count() / FILE_ROWS))
+    (obs.repartitionByRange(files, *order).sortWithinPartitions(*order)
      .write.mode("append").parquet(source_dir))
+    stamp_in_order(spark, source_dir)
+    return files
+
+
+def write_slices(obs: DataFrame, source_dir: str, column: str) -> None:
+    """Write each value of ``column`` as one arrival file, in the column's order (it is left out of the files)."""
+    spark, aside = obs.sparkSession, f"{source_dir}-slices"
+    obs.repartition(F.col(column)).write.partitionBy(column).parquet(aside)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = root(aside).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(root(source_dir))
+    for folder in fs.listStatus(root(aside)):
+        if folder.isDirectory():
+            value = int(folder.getPath().getName().split("=")[1])
+            for file in fs.listStatus(folder.getPath()):
+                fs.rename(file.getPath(), root(f"{source_dir}/slice-{value:09d}.parquet"))
+    stamp_in_order(spark, source_dir)
+
+
+def stamp_in_order(spark: SparkSession, source_dir: str) -> None:
+    """Give the files of a folder rising times in the order of their names: the file source takes them by time."""
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source_dir)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = sorted((f.getPath().getName(), f.getPath()) for f in fs.listStatus(root)
                    if f.getPath().getName().endswith(".parquet"))
-    for i, (_, path) in enumerate(names):       # the file source takes new files by modification time
+    for i, (_, path) in enumerate(names):
         fs.setTimes(path, 1_000_000_000_000 + i * 60_000, -1)
-    return len(names)
 
 
-def run_to_table(spark: SparkSession, source_dir: str, schema, out_dir: str, ckpt_dir: str,
-                 max_files: int | None = None, state_partitions: int | None = None,
-                 watermark_delay: str | None = None, idle_ms: int | None = None) -> DataFrame:
-    """Run the monitor over the files in ``source_dir`` until they are consumed
-    (``availableNow``), writing Parquet to ``out_dir``; return the written table.
+def _child_session(spark: SparkSession, state_partitions: int | None) -> SparkSession:
+    """A session of the same context with the monitor's settings; the caller's are left alone.
 
-    The number of state partitions is fixed when a query first starts; it is set
-    to one per core (``state_partitions``) on a child session, so the caller's
-    shuffle setting is left alone.
+    The number of state partitions is fixed when a query first starts: one per core unless given.
     """
     ss = spark.newSession()
-    ss.conf.set("spark.sql.shuffle.partitions",
-                str(state_partitions or spark.sparkContext.defaultParallelism))
+    ss.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    ss.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    ss.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    ss.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return ss
+
+
+def _verdicts(ss: SparkSession, source_dir: str, schema, max_files: int | None, watermark_delay: str | None,
+              idle_ms: int | None) -> DataFrame:
     r = ss.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    q = (monitor_stream(r.parquet(source_dir), watermark_delay, idle_ms).writeStream.format("parquet")
+    return monitor_stream(r.parquet(source_dir), watermark_delay, idle_ms)
+
+
+def run_to_table(spark: SparkSession, source_dir: str, schema, out_dir: str, ckpt_dir: str,
+                 max_files: int | None = None, state_partitions: int | None = None,
+                 watermark_delay: str | None = None, idle_ms: int | None = None) -> DataFrame:
+    """Run the monitor over the files in ``source_dir`` until they are consumed
+    (``availableNow``), writing Parquet to ``out_dir``; return the written table."""
+    ss = _child_session(spark, state_partitions)
+    q = (_verdicts(ss, source_dir, schema, max_files, watermark_delay, idle_ms).writeStream.format("parquet")
          .option("path", out_dir).option("checkpointLocation", ckpt_dir)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out_dir)
 
 
+def run_to_outputs(spark: SparkSession, source_dir: str, schema, out_dir: str, ckpt_dir: str,
+                   max_files: int | None = None, state_partitions: int | None = None) -> dict[str, DataFrame]:
+    """Verdicts, dated drift events and late-row counts of one stream, written batch by batch.
+
+    Each micro-batch overwrites its own ``batch_id`` folder of the three tables,
+    so a batch that is retried after a failure replaces what it wrote before. Returns the tables by name.
+    """
+    ss = _child_session(spark, state_partitions)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        verdicts = f"{out_dir}/verdicts/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(verdicts)
+        done = batch.sparkSession.read.schema(batch.schema).parquet(verdicts)
+        drift_events(done.where("NOT late"), "event_id", "ts").write.mode("overwrite").parquet(
+            f"{out_dir}/events/batch_id={batch_id}")
+        done.groupBy("sku").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("late").alias("n_late")).write.mode(
+            "overwrite").parquet(f"{out_dir}/late/batch_id={batch_id}")
+
+    q = (_verdicts(ss, source_dir, schema, max_files, None, None).writeStream.foreachBatch(write)
+         .option("checkpointLocation", ckpt_dir).outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return {name: spark.read.parquet(f"{out_dir}/{name}") for name in ("verdicts", "events", "late")}
+
+
 def batch_monitor(obs: DataFrame) -> DataFrame:
     """The same verdicts computed in batch: order by (ts, event_id), running mean
     of earlier actuals as the predictor, then the grouped replay."""
@@ -152,4 +244,4 @@ def batch_monitor(obs: DataFrame) -> DataFrame:
            .withColumn("residual", F.col("actual") - F.col("predicted")))
     return replay(res, keep=("event_id", "ts", "actual", "predicted")).select(
         "sku", "event_id", "ts", F.lit(False).alias("late"), "n", "actual", "predicted", "residual",
-        "drift_detected", "detectors", "severity")
+        "drift_detected", "detectors", "severity", "message")

@@ -122,7 +122,7 @@ def test_chunks_fold_alike():
     values = np.concatenate([rng.normal(0, 1, 150), rng.normal(0, 6, 150), rng.normal(3, 1, 100)])
     whole, state, parts = SeriesState().advance(values), SeriesState(), []
     for part in np.split(values, [1, 5, 29, 30, 31, 200, 201]):
-        state = SeriesState.from_json(state.to_json())
+        state = SeriesState.from_row(state.to_row(), state.window)
         parts.append(state.advance(part))
     assert any(whole["adwin_drift"]) and any(whole["ddm_drift"])
     assert {k: sum((p[k] for p in parts), []) for k in whole} == whole
