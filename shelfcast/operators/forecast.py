@@ -21,29 +21,46 @@ from shelfcast.operators.evaluate import CV_FOLDS, MIN_TRAIN_ROWS, TEST_SHARE
 from shelfcast.operators.gbt import HistGBT
 from shelfcast.operators.orders import tail_rows
 
+# The reason of a skipped series.
+SKIP_NOTE = "%d rows, at least %d needed"
 # Learner hyper-parameters of the reference model.
 GBT_PARAMS = dict(n_estimators=100, max_depth=5, learning_rate=0.1, reg_lambda=1.0, min_child_weight=1.0,
                   max_bin=256, early_stopping_rounds=10)
 
 MODEL_SCHEMA = ("sku string, n_rows long, train_samples long, val_samples long, best_iteration long, "
                 "mae double, rmse double, r2 double, mape double, model binary, "
-                "feature_columns array<string>, importance array<double>, error string")
+                "feature_columns array<string>, importance array<double>, error string, "
+                "version long, status string, trained_at date")
+MODEL_COLS = [c.split()[0] for c in MODEL_SCHEMA.split(", ")]
+#: What a run did with a SKU (``train_models``).
+TRAINED, RELOADED, SKIPPED, FAILED = "trained", "reloaded", "skipped", "failed"
 SCORE_SCHEMA = ("sku string, date date, actual double, predicted double, split string, model_version long, "
                 "error string")
 FOLD_SCHEMA = "sku string, fold long, train_samples long, val_samples long, mae double, rmse double, r2 double, mape double"
 
 
-def partition_for_training(df: DataFrame, key: str = "sku", per_core: int = 2) -> DataFrame:
-    """Hash-partition on ``key`` into a fixed number of partitions (>= cluster cores).
+#: Bytes read that one training partition may stand for.
+PARTITION_BYTES = 64 * 2 ** 20
+
+
+def read_bytes(df: DataFrame) -> int:
+    """The estimated bytes of the tables that ``df`` reads."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def partition_for_training(df: DataFrame, key: str = "sku", per_core: int = 2, partitions: int | None = None) -> DataFrame:
+    """Hash-partition on ``key`` into a fixed number of partitions.
 
     Grouped Python work costs per group, not per byte, so AQE's size-based
     coalescing would pile every series into a few tasks. A user-specified
     partition count is never coalesced; applied before the feature windows,
-    this one exchange serves the windows and the grouped map alike.
+    this one exchange serves the windows and the grouped map alike. The count is at least two a core and
+    grows with the bytes read (``PARTITION_BYTES``), unless given.
     """
     spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-            spark.sparkContext.defaultParallelism * per_core)
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                          spark.sparkContext.defaultParallelism * per_core, -(-read_bytes(df) // PARTITION_BYTES))
     return df.repartition(n, key)
 
 
@@ -56,48 +73,66 @@ def np_metrics(y: np.ndarray, p: np.ndarray) -> tuple[float, float, float, float
             float(np.mean(np.abs(e) / np.maximum(y, 1)) * 100))
 
 
-def _train_fn(feature_cols: list[str], target: str, min_rows: int, test_share: float, params: dict):
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        sku = pdf["sku"].iloc[0]
-        n = len(pdf)
+def _fit(pdf: pd.DataFrame, feature_cols: list[str], target: str, test_share: float, params: dict) -> dict:
+    """Model bytes, samples and hold-out metrics of one series in date order."""
+    n = len(pdf)
+    X = pdf[feature_cols].to_numpy(dtype=float)
+    y = pdf[target].to_numpy(dtype=float)
+    n_val = int(math.ceil(test_share * n))
+    n_tr = n - n_val
+    m = HistGBT(**params).fit(X[:n_tr], y[:n_tr], X[n_tr:], y[n_tr:])
+    p = np.maximum(m.predict(X[n_tr:]), 0)
+    mae, rmse, r2, mape = np_metrics(y[n_tr:], p)
+    return dict(train_samples=n_tr, val_samples=n_val, best_iteration=m.best_iteration, mae=mae, rmse=rmse, r2=r2,
+                mape=mape, model=m.to_bytes(), importance=m.feature_importance().tolist())
+
+
+def _portfolio_fn(feature_cols: list[str], target: str, min_rows: int, test_share: float, params: dict, retrain: bool):
+    def run(key, pdf: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame([], columns=MODEL_COLS)
+        stored = stored[stored["model"].notna()].sort_values("version")
+        last = stored.iloc[-1].to_dict() if len(stored) else None
+        version = int(last["version"]) if last else 0
+        if pdf.empty:                                     # nothing new: the stored model stays
+            return empty if last is None or retrain else pd.DataFrame([last | dict(status=RELOADED)])[MODEL_COLS]
+        pdf = pdf.sort_values("date", kind="stable")
+        n, day = len(pdf), pdf["date"].iloc[-1]
+        row = dict.fromkeys(MODEL_COLS) | dict(sku=key[0], n_rows=n, feature_columns=list(feature_cols), trained_at=day)
         if n < min_rows:
-            return pd.DataFrame([], columns=[c.split()[0] for c in MODEL_SCHEMA.split(", ")])
+            reason = SKIP_NOTE % (n, min_rows)
+            return pd.DataFrame([(last or row) | dict(status=RELOADED if last else SKIPPED, error=reason)])[MODEL_COLS]
+        if last and not retrain and int(last["n_rows"]) == n and pd.Timestamp(last["trained_at"]) == pd.Timestamp(day):
+            try:
+                HistGBT.from_bytes(last["model"])
+                return pd.DataFrame([last | dict(status=RELOADED, error=None)])[MODEL_COLS]
+            except Exception as exc:                      # an unreadable model is trained again and says so
+                row["error"] = f"{type(exc).__name__}: {exc}"
         try:
-            pdf = pdf.sort_values("date", kind="stable")
-            X = pdf[feature_cols].to_numpy(dtype=float)
-            y = pdf[target].to_numpy(dtype=float)
-            n_val = int(math.ceil(test_share * n))
-            n_tr = n - n_val
-            m = HistGBT(**params).fit(X[:n_tr], y[:n_tr], X[n_tr:], y[n_tr:])
-            p = np.maximum(m.predict(X[n_tr:]), 0)
-            mae, rmse, r2, mape = np_metrics(y[n_tr:], p)
-            row = dict(sku=sku, n_rows=n, train_samples=n_tr, val_samples=n_val, best_iteration=m.best_iteration,
-                       mae=mae, rmse=rmse, r2=r2, mape=mape, model=m.to_bytes(), feature_columns=list(feature_cols),
-                       importance=m.feature_importance().tolist(), error=None)
+            row |= _fit(pdf, feature_cols, target, test_share, params) | dict(version=version + 1, status=TRAINED)
         except Exception as exc:  # a failing SKU yields an error row, not an abort (M1)
-            row = dict(sku=sku, n_rows=n, train_samples=None, val_samples=None, best_iteration=None, mae=None,
-                       rmse=None, r2=None, mape=None, model=None, feature_columns=list(feature_cols),
-                       importance=None, error=f"{type(exc).__name__}: {exc}")
-        return pd.DataFrame([row])
-    return fit
+            row |= dict(error=f"{type(exc).__name__}: {exc}", status=FAILED)
+        return pd.DataFrame([row])[MODEL_COLS]
+    return run
 
 
 def train_models(features: DataFrame, feature_cols: list[str], target: str = "units_sold",
                  min_rows: int = MIN_TRAIN_ROWS, test_share: float = TEST_SHARE, params: dict | None = None,
-                 prior: DataFrame | None = None) -> DataFrame:
-    """M1/M2/M4/M6/M7/M8: one model row per SKU with hold-out metrics and a version.
-
-    ``prior`` (a model table with ``version``) makes this a retrain: each SKU's
-    version becomes its previous maximum + 1.
+                 prior: DataFrame | None = None, retrain: bool = True) -> DataFrame:
+    """M1/M2/M4/M6/M7/M8: one row per SKU with its model, hold-out metrics, version and what was done.
+
+    Features are cogrouped with the stored models ``prior`` (none: every SKU
+    starts at version 1). A trained SKU's version is its last one + 1. With ``retrain=False`` a SKU whose
+    series has not changed since its model was stored, or that has no features, keeps that
+    model (``reloaded``); one whose model cannot be read is trained again with the error noted. A series
+    below ``min_rows`` gives a row with the reason (``skipped``, or ``reloaded`` if it has a model);
+    a failing fit gives its error (``failed``). With ``retrain=True`` only SKUs with features come out.
     """
     cols = ["sku", "date", target] + feature_cols
-    fn = _train_fn(feature_cols, target, min_rows, test_share, params or GBT_PARAMS)
-    models = features.select(*cols).groupBy("sku").applyInPandas(fn, MODEL_SCHEMA)
     if prior is None:
-        return models.withColumn("version", F.lit(1).cast("bigint"))
-    last = prior.groupBy("sku").agg(F.max("version").alias("_v"))
-    return (models.join(last, "sku", "left")
-            .withColumn("version", (F.coalesce(F.col("_v"), F.lit(0)) + 1).cast("bigint")).drop("_v"))
+        prior = features.sparkSession.createDataFrame([], MODEL_SCHEMA)
+    fn = _portfolio_fn(feature_cols, target, min_rows, test_share, params or GBT_PARAMS, retrain)
+    return (features.select(*cols).groupBy("sku").cogroup(prior.select(*MODEL_COLS).groupBy("sku"))
+            .applyInPandas(fn, MODEL_SCHEMA))
 
 
 def _score_fn(target: str, test_share: float):
@@ -135,10 +170,13 @@ def score(features: DataFrame, models: DataFrame, target: str = "units_sold",
 
 
 def predict_tail(features: DataFrame, models: DataFrame, horizon: int = 7, target: str = "units_sold") -> DataFrame:
-    """Score the last ``horizon`` observed rows of each SKU, with the model version (Q8)."""
+    """Score the last ``horizon`` observed rows of each SKU, with the model version (Q8).
+
+    A SKU whose model cannot be read has one row with its error and no forecast.
+    """
     t = tail_rows(features, horizon)
     s = score(t, models, target, test_share=1.0)
-    return s.where("error IS NULL").select("sku", "date", F.col("predicted").alias("forecast"), "model_version")
+    return s.select("sku", "date", F.col("predicted").alias("forecast"), "model_version", "error")
 
 
 def feature_importance(models: DataFrame) -> DataFrame:

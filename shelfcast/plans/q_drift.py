@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import drift as dr
 from shelfcast.plans.oracle_base import fin, h, with_adapter
+from shelfcast.plans.q_features import features_df
 from shelfcast.plans.registry import query
-from shelfcast.sources import fixture as fx
 
 RUN = "PARTITION BY sku ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 RES_DEF = f"""
@@ -66,7 +66,8 @@ EVENTS_DRIFT = with_adapter(EVENTS_RES_DEF + DETECT_SQL)
 
 
 def residuals_df(spark, sf_dir):
-    return dr.residual_series(fx.pos(spark, sf_dir))
+    """Residuals over the stored feature table: its buckets serve every window on ``sku``."""
+    return dr.residual_series(features_df(spark, sf_dir, for_training=True))
 
 
 @query("residuals", sql=DRIFT + fin("SELECT sku, date, n, actual, predicted, residual FROM res", ints=["n"],

@@ -7,6 +7,8 @@ from shelfcast.operators import features as fe
 from shelfcast.plans.oracle_base import HOLIDAYS, fin, with_adapter
 from shelfcast.plans.registry import query
 from shelfcast.sources import fixture as fx
+from shelfcast.sources.materialize import bucketed
+from shelfcast.sources.tables import table_path
 
 FEATURE_SQL = """
 feat AS (
@@ -30,17 +32,18 @@ DBL_FEATS = ["rolling_mean_7", "rolling_std_7", "rolling_mean_14", "rolling_std_
 
 
 def features_df(spark, sf_dir, for_training: bool = False):
-    """The materialisable feature table (pos + F1-F10).
+    """The feature table (pos + F1-F10).
 
-    ``for_training`` fixes the sku partitioning first (see
-    ``forecast.partition_for_training``) for the grouped model fits downstream.
+    ``for_training`` gives the stored one: built once per input, bucketed by
+    ``sku`` (S10), shared by training, scoring, tails and drift.
     """
-    pos = fx.pos(spark, sf_dir)
-    if for_training:
-        from shelfcast.operators.forecast import partition_for_training
-        pos = partition_for_training(pos)
     hol = holiday_dimension(fx.calendar_raw(spark, sf_dir))
-    return fe.prepare_features(pos, hol)
+    if not for_training:
+        return fe.prepare_features(fx.pos(spark, sf_dir), hol)
+    from shelfcast.operators.forecast import partition_for_training
+    return bucketed(spark, "features", [table_path(sf_dir, t) for t in fx.SKU_INPUTS],
+                    lambda n: fe.prepare_features(partition_for_training(fx.pos(spark, sf_dir), partitions=n), hol),
+                    "sku", ("sku", "date"))
 
 
 @query("feature_matrix", sql=with_adapter(HOLIDAYS, FEATURE_SQL)

@@ -21,33 +21,36 @@ from shelfcast.plans.q_explore import BASE_SQL
 from shelfcast.plans.registry import query
 from shelfcast.sources import fixture as fx
 from shelfcast.sources import store
-from shelfcast.sources.materialize import materialized
+from shelfcast.sources.materialize import bucketed
 from shelfcast.sources.tables import table_path
 
 METRIC_COLS = ["sku", "n_rows", "train_samples", "val_samples", "best_iteration", "mae", "rmse", "r2", "mape",
-               "error", "version"]
+               "error", "version", "status"]
 
 
 def trained(spark, sf_dir):
-    """The feature table and the stored models of the first training run (S10, S15): fitted once per input."""
+    """The feature table and the stored models of the first training run (S10, S15): fitted once per input.
+
+    Both are bucketed by ``sku`` alike, so scoring cogroups them without an exchange.
+    """
     feats = features_df(spark, sf_dir, for_training=True)
-    models = materialized(spark, "models", [table_path(sf_dir, t) for t in fx.SKU_INPUTS],
-                          lambda: fc.train_models(feats, fe.FEATURE_COLUMNS))
+    models = bucketed(spark, "models", [table_path(sf_dir, t) for t in fx.SKU_INPUTS],
+                      lambda n: fc.train_models(feats, fe.FEATURE_COLUMNS), "sku", ("sku",))
     return feats, models
 
 
 @query("train_metrics")
 def train_metrics(spark, sf_dir):
-    """M1/M4/M6/M7/M8: one row per SKU with >= 50 rows."""
+    """M1/M2/M4/M6/M7/M8: one row per SKU; those with under 50 rows give the reason."""
     _, models = trained(spark, sf_dir)
     return models.select(*METRIC_COLS)
 
 
 @query("train_predict")
 def train_predict(spark, sf_dir):
-    """In-sample and hold-out predictions for every trained SKU."""
+    """In-sample and hold-out predictions for every trained SKU, or why its model could not be read."""
     feats, models = trained(spark, sf_dir)
-    return fc.score(feats, models).where("error IS NULL").select("sku", "date", "actual", "predicted", "split")
+    return fc.score(feats, models).select("sku", "date", "actual", "predicted", "split", "error")
 
 
 @query("predict_tail")
@@ -281,29 +284,33 @@ SELECT s.sku, x.lv.d OR COALESCE(k.in_d, false) AS drift_detected, x.lv.s AS sev
        CASE WHEN x.lv.d AND x.lv.s >= 0.5 THEN 'HIGH' WHEN x.lv.d OR COALESCE(k.in_d, false) THEN 'MEDIUM'
             WHEN x.lv.w THEN 'LOW' ELSE 'NONE' END AS label,
        x.drift_events, s.mean_residual, s.std_residual, s.mae, s.n_obs,
-       COALESCE(k.input_drift, CAST([] AS VARCHAR[])) AS input_drift,
-       k.input_features, k.input_ks, k.input_p, k.input_drifts
+       COALESCE(k.input_drift, CAST([] AS VARCHAR[])) AS input_drift
 FROM (SELECT sku, arg_max({'d': drift_detected, 's': severity, 'det': detectors, 'm': message, 'w': ddm_warning}, n)
              AS lv, count(*) FILTER (WHERE drift_detected) AS drift_events FROM rp2 GROUP BY sku) x
      JOIN (SELECT sku, avg(residual) AS mean_residual, stddev_pop(residual) AS std_residual,
                   avg(abs(residual)) AS mae, count(*) AS n_obs FROM res GROUP BY sku) s ON s.sku = x.sku
-     LEFT JOIN (SELECT sku, list_sort(list(message)) AS input_drift, bool_or(drift_detected) AS in_d,
-                       list(feature ORDER BY feature) AS input_features, list(ks_statistic ORDER BY feature) AS input_ks,
-                       list(p_value ORDER BY feature) AS input_p, list(drift_detected ORDER BY feature) AS input_drifts
+     LEFT JOIN (SELECT sku, list_sort(list(message)) AS input_drift, bool_or(drift_detected) AS in_d
                 FROM ks_out GROUP BY sku) k ON k.sku = x.sku"""
 
 
-#: The input tests as columns: feature, statistic, p and verdict, in the order of the features.
-INPUT_TESTS = (("feature", "input_features"), ("ks_statistic", "input_ks"), ("p_value", "input_p"), ("drift", "input_drifts"))
-
-
 @query("drift_check", sql=REPLAY_SQL + q_drift.KS_SQL + q_drift.KS_P_SQL + fin(
     DRIFT_CHECK_SQL, ints=["drift_events", "n_obs"], dbls=["severity", "mean_residual", "std_residual", "mae"],
-    keep=["sku", "drift_detected", "detectors", "message", "label", "input_drift", "input_features", "input_ks", "input_p", "input_drifts"]))
+    keep=["sku", "drift_detected", "detectors", "message", "label", "input_drift"]))
 def drift_check(spark, sf_dir):
     """D11-D14 with input drift from the KS tests."""
-    checked = rp.drift_check(rp.replay(q_drift.residuals_df(spark, sf_dir)), q_drift.ks_tests(spark, sf_dir))
-    return checked.select("*", *[F.col(f"input_tests.{a}").alias(b) for a, b in INPUT_TESTS]).drop("input_tests")
+    return checked_inputs(spark, sf_dir).drop("input_tests")
+
+
+def checked_inputs(spark, sf_dir):
+    return rp.drift_check(rp.replay(q_drift.residuals_df(spark, sf_dir)), q_drift.ks_tests(spark, sf_dir))
+
+
+@query("drift_check_inputs", sql=REPLAY_SQL + q_drift.KS_SQL + q_drift.KS_P_SQL + fin(
+    "SELECT sku, feature, ks_statistic, p_value, drift_detected AS drift FROM ks_out", dbls=["ks_statistic", "p_value"],
+    keep=["sku", "feature", "drift"]))
+def drift_check_inputs(spark, sf_dir):
+    """The structured input tests that each SKU's verdict carries, one row a feature."""
+    return checked_inputs(spark, sf_dir).select("sku", F.explode("input_tests").alias("t")).select("sku", "t.*")
 
 
 # The verdict at the last observation, without input tests (Q4).
@@ -357,23 +364,36 @@ def monitor_counts(spark, sf_dir):
     return dr.drift_counts(rp.last_verdicts(q_drift.residuals_df(spark, sf_dir)))
 
 
-@query("incremental_retrain")
-def incremental_retrain(spark, sf_dir):
-    """Models trained on the history before 2000 (version 1) are retrained on the
-    union of that history and newer observations (existing rows win, J11): version 2."""
+ARRIVAL_DAYS, ARRIVAL_SHIFT = 28, 14
+ARRIVALS_SQL = f"""
+newer AS (SELECT sku, date + {ARRIVAL_SHIFT} AS date FROM pos WHERE date > (SELECT max(date) FROM pos) - {ARRIVAL_DAYS}),
+extended AS (SELECT sku, count(DISTINCT date) AS n_rows FROM (SELECT sku, date FROM pos UNION ALL SELECT * FROM newer)
+             GROUP BY sku)
+"""
+
+
+def newly_arrived(pos):
+    """New observations: the last weeks of the table, repeated two weeks later with one unit more."""
+    last = pos.agg(F.max("date")).first()[0]
+    return (pos.where(F.col("date") > F.date_sub(F.lit(last), ARRIVAL_DAYS))
+            .withColumn("date", F.date_add("date", ARRIVAL_SHIFT)).withColumn("units_sold", F.col("units_sold") + 1))
+
+
+def retrained(spark, sf_dir):
+    """The stored models (version 1) meet the history merged with newer observations (existing rows win, J11)."""
     from shelfcast.functions.dates import holiday_dimension
     from shelfcast.operators import reshape as rs
-    from shelfcast.sources import fixture as fx
     pos = fx.pos(spark, sf_dir)
-    hol = holiday_dimension(fx.calendar_raw(spark, sf_dir))
-    existing = pos.where(F.col("date") < F.lit("2000-01-01").cast("date"))
-    new = (pos.where(F.col("date") >= F.lit("1999-07-01").cast("date"))
-           .withColumn("units_sold", F.col("units_sold") + 1))
-    merged = rs.incremental_merge(existing, new).drop("_src")
-    old_feats = fe.prepare_features(fc.partition_for_training(existing), hol)
-    v1 = fc.train_models(old_feats, fe.FEATURE_COLUMNS)
-    new_feats = fe.prepare_features(fc.partition_for_training(merged), hol)
-    return fc.train_models(new_feats, fe.FEATURE_COLUMNS, prior=v1).select(*METRIC_COLS)
+    _, models = trained(spark, sf_dir)
+    merged = rs.incremental_merge(pos, newly_arrived(pos)).drop("_src")
+    feats = fe.prepare_features(fc.partition_for_training(merged), holiday_dimension(fx.calendar_raw(spark, sf_dir)))
+    return fc.train_models(feats, fe.FEATURE_COLUMNS, prior=models, retrain=False)
+
+
+@query("incremental_retrain")
+def incremental_retrain(spark, sf_dir):
+    """SKUs with new observations are trained again (version 2), the others keep their stored model."""
+    return retrained(spark, sf_dir).select(*METRIC_COLS)
 
 
 # ------------------------------------------------------- learner rows that SQL can state
@@ -387,7 +407,9 @@ last7 AS (SELECT sku, date FROM (SELECT sku, date, row_number() OVER (PARTITION
 
 @query("train_audit", sql=with_adapter(TRAINED_SQL) + fin("""
 SELECT sku, n_rows, n_rows - val_samples AS train_samples, val_samples, 1 AS version,
-       CAST(NULL AS VARCHAR) AS error, true AS sound FROM trained""",
+       CAST(NULL AS VARCHAR) AS error, true AS sound FROM trained
+UNION ALL SELECT sku, count(*), NULL, NULL, NULL, printf('%d rows, at least %d needed', count(*), 50), NULL
+FROM pos GROUP BY sku HAVING count(*) < 50""",
     ints=["n_rows", "train_samples", "val_samples", "version"], keep=["sku", "error", "sound"]))
 def train_audit(spark, sf_dir):
     """Each model's samples and version, and whether its metrics and importances are sound."""
@@ -398,6 +420,90 @@ def train_audit(spark, sf_dir):
     return models.select("sku", "n_rows", "train_samples", "val_samples", "version", "error", sound.alias("sound"))
 
 
+@query("retrain_audit", sql=with_adapter(TRAINED_SQL, ARRIVALS_SQL) + fin("""
+SELECT e.sku, e.n_rows, CASE WHEN e.n_rows > t.n_rows THEN 2 ELSE 1 END AS version,
+       CASE WHEN e.n_rows > t.n_rows THEN 'trained' ELSE 'reloaded' END AS status
+FROM extended e JOIN trained t ON t.sku = e.sku""", ints=["n_rows", "version"], keep=["sku", "status"]))
+def retrain_audit(spark, sf_dir):
+    """Rows, version and status of the models after new observations."""
+    done = retrained(spark, sf_dir).where(F.col("version").isNotNull())
+    return done.select("sku", "n_rows", "version", "status")
+
+
+EARLY, LATER, SILENT = "1995-08-01", "1996-01-01", "EUROPE"
+EARLY_SQL = f"""
+grown AS (SELECT sku, count(*) FILTER (WHERE date < DATE '{EARLY}') AS n1,
+                 count(*) FILTER (WHERE date < DATE '{EARLY}' OR (date < DATE '{LATER}' AND store_id <> '{SILENT}')) AS n2
+          FROM pos GROUP BY sku),
+portfolio AS (
+  SELECT 1 AS run, sku, n1 AS n_rows, CASE WHEN n1 >= 50 THEN 1 END AS version,
+         CASE WHEN n1 >= 50 THEN 'trained' ELSE 'skipped' END AS status FROM grown WHERE n1 > 0
+  UNION ALL
+  SELECT 2, sku, n2, CASE WHEN n1 >= 50 AND n2 > n1 THEN 2 WHEN n2 >= 50 THEN 1 END,
+         CASE WHEN n2 < 50 THEN 'skipped' WHEN n1 >= 50 AND n2 = n1 THEN 'reloaded' ELSE 'trained' END
+  FROM grown WHERE n2 > 0)
+"""
+
+
+@query("portfolio_audit", sql=with_adapter(EARLY_SQL) + fin("""
+SELECT *, CASE WHEN status = 'skipped' THEN printf('%d rows, at least %d needed', n_rows, 50) END AS error FROM portfolio""",
+    ints=["run", "n_rows", "version"], keep=["sku", "status", "error"]))
+def portfolio_audit(spark, sf_dir):
+    """M2: a portfolio trained on a short history, then again when all stores but one have more:
+    series too short are reported, unchanged ones keep their stored model, the others continue their version."""
+    from shelfcast.functions.dates import holiday_dimension
+    pos = fx.pos(spark, sf_dir)
+    hol = holiday_dimension(fx.calendar_raw(spark, sf_dir))
+    early = F.col("date") < F.lit(EARLY).cast("date")
+    later = (F.col("date") < F.lit(LATER).cast("date")) & (F.col("store_id") != SILENT)
+
+    def run(seen, stored):
+        feats = fe.prepare_features(fc.partition_for_training(seen), hol)
+        return fc.train_models(feats, fe.FEATURE_COLUMNS, prior=stored, retrain=False)
+
+    first = run(pos.where(early), None).checkpoint(eager=True)
+    second = run(pos.where(early | later), first)
+    return (first.withColumn("run", F.lit(1).cast("bigint")).unionByName(second.withColumn("run", F.lit(2).cast("bigint")))
+            .select("run", "sku", "n_rows", "version", "status", "error"))
+
+
+@query("one_sku_history", sql=with_adapter(HIST_SQL) + fin(
+    "SELECT version, mae, rmse, r2, mape, training_samples, trained_at FROM runs WHERE sku = (SELECT min(sku) FROM runs)",
+    ints=["version", "training_samples"], dbls=["mae", "rmse", "r2", "mape"], keep=["trained_at"]))
+def one_sku_history(spark, sf_dir):
+    """The history of one SKU (here the first in order)."""
+    runs = history_runs(spark, sf_dir)
+    sku = runs.agg(F.min("sku")).first()[0]
+    return hi.sku_history(runs, sku).select("version", "mae", "rmse", "r2", "mape", "training_samples", "trained_at")
+
+
+@query("model_dashboard", sql=with_adapter(TRAINED_SQL) + """
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM trained) AS models_trained, CAST(0 AS BIGINT) AS models_failed,
+       0.0::DOUBLE AS mae_gap, 0.0::DOUBLE AS rmse_gap, 0.0::DOUBLE AS r2_gap, 0.0::DOUBLE AS mape_gap""")
+def model_dashboard(spark, sf_dir):
+    """A10: the averages of the model table against those of its hold-out predictions (``model_averages`` has the numbers)."""
+    feats, models = trained(spark, sf_dir)
+    from shelfcast.functions.metrics import metric_aggs
+    from shelfcast.functions.scalars import combine_scalars
+    each = fc.score(feats, models).where("split = 'val'").groupBy("sku").agg(*metric_aggs())
+    again = each.agg(*[F.avg(m).alias(f"_{m}") for m in ("mae", "rmse", "r2", "mape")])
+    both = combine_scalars(model_averages_of(models), again)
+    gaps = [F.round(F.abs(F.col(f"avg_{m}") - F.col(f"_{m}")), 4).alias(f"{m}_gap") for m in ("mae", "rmse", "r2", "mape")]
+    return both.select("models_trained", "models_failed", *gaps)
+
+
+def model_averages_of(models):
+    return models.agg(F.count_if(F.col("model").isNotNull()).alias("models_trained"),
+                      F.count_if(F.col("status") == fc.FAILED).alias("models_failed"),
+                      *[F.avg(m).alias(f"avg_{m}") for m in ("mae", "rmse", "r2", "mape")])
+
+
+@query("model_averages")
+def model_averages(spark, sf_dir):
+    """A10: number of models and the averages of their hold-out metrics, from the model table."""
+    return model_averages_of(trained(spark, sf_dir)[1])
+
+
 @query("score_audit", sql=with_adapter(TRAINED_SQL) + fin("SELECT sku, val_samples, 0.0 AS mae_gap, true AS floored FROM trained",
                                                           ints=["val_samples"], dbls=["mae_gap"], keep=["sku", "floored"]))
 def score_audit(spark, sf_dir):
@@ -411,12 +517,13 @@ def score_audit(spark, sf_dir):
 
 
 @query("predict_audit", sql=with_adapter(TRAINED_SQL) + fin("""
-SELECT l.sku, l.date, 1 AS model_version, true AS floored FROM last7 l JOIN trained t ON t.sku = l.sku""",
-    ints=["model_version"], keep=["sku", "date", "floored"]))
+SELECT l.sku, l.date, 1 AS model_version, true AS floored, CAST(NULL AS VARCHAR) AS error
+FROM last7 l JOIN trained t ON t.sku = l.sku""",
+    ints=["model_version"], keep=["sku", "date", "floored", "error"]))
 def predict_audit(spark, sf_dir):
     """Dates and model version of the tail forecast."""
     return fc.predict_tail(*trained(spark, sf_dir), 7).select(
-        "sku", "date", "model_version", (F.col("forecast") >= 0).alias("floored"))
+        "sku", "date", "model_version", (F.col("forecast") >= 0).alias("floored"), "error")
 
 
 @query("forecast_one_sku", sql=with_adapter(TRAINED_SQL) + fin("""

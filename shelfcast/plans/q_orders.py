@@ -311,22 +311,22 @@ def _summary_sql(select: str) -> str:
 
 @query("run_summary", sql=_summary_sql(fin("""
 SELECT (SELECT count(*) FROM pos) AS n_records, (SELECT count(DISTINCT sku) FROM pos) AS n_skus,
-       (SELECT count(*) FROM bm) AS models_trained, (SELECT count(*) FILTER (WHERE drift) FROM ds) AS drift_skus,
+       (SELECT count(*) FROM (SELECT sku FROM pos GROUP BY sku HAVING count(*) >= 50)) AS models_trained, (SELECT count(*) FILTER (WHERE drift) FROM ds) AS drift_skus,
        (SELECT sum(forecast_qty) FROM ar) AS total_forecast, (SELECT sum(final_qty) FROM ar) AS total_order,
        (SELECT CASE WHEN sum(forecast_qty) > 0 THEN (sum(forecast_qty) - sum(final_qty)) / sum(forecast_qty) * 100
                ELSE 0.0 END FROM ar) AS order_reduction_pct""",
     ints=["n_records", "n_skus", "models_trained", "drift_skus", "total_forecast", "total_order"],
     dbls=["order_reduction_pct"])))
 def run_summary(spark, sf_dir):
-    """Records, SKUs, models trained (baseline), drifted SKUs, order totals and reduction."""
+    """Records, SKUs, models in the model table, drifted SKUs, order totals and reduction."""
     from shelfcast.functions.scalars import combine_scalars
     from shelfcast.operators import drift as dr
     from shelfcast.operators import drift_replay as rp
     from shelfcast.operators import explore as ex
     from shelfcast.plans.q_drift import residuals_df
-    from shelfcast.plans.q_explore import baseline_metrics_df
+    from shelfcast.plans.q_forecast import model_averages_of, trained
     ov = ex.overview(fx.pos(spark, sf_dir)).select("n_records", "n_skus")
-    tr = baseline_metrics_df(spark, sf_dir).agg(F.count(F.lit(1)).alias("models_trained"))
+    tr = model_averages_of(trained(spark, sf_dir)[1]).select("models_trained")
     dc = dr.drift_counts(rp.last_verdicts(residuals_df(spark, sf_dir))).select("drift_skus")
     os_ = od.order_summary(applied_orders(spark, sf_dir)).select(
         "total_forecast", "total_order", F.col("reduction_pct").alias("order_reduction_pct"))
@@ -334,22 +334,22 @@ def run_summary(spark, sf_dir):
 
 
 @query("metrics_dashboard", sql=_summary_sql(fin("""
-SELECT (SELECT avg(mae) FROM bm) AS avg_mae, (SELECT avg(rmse) FROM bm) AS avg_rmse,
-       (SELECT avg(r2) FROM bm) AS avg_r2, (SELECT avg(mean_residual) FROM ds) AS avg_mean_residual,
+SELECT (SELECT avg(mae) FROM bm) AS baseline_mae, (SELECT avg(rmse) FROM bm) AS baseline_rmse,
+       (SELECT avg(r2) FROM bm) AS baseline_r2, (SELECT avg(mean_residual) FROM ds) AS avg_mean_residual,
        (SELECT avg(std_residual) FROM ds) AS avg_std_residual,
        (SELECT count(*) FILTER (WHERE explanation LIKE '%Capped%') FROM ar) AS capped_skus,
        (SELECT avg(final_qty) FROM ar) AS avg_order_qty""",
-    ints=["capped_skus"], dbls=["avg_mae", "avg_rmse", "avg_r2", "avg_mean_residual", "avg_std_residual",
+    ints=["capped_skus"], dbls=["baseline_mae", "baseline_rmse", "baseline_r2", "avg_mean_residual", "avg_std_residual",
                                 "avg_order_qty"])))
 def metrics_dashboard(spark, sf_dir):
-    """A10: averages of model, residual and order statistics (one row)."""
+    """A10: averages of the rolling-mean baseline, residuals and orders (one row); ``model_averages`` has those of the models."""
     from shelfcast.functions.scalars import combine_scalars
     from shelfcast.operators import drift as dr
     from shelfcast.operators import drift_replay as rp
     from shelfcast.plans.q_drift import residuals_df
     from shelfcast.plans.q_explore import baseline_metrics_df
-    m = baseline_metrics_df(spark, sf_dir).agg(F.avg("mae").alias("avg_mae"), F.avg("rmse").alias("avg_rmse"),
-                                               F.avg("r2").alias("avg_r2"))
+    m = baseline_metrics_df(spark, sf_dir).agg(F.avg("mae").alias("baseline_mae"), F.avg("rmse").alias("baseline_rmse"),
+                                               F.avg("r2").alias("baseline_r2"))
     d = dr.drift_counts(rp.last_verdicts(residuals_df(spark, sf_dir))).select("avg_mean_residual",
                                                                               "avg_std_residual")
     o = applied_orders(spark, sf_dir).agg(F.count_if(F.col("explanation").contains("Capped")).alias("capped_skus"),

@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,7 +33,8 @@ def _code_version() -> bytes:
     pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     h = hashlib.md5()
     for name in ("sources/fixture.py", "sources/materialize.py", "sources/tables.py", "functions/dates.py",
-                 "functions/hashing.py", "operators/features.py", "operators/forecast.py", "operators/gbt.py"):
+                 "functions/hashing.py", "operators/features.py", "operators/forecast.py", "operators/gbt.py",
+                 "operators/clean.py", "operators/reshape.py"):
         with open(os.path.join(pkg, name), "rb") as f:
             h.update(f.read())
     return h.digest()
@@ -50,6 +52,13 @@ def input_key(spark: SparkSession, paths: list[str]) -> str:
     return h.hexdigest()[:16]
 
 
+def _publish(spark: SparkSession, tmp: str, path: str) -> None:
+    """Give a completely written folder its name, unless another builder was first."""
+    (tp, fs), (p, _) = _fs(spark, tmp), _fs(spark, path)
+    if not fs.exists(p):
+        fs.rename(tp, p)
+
+
 def materialized(spark: SparkSession, name: str, inputs: list[str], build, partition_by=()) -> DataFrame:
     """Read ``name`` for these inputs if it was written before, else build and write it."""
     ns = spark.conf.get(NAMESPACE_CONF, "default")
@@ -63,7 +72,47 @@ def materialized(spark: SparkSession, name: str, inputs: list[str], build, parti
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(tmp)
-        tp, _ = _fs(spark, tmp)
-        if not fs.exists(p):
-            fs.rename(tp, p)
+        _publish(spark, tmp, path)
     return spark.read.parquet(path)
+
+
+#: Input bytes that one bucket may stand for.
+BUCKET_BYTES = 64 * 2 ** 20
+
+
+def bucket_count(spark: SparkSession, inputs: list[str], per_core: int = 2) -> int:
+    """Buckets of a table derived from these inputs: two a core, and enough that none grows with the data."""
+    size = 0
+    for path in inputs:
+        p, fs = _fs(spark, path)
+        size += fs.getContentSummary(p).getLength()
+    return max(spark.sparkContext.defaultParallelism * per_core, -(-size // BUCKET_BYTES))
+
+
+def bucketed(spark: SparkSession, name: str, inputs: list[str], build: Callable[[int], DataFrame], key: str,
+             order: tuple[str, ...]) -> DataFrame:
+    """``materialized``, as a table bucketed by ``key`` and sorted by ``order``.
+
+    ``build`` gets the number of buckets and returns a frame that is hash
+    partitioned on ``key`` into as many, so every bucket is one file and the write shuffles nothing. Windows,
+    groupings and cogroups on ``key`` over this table need no exchange. The bucket
+    layout lives in the session's catalog; a session that finds the files declares the table again.
+    """
+    buckets = bucket_count(spark, inputs)
+    ns = spark.conf.get(NAMESPACE_CONF, "default")
+    digest = input_key(spark, inputs)
+    path = scratch_path(spark, os.path.join("derived", ns, digest, f"{name}-{buckets}"))
+    table = f"{name}_{hashlib.md5(path.encode()).hexdigest()[:16]}"
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        aside = f"{table}_{uuid.uuid4().hex[:8]}"
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+        (build(buckets).write.format("parquet").bucketBy(buckets, key).sortBy(*order)
+         .option("path", tmp).saveAsTable(aside))
+        _publish(spark, tmp, path)
+        spark.sql(f"DROP TABLE {aside}")
+    if not spark.catalog.tableExists(table):
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({fields}) USING parquet CLUSTERED BY ({key}) "
+                  f"SORTED BY ({', '.join(order)}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(table)

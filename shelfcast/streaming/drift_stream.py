@@ -1,10 +1,10 @@
 """Structured Streaming drift monitor.
 
 Stream of (sku, ts, event_id, actual) -> per-observation verdicts, keyed state
-per SKU with ``transformWithStateInPandas``. The state is typed: a value state
-holds the counters of ``SeriesState`` with the running count and sum of actuals (the
-predictor is the running mean of earlier values) and the last (ts, event_id) seen; a
-list state holds the ADWIN window. A key's rows are folded chunk by chunk: at most
+per SKU with ``transformWithStateInPandas``. The state is typed: one value state
+holds the running count and sum of actuals (the predictor is the running mean of earlier
+values), the last (ts, event_id) seen, the ADWIN window (at most 201 values, so an array costs one read
+and one write a batch where a list state would cost one call an element) and the counters of ``SeriesState``. A key's rows are folded chunk by chunk: at most
 ``HELD`` of them wait, sorted, so that chunks which overlap in time come out in
 order. Rows at or before the last folded position are late: they are
 emitted with ``late = true`` and do not touch the detectors (T2). Nothing expires and
@@ -29,8 +29,8 @@ from shelfcast.operators.drift_replay import STATE_SCHEMA, SeriesState, drift_ev
 OUT_SCHEMA = ("sku string, event_id long, ts timestamp, late boolean, n long, actual double, predicted double, "
               "residual double, drift_detected boolean, detectors array<string>, severity double, message string")
 OUT_COLS = [c.split()[0] for c in OUT_SCHEMA.split(", ")]
-#: Running count and sum of actuals and the last position, then the detectors' counters.
-VALUE_SCHEMA = f"seen bigint, sum double, last_ts bigint, last_event bigint, {STATE_SCHEMA}"
+#: Running count and sum of actuals, the last position and the ADWIN window, then the detectors' counters.
+VALUE_SCHEMA = f"seen bigint, sum double, last_ts bigint, last_event bigint, window array<double>, {STATE_SCHEMA}"
 #: Rows of a key that wait for their order; half of them are folded when there are more.
 HELD = 100_000
 #: Rows of one arrival file, which one task reads whole.
@@ -47,15 +47,14 @@ class Monitor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.values = handle.getValueState("series", VALUE_SCHEMA)
-        self.window = handle.getListState("window", "value double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         stored = self.values.get()
         if stored is None:
             series, seen, total, last = SeriesState(), 0, 0.0, None
         else:
-            seen, total, *last = stored[:4]
-            series = SeriesState.from_row(stored[4:], np.array([v for (v,) in self.window.get()]))
+            seen, total, *last, window = stored[:5]
+            series = SeriesState.from_row(stored[5:], window)
         waiting = None
         for pdf in rows:
             chunk = (pdf["ts"].to_numpy(dtype="datetime64[ns]").astype("int64"), pdf["event_id"].to_numpy("int64"),
@@ -70,8 +69,7 @@ class Monitor(StatefulProcessor):
             order = np.lexsort((waiting[1], waiting[0]))
             out, seen, total, last = folded(key[0], tuple(c[order] for c in waiting), series, seen, total, last)
             yield out
-        self.values.update((seen, total, *last, *series.to_row()))
-        self.window.put([(float(v),) for v in series.window])
+        self.values.update((seen, total, *last, series.window.tolist(), *series.to_row()))
         if self.idle_ms is not None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
@@ -79,7 +77,6 @@ class Monitor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.values.clear()
-        self.window.clear()
         return iter(())
 
     def close(self) -> None:
