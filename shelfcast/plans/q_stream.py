@@ -99,15 +99,18 @@ def stream_events(spark, sf_dir):
 
 @query("stream_pos_history", sql=ORACLE["incremental_merge"])
 def stream_pos_history(spark, sf_dir):
-    """history = POS before 2000; arrivals = POS from mid-1999 on (units + 1), streamed
-    from files and merged batch by batch so that existing rows win. Same result as the
+    """history = POS before 2000; arrivals = POS from mid-1999 on (units + 1), a file a half-year, with the
+    rows of 2000 again in later files (units + 2), merged batch by batch so that existing rows win. Same result as the
     batch ``incremental_merge`` (J11), hence the same oracle."""
     pos = fx.pos(spark, sf_dir).select("sku", "date", "units_sold")
     history = pos.where(F.col("date") < F.lit("2000-01-01").cast("date")).withColumn("src", F.lit(0))
-    arrivals = (pos.where(F.col("date") >= F.lit("1999-07-01").cast("date"))
-                .select("sku", "date", (F.col("units_sold") + 1).alias("units_sold"), F.lit(1).alias("src"),
-                        F.lit(0).alias("src_order")))
+    half = (F.year("date") - 1999) * 2 + F.when(F.month("date") > 6, 1).otherwise(0)
+    late = pos.where(F.col("date") >= F.lit("1999-07-01").cast("date"))
+    again = late.where(F.year("date") == 2000)
+    arrivals = (late.select("sku", "date", (F.col("units_sold") + 1).alias("units_sold"), half.alias("wave"))
+                .unionByName(again.select("sku", "date", (F.col("units_sold") + 2).alias("units_sold"), (half + 4).alias("wave")))
+                .withColumn("src", F.lit(1)).withColumn("src_order", F.col("wave")))
     src = store.unique_path(spark, "pos_arrivals")
-    arrivals.write.mode("overwrite").parquet(src)
-    return ps.stream_into_history(spark, history, src, arrivals.schema, store.unique_path(spark, "pos_history"),
-                                  store.unique_path(spark, "pos_history_ckpt"))
+    ds.write_slices(arrivals, src, "wave")
+    return ps.stream_into_history(spark, history, src, arrivals.drop("wave").schema, store.unique_path(spark, "pos_history"),
+                                  store.unique_path(spark, "pos_history_ckpt"), max_files=1, slices=16)
