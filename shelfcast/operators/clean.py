@@ -8,7 +8,7 @@ order column, since files have no row order in Spark (Q5).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.prefix import global_running_sum
@@ -83,23 +83,42 @@ def melt_sales(wide: DataFrame, value: str = "units_sold") -> DataFrame:
     return long.select(*ids, F.element_at(names, F.col("_day") + 1).alias("d"), value)
 
 
-def clean_sales(wide: DataFrame, dedup_keys: tuple[str, ...] = ("item_id",),
-                order_col: str = "store_id") -> DataFrame:
-    """C10-C13 on the long form; returns (ids..., d, units_sold).
+def day_cells(wide: DataFrame) -> Column:
+    """The day columns as one array, in their order."""
+    return F.expr("array(" + ", ".join(f"`{c}`" for c in split_columns(wide)[1]) + ")")
+
+
+def clean_sales_wide(wide: DataFrame, dedup_keys: tuple[str, ...] = ("item_id",),
+                     order_col: str = "store_id") -> DataFrame:
+    """C10-C13 on the wide rows, in one scan; returns (ids..., units: one value a day column).
 
     Negative cells -> 0, NULL cells -> 0, items with zero total dropped, then one
-    row per ``dedup_keys`` kept, the first by ``order_col`` (the reference keys on
-    ``item_id`` alone; pass ``("item_id", "store_id")`` to keep every store).
+    item kept per ``dedup_keys``, the first by ``order_col`` (the reference keys on
+    ``item_id`` alone; pass ``("item_id", "store_id")`` to keep every store). Rows that repeat all id
+    columns are one item and stay together.
     """
     ids, _ = split_columns(wide)
-    lg = melt_sales(wide)
-    u = F.col("units_sold")
-    lg = lg.withColumn("units_sold", F.coalesce(F.when(u < 0, F.lit(0)).otherwise(u), F.lit(0)).cast("bigint"))
-    items = lg.groupBy(*ids).agg(F.sum("units_sold").alias("_total")).where(F.col("_total") > 0)
     keys = [k for k in dedup_keys if k in ids] or ids[:1]
+    cell = lambda x: F.greatest(F.coalesce(x, F.lit(0)), F.lit(0)).cast("bigint")
+    rows = wide.select(*ids, F.transform(day_cells(wide), cell).alias("units")).repartition(*keys)
+    own = F.aggregate("units", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    sold = (rows.withColumn("_total", F.sum(own).over(Window.partitionBy(*ids))).where(F.col("_total") > 0))
     w = Window.partitionBy(*keys).orderBy(*[F.col(order_col)] + [F.col(c) for c in ids if c != order_col])
-    kept = items.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(*ids)
-    return lg.join(kept, ids, "left_semi")
+    return sold.withColumn("_rank", F.dense_rank().over(w)).where(F.col("_rank") == 1).select(*ids, "units")
+
+
+def melt_units(cleaned: DataFrame, days: list[str]) -> DataFrame:
+    """J1 for cleaned wide rows: (ids..., d, units_sold)."""
+    ids = [c for c in cleaned.columns if c != "units"]
+    names = F.expr("array(" + ", ".join(f"'{c}'" for c in days) + ")")
+    long = cleaned.select(*ids, F.posexplode("units").alias("_day", "units_sold"))
+    return long.select(*ids, F.element_at(names, F.col("_day") + 1).alias("d"), "units_sold")
+
+
+def clean_sales(wide: DataFrame, dedup_keys: tuple[str, ...] = ("item_id",),
+                order_col: str = "store_id") -> DataFrame:
+    """C10-C13 in the long form; returns (ids..., d, units_sold)."""
+    return melt_units(clean_sales_wide(wide, dedup_keys, order_col), split_columns(wide)[1])
 
 
 def _audit_rows(g: DataFrame, table: str, names: list[str]) -> DataFrame:
@@ -124,12 +143,14 @@ def calendar_audit(raw: DataFrame) -> DataFrame:
 
 
 def sales_audit(wide: DataFrame, dedup_keys: tuple[str, ...] = ("item_id",)) -> DataFrame:
-    """C10-C13 counts in one pass over the long form."""
+    """C10-C13 counts in one pass over the wide rows."""
     ids, _ = split_columns(wide)
-    lg = melt_sales(wide)
-    u = F.col("units_sold")
-    per_item = lg.groupBy(*ids).agg(F.count_if(u < 0).alias("neg"), F.count_if(u.isNull()).alias("nul"),
-                                    F.sum(F.when(u > 0, u).otherwise(0)).alias("tot"))
+    cells = wide.select(*ids, day_cells(wide).alias("cells"))
+    number = lambda test: F.size(F.filter("cells", test)).cast("bigint")
+    per_item = cells.groupBy(*ids).agg(
+        F.sum(number(lambda x: x < 0)).alias("neg"), F.sum(number(lambda x: x.isNull())).alias("nul"),
+        F.sum(F.aggregate("cells", F.lit(0).cast("bigint"),
+                          lambda a, x: a + F.greatest(F.coalesce(x, F.lit(0)), F.lit(0)).cast("bigint"))).alias("tot"))
     keys = [k for k in dedup_keys if k in ids] or ids[:1]
     kept_keys = F.count_distinct(*[F.when(F.col("tot") > 0, F.col(k)) for k in keys])
     g = per_item.agg(F.count(F.lit(1)).alias("rows_before"), F.sum("neg").alias("negatives_fixed"),
@@ -162,7 +183,7 @@ def prices_audit(prices: DataFrame, valid_items: DataFrame | None = None, order_
 
 def sales_value_counts(clean_long: DataFrame, col: str) -> DataFrame:
     """C14: cleaned items per category (or department)."""
-    ids = [c for c in clean_long.columns if c not in ("d", "units_sold")]
+    ids = [c for c in clean_long.columns if c not in ("d", "units_sold", "units")]
     return clean_long.select(*ids).distinct().groupBy(col).agg(F.count(F.lit(1)).alias("n_items"))
 
 

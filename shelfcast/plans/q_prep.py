@@ -11,6 +11,8 @@ from shelfcast.operators import reshape as rs
 from shelfcast.plans.oracle_base import fin, with_adapter
 from shelfcast.plans.registry import query
 from shelfcast.sources import fixture as fx
+from shelfcast.sources.materialize import materialized
+from shelfcast.sources.tables import table_path
 
 CAL_CLEAN_SQL = """
 cal_parsed AS (
@@ -56,18 +58,34 @@ CAL_INTS = ["wm_yr_wk", "snap_A", "snap_B", "has_event", "any_snap", "promo_flag
 CAL_KEEP = ["date", "d", "event_name_1", "event_type_1", "event_name_2", "event_type_2"]
 
 
+def _raw_inputs(sf_dir):
+    return [table_path(sf_dir, t) for t in fx.SKU_INPUTS]
+
+
 def cleaned_calendar(spark, sf_dir):
-    return cl.clean_calendar(fx.calendar_dirty(spark, sf_dir))
+    """The cleaned calendar, written once per input."""
+    return materialized(spark, "cleaned_calendar", _raw_inputs(sf_dir),
+                        lambda: cl.clean_calendar(fx.calendar_dirty(spark, sf_dir)))
 
 
-def cleaned_sales(spark, sf_dir, store_aware=False):
+def cleaned_sales_wide(spark, sf_dir, store_aware=False):
+    """The cleaned sales in wide form, written once per input (S9): one scan of the raw table."""
     keys = ("item_id", "store_id") if store_aware else ("item_id",)
-    return cl.clean_sales(fx.sales_wide_dirty(spark, sf_dir), dedup_keys=keys)
+    return materialized(spark, "cleaned_sales_" + "_".join(keys), _raw_inputs(sf_dir),
+                        lambda: cl.clean_sales_wide(fx.sales_wide_dirty(spark, sf_dir), dedup_keys=keys))
+
+
+def cleaned_sales(spark, sf_dir, store_aware=False):
+    days = cl.split_columns(fx.sales_wide_dirty(spark, sf_dir))[1]
+    return cl.melt_units(cleaned_sales_wide(spark, sf_dir, store_aware), days)
 
 
 def cleaned_prices(spark, sf_dir, store_aware=False):
-    items = cleaned_sales(spark, sf_dir, store_aware).select("item_id")
-    return cl.clean_prices(fx.prices_dirty(spark, sf_dir), items)
+    """The cleaned prices of the items kept by the sales cleaner, written once per input."""
+    def build():
+        items = cleaned_sales_wide(spark, sf_dir, store_aware).select("item_id")
+        return cl.clean_prices(fx.prices_dirty(spark, sf_dir), items)
+    return materialized(spark, f"cleaned_prices_{'all' if store_aware else 'one'}", _raw_inputs(sf_dir), build)
 
 
 @query("clean_calendar", sql=PREP + fin("SELECT * FROM cal_clean", ints=CAL_INTS, keep=CAL_KEEP))
@@ -99,7 +117,7 @@ def clean_sales(spark, sf_dir):
 @query("sales_category_counts", sql=PREP + """
 SELECT cat_id, CAST(count(*) AS BIGINT) AS n_items FROM kept_items GROUP BY cat_id""")
 def sales_category_counts(spark, sf_dir):
-    return cl.sales_value_counts(cleaned_sales(spark, sf_dir), "cat_id")
+    return cl.sales_value_counts(cleaned_sales_wide(spark, sf_dir), "cat_id")
 
 
 @query("top_items", sql=PREP + """
@@ -168,7 +186,7 @@ def _audit_union(rows):
     + [("prices", r, "pr_b") for r in ("duplicates_removed", "rows_after")]))
 def cleaning_audit(spark, sf_dir):
     """C20: one (table, rule, affected) row per cleaning rule."""
-    items = cleaned_sales(spark, sf_dir).select("item_id")
+    items = cleaned_sales_wide(spark, sf_dir).select("item_id")
     parts = [cl.calendar_audit(fx.calendar_dirty(spark, sf_dir)),
              cl.sales_audit(fx.sales_wide_dirty(spark, sf_dir)),
              cl.prices_audit(fx.prices_dirty(spark, sf_dir), items)]
@@ -282,4 +300,4 @@ def raw_csv_clean_sales(spark, sf_dir):
 def raw_csv_clean_prices(spark, sf_dir):
     """The prices arrive as CSV and are cleaned against the cleaned sales' items."""
     prices = _through_csv(spark, fx.prices_dirty(spark, sf_dir), "prices")
-    return cl.clean_prices(prices, cleaned_sales(spark, sf_dir))
+    return cl.clean_prices(prices, cleaned_sales_wide(spark, sf_dir))
