@@ -92,17 +92,31 @@ def hashed_parts(df: DataFrame, key: str, by: str, wanted: int, seed: str) -> Da
     return df.filter(F.crc32(F.concat(F.lit(seed), F.col(key).cast("string"))) < limits[F.col(by)])
 
 
+def bounded_rows(df: DataFrame, wanted: int) -> DataFrame:
+    """``df`` itself if it has about ``wanted`` rows, else as many, drawn row by row.
+
+    A draw by id takes all rows of an id or none; if an id repeats over very many
+    rows, this second draw keeps the bound.
+    """
+    total = df.count()
+    if total <= 1.5 * wanted:
+        return df
+    share = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(2 ** 32))
+    return df.withColumn("_share", share).filter(F.col("_share") < int(wanted / total * 2 ** 32)).drop("_share")
+
+
 def labelled(spark: SparkSession, documents: DataFrame, labels: DataFrame, label: str, keep: Column,
              wanted: int, seed: str) -> DataFrame:
     """(text, label) of a bounded sample of labelled documents.
 
     The ids are chosen on the narrow label table; at most about ``wanted`` of
-    them exist, which is the bound of the broadcast.
+    them exist, which is the bound of the broadcast; of their rows at most about ``wanted`` are drawn.
     """
     ids = (labels.filter(keep & F.col("doc_id").isNotNull() & F.col(label).isNotNull())
            .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label")))
     ids = hashed_part(ids, "doc_id", wanted, seed)
-    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+    chosen = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+    return bounded_rows(chosen, wanted)
 
 
 def map_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:

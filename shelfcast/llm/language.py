@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import hashed_parts, ready
+from shelfcast.llm.common import bounded_rows, hashed_parts, ready
 
 #: Documents the network is fitted on, and windows taken from each of them (spread over the whole text).
 SAMPLE, WINDOWS = 6000, 4
@@ -138,7 +138,7 @@ def fit(docs: DataFrame, keep: Column, sample: int = SAMPLE) -> Model | None:
     """Learn from a bounded sample of documents with a language that pass ``keep``; None if there are none."""
     usable = docs.select("doc_id", "text", "lang").filter(
         keep & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") > 0))
-    chosen = hashed_parts(usable, "doc_id", "lang", sample, "language")
+    chosen = bounded_rows(hashed_parts(usable, "doc_id", "lang", sample, "language"), sample)
 
     def cut(batches):
         for batch in batches:

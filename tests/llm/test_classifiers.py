@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID
 from shelfcast.llm import language, quality, toxicity
-from shelfcast.llm.common import hashed_parts, remainder
+from shelfcast.llm.common import bounded_rows, labelled, hashed_parts, remainder
 
 ODD = [(None, None), (None, "plain words"), (7, ""), (7, ""), (8, "x" * 200_000), (9, "!!! ??? 123"), (10, "日本語 ﬁ é")]
 SCHEMA = "doc_id long, text string"
@@ -115,3 +115,14 @@ def test_rare_language_is_learned(spark, monkeypatch):
     kept = hashed_parts(docs, "doc_id", "lang", 100, "language").groupBy("lang").count().collect()
     kept = {r.lang: r["count"] for r in kept}
     assert kept["zz"] == 10 and 50 <= kept["en"] <= 130
+
+
+def test_one_id_on_a_third_of_the_rows_keeps_the_sample_bounded(spark):
+    rows = [(i if i % 3 else 3, f"text {i}") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9000) if i % 3 or i == 3], "doc_id long, toxic int")
+    every = labelled(spark, docs, labels, "toxic", F.lit(True), 20_000, "x")
+    assert every.count() == 9000                                # fewer than the bound: all
+    drawn = labelled(spark, docs, labels, "toxic", F.col("doc_id") < 100, 200, "x")     # 66 ids, one of them on 3000 rows
+    assert 120 <= drawn.count() <= 300
+    assert bounded_rows(docs, 9000).count() == 9000
