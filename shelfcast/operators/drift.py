@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.hashing import md5_mod
+from shelfcast.functions.prefix import global_running_sum
 from shelfcast.operators.features import add_rolling_features
 from shelfcast.operators.orders import tail_rows
 
@@ -148,6 +149,27 @@ def ks_statistic(snap: DataFrame) -> DataFrame:
                                            F.max("_d").alias("ks_statistic"))
 
 
+def ks_statistic_pooled(snap: DataFrame) -> DataFrame:
+    """D10 statistic of each feature over the whole portfolio, whatever the number of its values.
+
+    A feature's distinct values may be very many, so no window holds them: the
+    counts get running sums over range partitions (``prefix.global_running_sum``) in the order (feature, value),
+    and the totals of earlier features, one row a feature, are taken off.
+    """
+    c = snap.groupBy("feature", "value").agg(
+        F.count_if(F.col("side") == "before").alias("_c1"), F.count_if(F.col("side") == "after").alias("_c2"))
+    order = [F.col("feature").asc(), F.col("value").asc()]
+    run = global_running_sum(global_running_sum(c, order, "_c1", "_r1"), order, "_c2", "_r2")
+    before = Window.orderBy("feature").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (c.groupBy("feature").agg(F.sum("_c1").alias("n_before"), F.sum("_c2").alias("n_after"))
+              .select("*", F.coalesce(F.sum("n_before").over(before), F.lit(0)).alias("_o1"),
+                      F.coalesce(F.sum("n_after").over(before), F.lit(0)).alias("_o2")))
+    d = F.abs(F.try_divide(F.col("_r1") - F.col("_o1"), F.col("n_before"))
+              - F.try_divide(F.col("_r2") - F.col("_o2"), F.col("n_after")))
+    return run.join(totals, "feature").groupBy("feature").agg(
+        F.first("n_before").alias("n_before"), F.first("n_after").alias("n_after"), F.max(d).alias("ks_statistic"))
+
+
 def feature_snapshots(res: DataFrame, split_n: int = MONITOR_ROWS // 2) -> DataFrame:
     """Before/after snapshots of two model inputs: the first and second half of the window."""
     side = F.when(F.col("n") <= split_n, "before").otherwise("after")

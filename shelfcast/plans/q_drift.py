@@ -136,6 +136,18 @@ def ks_statistic(spark, sf_dir):
     return dr.ks_statistic(dr.feature_snapshots(residuals_df(spark, sf_dir)))
 
 
+@query("ks_pooled", sql=DRIFT + KS_SQL + fin("""
+SELECT feature, max(n1) AS n_before, max(n2) AS n_after, max(d) AS ks_statistic FROM (
+  SELECT feature, sum(c1) OVER g AS n1, sum(c2) OVER g AS n2,
+         abs(sum(c1) OVER r / sum(c1) OVER g - sum(c2) OVER r / sum(c2) OVER g) AS d
+  FROM (SELECT feature, value, sum(c1) AS c1, sum(c2) AS c2 FROM kc GROUP BY feature, value)
+  WINDOW g AS (PARTITION BY feature), r AS (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+GROUP BY feature""", ints=["n_before", "n_after"], dbls=["ks_statistic"], keep=["feature"]))
+def ks_pooled(spark, sf_dir):
+    """D10 over the whole portfolio: one statistic a feature, by distributed running sums."""
+    return dr.ks_statistic_pooled(dr.feature_snapshots(residuals_df(spark, sf_dir)))
+
+
 def ks_tests(spark, sf_dir):
     return ks_tests_by(spark, sf_dir, "exact")
 

@@ -211,6 +211,30 @@ def pos_merged(spark, sf_dir):
     return rs.merge_pos(long, cleaned_calendar(spark, sf_dir), cleaned_prices(spark, sf_dir, store_aware=True))
 
 
+@query("pos_sorted", sql=PREP + """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS overlapping_files,
+       CAST(count(*) FILTER (WHERE sku = least) AS BIGINT) AS least_sku_rows,
+       max(date) FILTER (WHERE sku = least) AS least_sku_last
+FROM (SELECT *, min(sku) OVER () AS least FROM (
+  SELECT c.date, s.store_id || '_' || s.item_id AS sku
+  FROM sales_clean_all s LEFT JOIN cal_clean c ON c.d = s.d
+       LEFT JOIN pc_all p ON p.item_id = s.item_id AND p.wm_yr_wk = c.wm_yr_wk AND p.store_id = s.store_id
+  WHERE p.sell_price IS NOT NULL))""")
+def pos_sorted(spark, sf_dir):
+    """The merged table written in the order (sku, date); rows, files whose ranges overlap, and what a
+    filter on one SKU (the least) finds."""
+    from shelfcast.functions.scalars import combine_scalars
+    from shelfcast.sources import store
+    path, order = store.unique_path(spark, "pos_sorted"), ("sku", "date")
+    store.write_sorted(pos_merged(spark, sf_dir), path, order)
+    whole = store.file_ranges(spark, path, order).agg(
+        F.sum("n_rows").alias("n_rows"), F.count_if("overlaps").alias("overlapping_files"))
+    back = spark.read.parquet(path)
+    least = back.agg(F.min("sku")).first()[0]
+    one = back.where(F.col("sku") == least).agg(F.count(F.lit(1)).alias("least_sku_rows"), F.max("date").alias("least_sku_last"))
+    return combine_scalars(whole, one)
+
+
 @query("pos_profile", sql=with_adapter() + fin("""
 SELECT count(*) AS n_rows, count(DISTINCT sku) AS n_skus, count(DISTINCT store_id) AS n_stores,
        min(date) AS min_date, max(date) AS max_date, avg(units_sold) AS mean_units,

@@ -84,16 +84,86 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w.parquet(path)
 
 
+#: Bytes read that one file of a sorted table may stand for, and tries of a commit against other writers.
+SORTED_FILE_BYTES = 256 * 2 ** 20
+COMMIT_TRIES = 20
+
+
+def write_sorted(df: DataFrame, path: str, order: tuple[str, ...], files: int | None = None) -> None:
+    """J7 sink: files and row groups sorted by ``order`` over the whole table, so their statistics prune a filter on it."""
+    from shelfcast.operators.forecast import read_bytes
+    n = files or max(df.sparkSession.sparkContext.defaultParallelism, -(-read_bytes(df) // SORTED_FILE_BYTES))
+    df.repartitionByRange(n, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
+def file_ranges(spark: SparkSession, path: str, order: tuple[str, ...]) -> DataFrame:
+    """(file, first, last, n_rows, overlaps) of a table's files: whether a file begins at or before the end of the one before it."""
+    from pyspark.sql import Window
+    at = F.struct(*order)
+    files = (spark.read.parquet(path).select(F.col("_metadata.file_name").alias("file"), at.alias("at"))
+             .groupBy("file").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count(F.lit(1)).alias("n_rows")))
+    ordered = Window.orderBy("first")                     # one row a file
+    return files.withColumn("overlaps", F.coalesce(F.col("first") <= F.lag("last").over(ordered), F.lit(False)))
+
+
+def _commits(spark: SparkSession, path: str) -> list[str]:
+    """The data folders of a table's commits, in order."""
+    p, fs = _fs(spark, f"{path}/_commits")
+    if not fs.exists(p):
+        return []
+    numbers = sorted(int(f.getPath().getName()) for f in fs.listStatus(p) if f.getPath().getName().isdigit())
+    folders = []
+    for n in numbers:
+        stream = fs.open(_fs(spark, f"{path}/_commits/{n}")[0])
+        folders.append(bytes(stream.readAllBytes()).decode())
+        stream.close()
+    return folders
+
+
+def _claim(spark: SparkSession, path: str, number: int, folder: str) -> bool:
+    """Publish commit ``number`` by a rename that fails if another writer was first."""
+    jvm = spark.sparkContext._jvm
+    tmp, fs = _fs(spark, f"{path}/_commits/tmp-{uuid.uuid4().hex}")
+    out = fs.create(tmp, True)
+    out.write(bytearray(folder.encode()))
+    out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    plain = spark.sparkContext._gateway.new_array(rename, 0)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(fs.makeQualified(tmp), fs.makeQualified(_fs(spark, f"{path}/_commits/{number}")[0]), plain)
+    except Exception as exc:
+        if "FileAlreadyExists" in str(exc):
+            return False
+        raise
+    return True
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame | None:
+    """All committed snapshots of a history table (None: no commit yet)."""
+    folders = _commits(spark, path)
+    return spark.read.parquet(*[f"{path}/{f}" for f in folders]) if folders else None
+
+
 def append_history(spark: SparkSession, path: str, runs: DataFrame) -> DataFrame:
-    """Append metric snapshots; version = previous count per SKU + rank in the batch."""
+    """Append metric snapshots; version = previous count per SKU + rank in the batch.
+
+    A writer reads the commits so far, writes its rows to a folder of its own and
+    claims the next commit number by a rename; if another writer took that number, it numbers its
+    rows anew on top of that commit. So no version is given twice and rows of a failed writer never count.
+    """
     from pyspark.sql import Window
-    if _exists(spark, path):
-        prev = spark.read.parquet(path).groupBy("sku").agg(F.count(F.lit(1)).alias("_prev"))
-    else:
-        prev = runs.select("sku").where(F.lit(False)).withColumn("_prev", F.lit(0).cast("bigint"))
-    w = Window.partitionBy("sku").orderBy("run_order")
-    new = (runs.join(prev, "sku", "left")
-           .withColumn("version", (F.coalesce("_prev", F.lit(0)) + F.row_number().over(w)).cast("bigint"))
-           .drop("_prev"))
-    new.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    for _ in range(COMMIT_TRIES):
+        done = len(_commits(spark, path))
+        known = read_history(spark, path)
+        prev = (known.groupBy("sku").agg(F.count(F.lit(1)).alias("_prev")) if known is not None
+                else runs.select("sku").where(F.lit(False)).withColumn("_prev", F.lit(0).cast("bigint")))
+        w = Window.partitionBy("sku").orderBy("run_order")
+        new = (runs.join(prev, "sku", "left")
+               .withColumn("version", (F.coalesce("_prev", F.lit(0)) + F.row_number().over(w)).cast("bigint"))
+               .drop("_prev"))
+        folder = f"rows-{uuid.uuid4().hex[:12]}"
+        new.write.parquet(f"{path}/{folder}")
+        if _claim(spark, path, done + 1, folder):
+            return read_history(spark, path)
+    raise RuntimeError(f"no commit in {COMMIT_TRIES} tries: {path}")
