@@ -3,16 +3,23 @@
 The wide sales table is cleaned in long form: one ``unpivot`` turns 1,900+ day
 columns into rows, so every rule is a single column expression instead of one
 expression per day column. Keep-first deduplication always uses an explicit
-order column, since files have no row order in Spark (Q5).
+order, since tables have no row order in Spark (Q5): a column, or the position of a row in the
+raw files (``with_file_position``).
+
+The audit of a cleaner (C20) is observed in the pass that cleans. All counts are
+taken behind its last shuffle, in the stage that writes: a task that runs
+again after the loss of an executor counts once there. Rows that a rule removes
+travel that far only when counts are wanted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.prefix import global_running_sum
 from shelfcast.functions.scalars import combine_scalars
+from shelfcast.sources.store import POSITION
 
 EVENT_COLUMNS = ["event_name_1", "event_type_1", "event_name_2", "event_type_2"]
 DAY_PREFIX = "d_"
@@ -22,12 +29,21 @@ def snap_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.startswith("snap_")]
 
 
-def clean_calendar(raw: DataFrame) -> DataFrame:
-    """Lenient date parse (drop failures), fill events, flags, whole-row dedup."""
-    out = raw
+def clean_calendar(raw: DataFrame, counts: Observation | None = None) -> DataFrame:
+    """Lenient date parse (drop failures), fill events, flags, whole-row dedup.
+
+    With ``counts`` the pass also observes its audit (C20).
+    """
+    out, valid = raw, F.lit(True)
     if "date" in out.columns:
-        out = out.withColumn("date", F.try_to_date(F.col("date").cast("string"))).where(F.col("date").isNotNull())
+        out = out.withColumn("date", F.try_to_date(F.col("date").cast("string")))
+        valid = F.col("date").isNotNull()
     ev = [c for c in EVENT_COLUMNS if c in out.columns]
+    if counts is None:
+        out = out.where(valid)
+    else:
+        empty = sum((F.col(c).isNull().cast("bigint") for c in ev), F.lit(0).cast("bigint"))
+        out = out.withColumn("_filled", F.when(valid, empty).otherwise(0))
     if ev:
         out = out.fillna("", subset=ev)
     has_event = ((F.col("event_name_1") != "").cast("int") if "event_name_1" in out.columns else F.lit(0))
@@ -39,7 +55,16 @@ def clean_calendar(raw: DataFrame) -> DataFrame:
             "promo_flag", ((F.col("has_event") == 1) | (F.col("any_snap") == 1)).cast("int"))
     else:
         out = out.withColumn("promo_flag", F.col("has_event"))
-    return out.dropDuplicates()
+    if counts is None:
+        return out.dropDuplicates()
+    columns = [c for c in out.columns if c != "_filled"]
+    rows = (out.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"), F.sum("_filled").alias("_filled"))
+            .observe(counts, F.sum("_n").alias("rows_before"),
+                     F.sum(F.when(~valid, F.col("_n"))).alias("invalid_dates"),
+                     F.sum("_filled").alias("events_filled"),
+                     F.sum(F.when(valid, F.col("_n") - 1)).alias("duplicates_removed"),
+                     F.count_if(valid).alias("rows_after")))
+    return rows.where(valid).select(*columns)
 
 
 def calendar_gaps(cal: DataFrame) -> DataFrame:
@@ -89,22 +114,35 @@ def day_cells(wide: DataFrame) -> Column:
 
 
 def clean_sales_wide(wide: DataFrame, dedup_keys: tuple[str, ...] = ("item_id",),
-                     order_col: str = "store_id") -> DataFrame:
+                     order: tuple[str, ...] = ("store_id",), counts: Observation | None = None) -> DataFrame:
     """C10-C13 on the wide rows, in one scan; returns (ids..., units: one value a day column).
 
     Negative cells -> 0, NULL cells -> 0, items with zero total dropped, then one
-    item kept per ``dedup_keys``, the first by ``order_col`` (the reference keys on
-    ``item_id`` alone; pass ``("item_id", "store_id")`` to keep every store). Rows that repeat all id
-    columns are one item and stay together.
+    item kept per ``dedup_keys``, the first by ``order`` (the reference keys on
+    ``item_id`` alone; pass ``("item_id", "store_id")`` to keep every store). ``order`` may be
+    the file position (``POSITION``), which is no id. Rows that repeat all id
+    columns are one item, as early as its first row, and stay together. With ``counts`` the pass also
+    observes its audit (C20), in rows.
     """
-    ids, _ = split_columns(wide)
+    ids = [c for c in split_columns(wide)[0] if c not in POSITION]
     keys = [k for k in dedup_keys if k in ids] or ids[:1]
     cell = lambda x: F.greatest(F.coalesce(x, F.lit(0)), F.lit(0)).cast("bigint")
-    rows = wide.select(*ids, F.transform(day_cells(wide), cell).alias("units")).repartition(*keys)
+    number = lambda test: F.size(F.filter(day_cells(wide), test)).cast("bigint")
+    rows = wide.select(*ids, F.struct(*order).alias("_at"), F.transform(day_cells(wide), cell).alias("units"),
+                       number(lambda x: x < 0).alias("_negative"), number(lambda x: x.isNull()).alias("_null"))
     own = F.aggregate("units", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    sold = (rows.withColumn("_total", F.sum(own).over(Window.partitionBy(*ids))).where(F.col("_total") > 0))
-    w = Window.partitionBy(*keys).orderBy(*[F.col(order_col)] + [F.col(c) for c in ids if c != order_col])
-    return sold.withColumn("_rank", F.dense_rank().over(w)).where(F.col("_rank") == 1).select(*ids, "units")
+    item = Window.partitionBy(*ids)
+    rows = (rows.repartition(*keys).withColumn("_sold", F.sum(own).over(item) > 0)
+            .withColumn("_first", F.min("_at").over(item)))
+    w = Window.partitionBy(*keys).orderBy(F.desc("_sold"), "_first", *ids)
+    rows = rows.withColumn("_rank", F.dense_rank().over(w))
+    kept = F.col("_sold") & (F.col("_rank") == 1)
+    if counts is not None:
+        rows = rows.observe(counts, F.count(F.lit(1)).alias("rows_before"), F.sum("_negative").alias("negatives_fixed"),
+                            F.sum("_null").alias("nulls_filled"), F.count_if(~F.col("_sold")).alias("zero_items_removed"),
+                            F.count_if(F.col("_sold") & ~kept).alias("duplicates_removed"),
+                            F.count_if(kept).alias("rows_after"))
+    return rows.where(kept).select(*ids, "units")
 
 
 def melt_units(cleaned: DataFrame, days: list[str]) -> DataFrame:
@@ -116,69 +154,9 @@ def melt_units(cleaned: DataFrame, days: list[str]) -> DataFrame:
 
 
 def clean_sales(wide: DataFrame, dedup_keys: tuple[str, ...] = ("item_id",),
-                order_col: str = "store_id") -> DataFrame:
+                order: tuple[str, ...] = ("store_id",)) -> DataFrame:
     """C10-C13 in the long form; returns (ids..., d, units_sold)."""
-    return melt_units(clean_sales_wide(wide, dedup_keys, order_col), split_columns(wide)[1])
-
-
-def _audit_rows(g: DataFrame, table: str, names: list[str]) -> DataFrame:
-    """Turn a one-row frame of counts into (tbl, rule, affected) rows."""
-    args = [x for n in names for x in (F.lit(n), F.col(n).cast("bigint"))]
-    return g.select(F.lit(table).alias("tbl"), F.stack(F.lit(len(names)), *args).alias("rule", "affected"))
-
-
-def calendar_audit(raw: DataFrame) -> DataFrame:
-    """C20 for the calendar: rows before/after, invalid dates, filled events, duplicates."""
-    parsed = F.try_to_date(F.col("date").cast("string"))
-    ev = [c for c in EVENT_COLUMNS if c in raw.columns]
-    valid = raw.where(parsed.isNotNull())
-    filled = valid.fillna("", subset=ev) if ev else valid
-    groups = filled.groupBy(*filled.columns).agg(F.count(F.lit(1)).alias("_n"))
-    a = raw.agg(F.count(F.lit(1)).alias("rows_before"), F.count_if(parsed.isNull()).alias("invalid_dates"),
-                sum((F.count_if(parsed.isNotNull() & F.col(c).isNull()) for c in ev), F.lit(0))
-                .alias("events_filled"))
-    b = groups.agg(F.count(F.lit(1)).alias("rows_after"), (F.sum("_n") - F.count(F.lit(1))).alias("duplicates_removed"))
-    return _audit_rows(combine_scalars(a, b), "calendar",
-                       ["rows_before", "invalid_dates", "events_filled", "duplicates_removed", "rows_after"])
-
-
-def sales_audit(wide: DataFrame, dedup_keys: tuple[str, ...] = ("item_id",)) -> DataFrame:
-    """C10-C13 counts in one pass over the wide rows."""
-    ids, _ = split_columns(wide)
-    cells = wide.select(*ids, day_cells(wide).alias("cells"))
-    number = lambda test: F.size(F.filter("cells", test)).cast("bigint")
-    per_item = cells.groupBy(*ids).agg(
-        F.sum(number(lambda x: x < 0)).alias("neg"), F.sum(number(lambda x: x.isNull())).alias("nul"),
-        F.sum(F.aggregate("cells", F.lit(0).cast("bigint"),
-                          lambda a, x: a + F.greatest(F.coalesce(x, F.lit(0)), F.lit(0)).cast("bigint"))).alias("tot"))
-    keys = [k for k in dedup_keys if k in ids] or ids[:1]
-    kept_keys = F.count_distinct(*[F.when(F.col("tot") > 0, F.col(k)) for k in keys])
-    g = per_item.agg(F.count(F.lit(1)).alias("rows_before"), F.sum("neg").alias("negatives_fixed"),
-                     F.sum("nul").alias("nulls_filled"), F.count_if(F.col("tot") == 0).alias("zero_items_removed"),
-                     (F.count_if(F.col("tot") > 0) - kept_keys).alias("duplicates_removed"),
-                     kept_keys.alias("rows_after"))
-    return _audit_rows(g, "sales", ["rows_before", "negatives_fixed", "nulls_filled", "zero_items_removed",
-                                    "duplicates_removed", "rows_after"])
-
-
-def prices_audit(prices: DataFrame, valid_items: DataFrame | None = None, order_col: str = "src_rank") -> DataFrame:
-    """C16-C18 counts: invalid items, bad prices, duplicate keys."""
-    if valid_items is not None:
-        v = valid_items.select("item_id").distinct().withColumn("_valid", F.lit(True))
-        p = prices.join(v, "item_id", "left")
-        valid = F.coalesce(F.col("_valid"), F.lit(False))
-    else:
-        p, valid = prices, F.lit(True)
-    good = valid & F.col("sell_price").isNotNull() & (F.col("sell_price") > 0)
-    keys = [c for c in ("store_id", "item_id", "wm_yr_wk") if c in prices.columns]
-    per_key = p.where(good).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    a = p.agg(F.count(F.lit(1)).alias("rows_before"), F.count_if(~valid).alias("invalid_items_removed"),
-              F.count_if(valid & ~F.coalesce(F.col("sell_price") > 0, F.lit(False))).alias("bad_prices_removed"))
-    b = per_key.agg((F.sum("_n") - F.count(F.lit(1))).alias("duplicates_removed"),
-                    F.count(F.lit(1)).alias("rows_after"))
-    return _audit_rows(combine_scalars(a, b), "prices",
-                       ["rows_before", "invalid_items_removed", "bad_prices_removed", "duplicates_removed",
-                        "rows_after"])
+    return melt_units(clean_sales_wide(wide, dedup_keys, order), split_columns(wide)[1])
 
 
 def sales_value_counts(clean_long: DataFrame, col: str) -> DataFrame:
@@ -195,18 +173,34 @@ def top_items(clean_long: DataFrame, n: int = 5) -> DataFrame:
 
 
 def clean_prices(prices: DataFrame, valid_items: DataFrame | None = None,
-                 order_col: str = "src_rank") -> DataFrame:
-    """Valid items only, drop NULL/non-positive prices, keep the first row per key."""
-    out = prices
+                 order: tuple[str, ...] = ("src_rank",), counts: Observation | None = None) -> DataFrame:
+    """Valid items only, drop NULL/non-positive prices, keep the first row per key by ``order``.
+
+    ``order`` may be the file position (``POSITION``); its columns leave the result. With ``counts``
+    the pass also observes its audit (C20): bad rows are then marked, not dropped, until the end.
+    """
+    out, valid = prices, F.lit(True)
     if valid_items is not None and "item_id" in out.columns:
-        out = out.join(valid_items.select("item_id").distinct(), "item_id", "left_semi")
-    out = out.where(F.col("sell_price").isNotNull() & (F.col("sell_price") > 0))
+        items = valid_items.select("item_id").distinct()
+        if counts is None:
+            out = out.join(items, "item_id", "left_semi")
+        else:
+            out = out.join(items.withColumn("_valid", F.lit(True)), "item_id", "left")
+            valid = F.coalesce("_valid", F.lit(False))
+    priced = F.coalesce(F.col("sell_price") > 0, F.lit(False))
+    out = out.withColumn("_good", valid & priced)
+    if counts is None:
+        out = out.where("_good")
     keys = [c for c in ("store_id", "item_id", "wm_yr_wk") if c in out.columns]
-    if keys:
-        order = [F.col(order_col)] if order_col in out.columns else [F.col("sell_price")]
-        w = Window.partitionBy(*keys).orderBy(*order)
-        out = out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    return out.drop(order_col) if order_col in out.columns else out
+    places = [c for c in order if c in out.columns]
+    w = Window.partitionBy(*keys).orderBy(F.desc("_good"), *(places or ["sell_price"]))
+    out = out.withColumn("_rn", F.row_number().over(w) if keys else F.lit(1))
+    good, first = F.col("_good"), F.col("_rn") == 1
+    if counts is not None:
+        out = out.observe(counts, F.count(F.lit(1)).alias("rows_before"), F.count_if(~valid).alias("invalid_items_removed"),
+                          F.count_if(valid & ~priced).alias("bad_prices_removed"),
+                          F.count_if(good & ~first).alias("duplicates_removed"), F.count_if(good & first).alias("rows_after"))
+    return out.where(good & first).select(*[c for c in prices.columns if c not in places])
 
 
 def exact_median(df: DataFrame, col: str) -> DataFrame:

@@ -11,7 +11,7 @@ from shelfcast.operators import reshape as rs
 from shelfcast.plans.oracle_base import fin, with_adapter
 from shelfcast.plans.registry import query
 from shelfcast.sources import fixture as fx
-from shelfcast.sources.materialize import materialized
+from shelfcast.sources.materialize import observed
 from shelfcast.sources.tables import table_path
 
 CAL_CLEAN_SQL = """
@@ -62,17 +62,33 @@ def _raw_inputs(sf_dir):
     return [table_path(sf_dir, t) for t in fx.SKU_INPUTS]
 
 
+def calendar_cleaning(spark, sf_dir):
+    """The cleaned calendar and its audit, written in one pass once per input."""
+    return observed(spark, "cleaned_calendar", _raw_inputs(sf_dir),
+                    lambda counts: cl.clean_calendar(fx.calendar_dirty(spark, sf_dir), counts))
+
+
+def sales_cleaning(spark, sf_dir, store_aware=False):
+    """The cleaned sales in wide form and their audit: one scan of the raw table."""
+    keys = ("item_id", "store_id") if store_aware else ("item_id",)
+    return observed(spark, "cleaned_sales_" + "_".join(keys), _raw_inputs(sf_dir),
+                    lambda counts: cl.clean_sales_wide(fx.sales_wide_dirty(spark, sf_dir), dedup_keys=keys, counts=counts))
+
+
+def prices_cleaning(spark, sf_dir, store_aware=False):
+    """The cleaned prices of the items kept by the sales cleaner, and their audit."""
+    def build(counts):
+        items = cleaned_sales_wide(spark, sf_dir, store_aware).select("item_id")
+        return cl.clean_prices(fx.prices_dirty(spark, sf_dir), items, counts=counts)
+    return observed(spark, f"cleaned_prices_{'all' if store_aware else 'one'}", _raw_inputs(sf_dir), build)
+
+
 def cleaned_calendar(spark, sf_dir):
-    """The cleaned calendar, written once per input."""
-    return materialized(spark, "cleaned_calendar", _raw_inputs(sf_dir),
-                        lambda: cl.clean_calendar(fx.calendar_dirty(spark, sf_dir)))
+    return calendar_cleaning(spark, sf_dir)[0]
 
 
 def cleaned_sales_wide(spark, sf_dir, store_aware=False):
-    """The cleaned sales in wide form, written once per input (S9): one scan of the raw table."""
-    keys = ("item_id", "store_id") if store_aware else ("item_id",)
-    return materialized(spark, "cleaned_sales_" + "_".join(keys), _raw_inputs(sf_dir),
-                        lambda: cl.clean_sales_wide(fx.sales_wide_dirty(spark, sf_dir), dedup_keys=keys))
+    return sales_cleaning(spark, sf_dir, store_aware)[0]
 
 
 def cleaned_sales(spark, sf_dir, store_aware=False):
@@ -81,11 +97,7 @@ def cleaned_sales(spark, sf_dir, store_aware=False):
 
 
 def cleaned_prices(spark, sf_dir, store_aware=False):
-    """The cleaned prices of the items kept by the sales cleaner, written once per input."""
-    def build():
-        items = cleaned_sales_wide(spark, sf_dir, store_aware).select("item_id")
-        return cl.clean_prices(fx.prices_dirty(spark, sf_dir), items)
-    return materialized(spark, f"cleaned_prices_{'all' if store_aware else 'one'}", _raw_inputs(sf_dir), build)
+    return prices_cleaning(spark, sf_dir, store_aware)[0]
 
 
 @query("clean_calendar", sql=PREP + fin("SELECT * FROM cal_clean", ints=CAL_INTS, keep=CAL_KEEP))
@@ -120,6 +132,14 @@ def sales_category_counts(spark, sf_dir):
     return cl.sales_value_counts(cleaned_sales_wide(spark, sf_dir), "cat_id")
 
 
+@query("sales_department_counts", sql=PREP + """
+SELECT cat_id || '_' || CAST((CAST(substr(item_id, 7) AS INTEGER) // 3) % 3 + 1 AS VARCHAR) AS dept_id,
+       CAST(count(*) AS BIGINT) AS n_items FROM kept_items GROUP BY 1""")
+def sales_department_counts(spark, sf_dir):
+    kept = cleaned_sales_wide(spark, sf_dir).withColumn("dept_id", fx.department_of(F.col("item_id")))
+    return cl.sales_value_counts(kept, "dept_id")
+
+
 @query("top_items", sql=PREP + """
 SELECT item_id, store_id, cat_id, CAST(sum(units_sold) AS BIGINT) AS total_units FROM sales_clean
 GROUP BY ALL ORDER BY total_units DESC, item_id, store_id, cat_id LIMIT 5""")
@@ -185,11 +205,9 @@ def _audit_union(rows):
     + [("prices", r, "pr_a") for r in ("rows_before", "invalid_items_removed", "bad_prices_removed")]
     + [("prices", r, "pr_b") for r in ("duplicates_removed", "rows_after")]))
 def cleaning_audit(spark, sf_dir):
-    """C20: one (table, rule, affected) row per cleaning rule."""
-    items = cleaned_sales_wide(spark, sf_dir).select("item_id")
-    parts = [cl.calendar_audit(fx.calendar_dirty(spark, sf_dir)),
-             cl.sales_audit(fx.sales_wide_dirty(spark, sf_dir)),
-             cl.prices_audit(fx.prices_dirty(spark, sf_dir), items)]
+    """C20: one (table, rule, affected) row per cleaning rule, as observed when the tables were cleaned."""
+    parts = [cleaning(spark, sf_dir)[1].select(F.lit(table).alias("tbl"), "rule", "affected")
+             for table, cleaning in (("calendar", calendar_cleaning), ("sales", sales_cleaning), ("prices", prices_cleaning))]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -305,23 +323,28 @@ def raw_csv_clean_calendar(spark, sf_dir):
     return cl.clean_calendar(scanned)
 
 
-def _through_csv(spark, raw, name):
-    """Write a raw table as CSV and read it through the cached-scan fallback (no Parquet cache yet)."""
+def _through_csv(spark, raw, name, order):
+    """Write a raw table as CSV in the given order and read it, with the position of every row in the files,
+    through the cached-scan fallback (no Parquet cache yet). ``src_rank`` is not in the files."""
     from shelfcast.sources import store
     base = store.unique_path(spark, f"raw_{name}")
-    raw.write.mode("overwrite").option("header", True).csv(base + f"/{name}.csv")
-    return store.cached_scan(spark, base + f"/{name}.csv", base + f"/{name}.parquet", schema=raw.schema)
+    raw = raw.orderBy(*order).drop("src_rank")
+    raw.write.option("header", True).csv(base + f"/{name}.csv")
+    return store.with_file_position(
+        store.cached_scan(spark, base + f"/{name}.csv", base + f"/{name}.parquet", schema=raw.schema))
 
 
 @query("raw_csv_clean_sales", sql=PREP + "SELECT * FROM sales_clean")
 def raw_csv_clean_sales(spark, sf_dir):
-    """The wide sales arrive as CSV, every day column, and are cleaned."""
-    return cl.clean_sales(_through_csv(spark, fx.sales_wide_dirty(spark, sf_dir), "sales"))
+    """The wide sales arrive as CSV, every day column, and are cleaned; the first item in file order stays."""
+    raw = _through_csv(spark, fx.sales_wide_dirty(spark, sf_dir), "sales", ("store_id", "cat_id", "item_id"))
+    return cl.clean_sales(raw, order=cl.POSITION)
 
 
 @query("raw_csv_clean_prices", sql=PREP + fin("SELECT * FROM pc", ints=["wm_yr_wk"], dbls=["sell_price"],
                                               keep=["store_id", "item_id"]))
 def raw_csv_clean_prices(spark, sf_dir):
-    """The prices arrive as CSV and are cleaned against the cleaned sales' items."""
-    prices = _through_csv(spark, fx.prices_dirty(spark, sf_dir), "prices")
-    return cl.clean_prices(prices, cleaned_sales_wide(spark, sf_dir))
+    """The prices arrive as CSV and are cleaned against the cleaned sales' items; the first
+    price of a key in file order stays."""
+    prices = _through_csv(spark, fx.prices_dirty(spark, sf_dir), "prices", ("src_rank", "store_id", "item_id", "wm_yr_wk"))
+    return cl.clean_prices(prices, cleaned_sales_wide(spark, sf_dir), order=cl.POSITION)

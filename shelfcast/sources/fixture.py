@@ -42,6 +42,12 @@ def category_of(item_id: Column) -> Column:
     return F.when(n == 0, "FOODS").when(n == 1, "HOUSEHOLD").otherwise("HOBBIES")
 
 
+def department_of(item_id: Column) -> Column:
+    """Three departments a category."""
+    n = F.substring(item_id, 7, 10).cast("int")
+    return F.concat(category_of(item_id), F.lit("_"), (F.floor(n / 3) % 3 + 1).cast("string"))
+
+
 def day_number(d: Column) -> Column:
     return F.datediff(d, F.lit(DAY_ZERO).cast("date")) + 1
 

@@ -14,7 +14,7 @@ import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from shelfcast.session import scratch_path
 
@@ -34,7 +34,7 @@ def _code_version() -> bytes:
     h = hashlib.md5()
     for name in ("sources/fixture.py", "sources/materialize.py", "sources/tables.py", "functions/dates.py",
                  "functions/hashing.py", "operators/features.py", "operators/forecast.py", "operators/gbt.py",
-                 "operators/clean.py", "operators/reshape.py"):
+                 "operators/clean.py", "operators/reshape.py", "plans/q_prep.py"):
         with open(os.path.join(pkg, name), "rb") as f:
             h.update(f.read())
     return h.digest()
@@ -59,15 +59,23 @@ def _publish(spark: SparkSession, tmp: str, path: str) -> None:
         fs.rename(tp, p)
 
 
+def _derived(spark: SparkSession, name: str, inputs: list[str]) -> str:
+    ns = spark.conf.get(NAMESPACE_CONF, "default")
+    return scratch_path(spark, os.path.join("derived", ns, input_key(spark, inputs), name))
+
+
+def _aside(path: str) -> str:
+    """Where a table is written before one rename gives it its name: concurrent builders cannot
+    interleave files, and readers only ever see a complete table."""
+    return f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+
+
 def materialized(spark: SparkSession, name: str, inputs: list[str], build, partition_by=()) -> DataFrame:
     """Read ``name`` for these inputs if it was written before, else build and write it."""
-    ns = spark.conf.get(NAMESPACE_CONF, "default")
-    path = scratch_path(spark, os.path.join("derived", ns, input_key(spark, inputs), name))
+    path = _derived(spark, name, inputs)
     p, fs = _fs(spark, path)
     if not fs.exists(p):
-        # Write aside, then publish with one rename: concurrent builders cannot
-        # interleave files, and readers only ever see a complete table.
-        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+        tmp = _aside(path)
         w = build().write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -76,6 +84,24 @@ def materialized(spark: SparkSession, name: str, inputs: list[str], build, parti
     return spark.read.parquet(path)
 
 
+def observed(spark: SparkSession, name: str, inputs: list[str],
+             build: Callable[[Observation], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """``materialized``, and (rule, affected): the counts that ``build`` observes in the pass that writes the table.
+
+    The counts are published first, so a table that is there has them.
+    """
+    path, audit = _derived(spark, name, inputs), _derived(spark, f"{name}_audit", inputs)
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        counts, tmp, noted = Observation(name), _aside(path), _aside(audit)
+        build(counts).write.parquet(tmp)
+        rows = [(rule, int(n or 0)) for rule, n in counts.get.items()]
+        spark.createDataFrame(rows, "rule string, affected bigint").coalesce(1).write.parquet(noted)
+        _publish(spark, noted, audit)
+        _publish(spark, tmp, path)
+    return spark.read.parquet(path), spark.read.parquet(audit)
+
+
 #: Input bytes that one bucket may stand for.
 BUCKET_BYTES = 64 * 2 ** 20
 

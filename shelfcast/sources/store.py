@@ -55,6 +55,20 @@ def cached_scan(spark: SparkSession, csv_path: str, parquet_path: str, schema=No
     return df
 
 
+#: Position of a row in the raw files: file, block of the file, row in the order of reading.
+POSITION = ("_file", "_block", "_row")
+
+
+def with_file_position(scan: DataFrame) -> DataFrame:
+    """A raw scan with ``POSITION``, whose order is the order of the rows in the files.
+
+    A block is read by one task from its start to its end, so inside it
+    the generated ids rise with the rows; file and block come from Spark's hidden file metadata.
+    """
+    return scan.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_row"))
+
+
 def load_stock(spark: SparkSession, path: str | None, skus: DataFrame | None = None) -> DataFrame:
     """Stock CSV when it exists, else the default level for every SKU given."""
     if path and _exists(spark, path):
