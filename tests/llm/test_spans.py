@@ -163,6 +163,10 @@ def test_decontamination_matches_brute_force(spark, monkeypatch):
         monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", block)
         got = decontaminate.contaminated(frame, bench).collect()
         assert Counter((r.doc_id, r.item_id) for r in got) == want
+    assert decontaminate.shingle_filter(bench).suspect(items[7][1]) and not decontaminate.shingle_filter(bench).suspect("none of these")
+    monkeypatch.setattr(decontaminate, "FILTER_MOST", 64)           # a full filter lets all through and loses nothing
+    full = decontaminate.contaminated(frame, bench)
+    assert Counter((r.doc_id, r.item_id) for r in full.collect()) == want
     texts = dict(docs)
     for r in got:
         assert r.similarity >= 0.8 and texts[r.doc_id][r.start:r.end]
@@ -171,3 +175,25 @@ def test_decontamination_matches_brute_force(spark, monkeypatch):
     assert sorted(r.doc_id for r in clean.collect()) == sorted(d for d, _ in docs if not any(k[0] == d for k in want))
     assert decontaminate.contaminated(frame.limit(0), bench).count() == 0
     assert decontaminate.contaminated(frame, bench.limit(0)).count() == 0
+
+
+def test_a_large_benchmark_takes_few_passes_over_the_documents(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 1000)
+    rng = random.Random(5)
+    texts = [" ".join(f"v{rng.randrange(4000)}" for _ in range(rng.choice([20, 40]))) for _ in range(10_000)]
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "item_id long, text string")
+    rows = [(d, " ".join(f"v{rng.randrange(4000)}" for _ in range(200)), "s") for d in range(400)]
+    planted = {d: rng.randrange(10_000) for d in range(0, 400, 40)}
+    rows = [(d, f"{t} {texts[planted[d]]} {t[:50]}" if d in planted else t, s) for d, t, s in rows]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string, suspect string").repartition(4).write.parquet(path)
+    docs = spark.read.parquet(path)
+    read, found = [], decontaminate._found
+    monkeypatch.setattr(decontaminate, "_found", lambda rows, *rest: read.append(rows.count()) or found(rows, *rest))
+    got = decontaminate.contaminated(docs, bench)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == set(planted.items())
+    assert len(read) >= 10 and max(read) <= 20                  # the blocks meet the suspects, not the documents
+    clean = decontaminate.decontaminated(docs, bench)
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert clean.columns == docs.columns and plan.count(path) <= 1
+    assert {r.doc_id for r in clean.collect()} == set(range(400)) - set(planted)
