@@ -3,8 +3,8 @@
 Features are all runs of 1 to 3 consecutive words. A text's separators are
 collapsed to single spaces; ``regex.finditer(overlapped=True)`` then starts
 a match at every word (boundary lookarounds keep it from starting or ending
-inside one) and emits the spans of the runs that start there, whose CRC-32
-picks the bucket. The buckets of a document are written once; the counts of
+inside one) and emits the spans of the words of the longest run that starts there; their CRC-32,
+carried on from word to word, picks the buckets of its one to three runs. The buckets of a document are written once; the counts of
 the corpus and of the target are sums over all their features, and a document's weight is the
 sum of its features' gains. A seeded Gumbel value added to the weight and a
 distributed rank turn the weights into a draw without replacement.
@@ -36,8 +36,8 @@ SEED, PERCENT, LEAST_WORDS = 42, 5, 20
 FOLD = bytes(32 if b < 0x30 or 0x3A <= b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F
              else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 SPACES = regex.compile(rb" {2,}")
-#: At a word's start: the runs of three, two and one words, if the text holds them.
-RUNS = regex.compile(rb"(?<![^ ])(?=([^ ]++ [^ ]++ [^ ]++)?+)(?=([^ ]++ [^ ]++)?+)([^ ]++)(?![^ ])")
+#: From a word's start: the word, and the next two with the space before them, if the text holds them.
+RUNS = regex.compile(rb"(?<= )([^ ]++)( [^ ]++)?+( [^ ]++)?+(?= )")
 
 
 def collapsed(text: str | None) -> bytes:
@@ -48,8 +48,15 @@ def collapsed(text: str | None) -> bytes:
 def features(text: str | None, buckets: int = BUCKETS) -> tuple[int, np.ndarray]:
     """The number of words and the sorted buckets of all n-grams, repeats included."""
     line = collapsed(text)
-    crc = [zlib.crc32(run) for match in RUNS.finditer(line, overlapped=True) for run in match.groups() if run]
     words = line.count(b" ") + 1 if line else 0
+    crc32, crc = zlib.crc32, []
+    for match in RUNS.finditer(b" " + line + b" ", overlapped=True):
+        first, second, third = match.groups()
+        crc.append(run := crc32(first))
+        if second:
+            crc.append(run := crc32(second, run))
+            if third:
+                crc.append(crc32(third, run))
     return words, np.sort(np.array(crc, np.uint32) % buckets).astype(np.uint16)
 
 
