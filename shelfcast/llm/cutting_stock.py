@@ -10,6 +10,8 @@ first-fit decreasing places them.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 
 #: Stop when the lower bound LP / (best reduced pattern value) is this close to the LP.
@@ -43,7 +45,11 @@ def price(duals: np.ndarray, widths: np.ndarray, capacity: int) -> tuple[float,
 
 
 def solve(widths: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
-    """Whole patterns [(count of each class, times used)] that meet ``demand`` exactly."""
+    """Whole patterns [(count of each class, times used)] that meet ``demand`` exactly.
+
+    If ``MAX_COLUMNS`` patterns do not bring the LP within ``GAP`` of its bound, a
+    warning says so: the patterns still meet the demand, with more padding.
+    """
     m = len(widths)
     if not m:
         return []
@@ -66,6 +72,8 @@ def solve(widths: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[n
         row = inverse[leave] / direction[leave]
         inverse -= np.outer(direction, row)
         inverse[leave] = row
+    else:
+        warnings.warn(f"pricing ended after {MAX_COLUMNS} patterns, before the bound was met")
     left = demand.astype(np.int64).copy()
     patterns = []
     for j in range(m):

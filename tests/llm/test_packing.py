@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from conftest import SF_MID
-from shelfcast.llm import packing
+from shelfcast.llm import cutting_stock, packing
 from shelfcast.llm.cutting_stock import solve
 from shelfcast.llm.queries import tokenizer_path
 
@@ -87,3 +87,12 @@ def test_patterns_claim_every_rank_once():
     assert [len(taken[j]) for j in range(3)] == [7, 9, 4]
     for j in range(3):
         assert [r for r, _ in sorted(taken[j])] == list(range(len(taken[j])))
+
+
+def test_early_end_of_pricing_is_reported(monkeypatch):
+    monkeypatch.setattr(cutting_stock, "MAX_COLUMNS", 1)
+    widths, demand = np.asarray([3, 5, 7, 11]), np.asarray([40, 30, 20, 10])
+    with pytest.warns(UserWarning, match="pricing ended"):
+        patterns = solve(widths, demand, 20)
+    assert (sum(times * column for column, times in patterns) == demand).all()
+    assert all(column @ widths <= 20 for column, _ in patterns)

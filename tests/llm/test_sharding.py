@@ -49,6 +49,15 @@ def test_hot_group_is_split_and_small_groups_stay(spark):
     assert sum(len(s) > 1 for t, s in by_text.items() if t[0] == "g") <= 16
 
 
+def test_ranges_left_overfull_are_reported(spark, monkeypatch):
+    texts = [(i, f"text {i} " * (400 if i % 50 == 0 else 2)) for i in range(3000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    monkeypatch.setattr(sharding, "KEYS", 1)                 # coarse samples leave uneven ranges
+    monkeypatch.setattr(sharding, "ROUNDS", 0)
+    with pytest.warns(UserWarning, match="key ranges stay overfull"):
+        check(sharding.shard_documents(docs).collect(), texts)
+
+
 @pytest.mark.parametrize("rows", [[], [(1, "only")], [(None, None), (None, None), (2, ""), (2, "x" * 100_000), (2, "x" * 100_000)]])
 def test_edges(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
