@@ -104,7 +104,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
                 more = np.unique(np.concatenate([edges, sample_edges(inside, due / 4)]))
             if len(more) == len(edges):
                 rest = [b - most for b, most in (full[r] for r in over) if b - most > OVERFULL * due]
-                if rest:                  
+                if rest:
                     warnings.warn(f"{len(rest)} of {len(full)} key ranges stay overfull, the largest with "
                                   f"{max(rest) / due:.1f} times its due bytes beside its longest row")
                 break
