@@ -31,7 +31,7 @@ MAX_GRAMS = 50_000
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PHRASES = (
-    ("mit", "the mit license"),
+    ("mit", "under the mit license"),
     ("apache-2", "apache license version 2"),
     ("cc-by-nc", "cc by nc"),
 )
@@ -57,6 +57,7 @@ NOTICES = (
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("boost", "boost software license version 1 0"),
+    ("mit", "the mit license"),
 )
 
 
@@ -125,13 +126,13 @@ def places(hits: DataFrame, templates: DataFrame, k: int = GRAM, drift: int = DR
 
 
 def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES, k: int = GRAM, drift: int = DRIFT) -> tuple[DataFrame, DataFrame]:
-    """(documents: row, doc_id, n_words; places as in ``places``), both written tables."""
+    """(documents: row, doc_id, n_words; places as in ``places``, strongest first), both written tables."""
     spark = ready(docs.sparkSession)
     templates = template_grams(spark, phrases, notices, k)
     both = written(scanned(docs, templates, k), "license-hits")
     hits = both.filter("template is not null").select("row", "template", "t", "d")
     return both.filter("template is null").select("row", "doc_id", "n_words"), written(
-        places(hits, templates, k, drift), "license-places")
+        places(hits, templates, k, drift).orderBy(F.desc("share")), "license-places")
 
 
 def report(docs: DataFrame, share: float = SHARE) -> DataFrame:

@@ -40,6 +40,15 @@ def test_base_columns_match_brute_force(spark):
     assert got == sorted((brute(i, t) for i, t in rows), key=str)
 
 
+def test_base_phrases_are_those_of_the_contract(spark):
+    rows = [(1, "Under the MIT License."), (2, "the mit license"), (3, "under x the mit license"),
+            (4, "see the mit license, under the mit license; apache license version 2")]
+    got = {r.doc_id: r for r in report(spark, rows)}
+    assert [tuple(got[i][c] for c in COLUMNS[1:]) for i in range(1, 5)] == [
+        (4, 1, 0, 0, "mit"), (3, 0, None, None, ""), (5, 0, None, None, ""), (12, 2, 4, 8, "apache-2,mit")]
+    assert [got[i].labels for i in range(1, 5)] == ["mit", "mit", "mit", "apache-2,mit"]
+
+
 def test_base_columns_on_the_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = sorted((tuple(r[c] for c in COLUMNS) for r in licenses.report(docs).collect()), key=str)
