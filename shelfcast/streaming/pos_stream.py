@@ -2,7 +2,7 @@
 
 The history lies in ``SLICES`` hash slices of ``sku``. A slice is a list of
 folders: a base and at most ``DELTAS`` deltas. Each micro-batch (``foreachBatch``)
-reads the keys of the slices that it touches, drops the rows whose (sku, date) is
+reads the keys of the slices and dates that it touches, drops the rows whose (sku, date) is
 already there (within the batch the first by ``src_order`` stays), and
 writes one delta folder; a slice with too many deltas is merged into a new
 base. So the files read per batch do not grow with the history or its age.
@@ -26,6 +26,13 @@ KEY = ["sku", "date"]
 SLICES = 64
 DELTAS = 4
 INITIAL = -1
+#: Rows of the first history that one slice may hold, and the least number of slices ``slices_for`` gives.
+SLICE_ROWS, LEAST_SLICES = 1_000_000, 16
+
+
+def slices_for(history: DataFrame) -> int:
+    """Slices that keep the share of each near ``SLICE_ROWS`` rows."""
+    return max(LEAST_SLICES, -(-history.count() // SLICE_ROWS))
 
 
 def _slice(slices: int):
@@ -93,10 +100,13 @@ def merge_batch(batch: DataFrame, batch_id: int, path: str, deltas: int = DELTAS
     folders, slices = state["folders"], state["slices"]
     columns = [f["name"] for f in state["schema"]["fields"]]
     sliced = batch.withColumn("slice", _slice(slices))
-    touched = [str(r["slice"]) for r in sliced.select("slice").distinct().collect()]          # at most ``slices``
+    spans = sliced.groupBy("slice").agg(F.min("date").alias("lo"), F.max("date").alias("hi")).collect()     # at most ``slices``
+    touched = [str(r["slice"]) for r in spans]
+    lo, hi = (f((r[c] for r in spans if r[c] is not None), default=None) for f, c in ((min, "lo"), (max, "hi")))
     w = Window.partitionBy(*KEY).orderBy("src_order")
     first = sliced.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(*columns, "slice")
-    fresh = first.join(read_history(spark, path, touched).select(*KEY), KEY, "left_anti").select(*columns, "slice")
+    known = read_history(spark, path, touched).select(*KEY).where(F.col("date").between(lo, hi))   # no other key can repeat
+    fresh = first.join(known, KEY, "left_anti").select(*columns, "slice")
     state["read"] = sum(len(folders.get(k, [])) for k in touched)
     for k, folder in _write_slices(fresh, path, f"delta-{batch_id}").items():
         folders.setdefault(k, []).append(folder)
