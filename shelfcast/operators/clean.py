@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.prefix import global_running_sum
 from shelfcast.functions.scalars import combine_scalars
+from shelfcast.sources.materialize import wide_partitions
 from shelfcast.sources.store import POSITION
 
 EVENT_COLUMNS = ["event_name_1", "event_type_1", "event_name_2", "event_type_2"]
@@ -132,7 +133,7 @@ def clean_sales_wide(wide: DataFrame, dedup_keys: tuple[str, ...] = ("item_id",)
                        number(lambda x: x < 0).alias("_negative"), number(lambda x: x.isNull()).alias("_null"))
     own = F.aggregate("units", F.lit(0).cast("bigint"), lambda a, x: a + x)
     item = Window.partitionBy(*ids)
-    rows = (rows.repartition(*keys).withColumn("_sold", F.sum(own).over(item) > 0)
+    rows = (rows.repartition(wide_partitions(wide), *keys).withColumn("_sold", F.sum(own).over(item) > 0)
             .withColumn("_first", F.min("_at").over(item)))
     w = Window.partitionBy(*keys).orderBy(F.desc("_sold"), "_first", *ids)
     rows = rows.withColumn("_rank", F.dense_rank().over(w))
@@ -194,6 +195,8 @@ def clean_prices(prices: DataFrame, valid_items: DataFrame | None = None,
     keys = [c for c in ("store_id", "item_id", "wm_yr_wk") if c in out.columns]
     places = [c for c in order if c in out.columns]
     w = Window.partitionBy(*keys).orderBy(F.desc("_good"), *(places or ["sell_price"]))
+    if keys:                                              # file positions are long, but compress well
+        out = out.repartition(wide_partitions(prices), *keys)
     out = out.withColumn("_rn", F.row_number().over(w) if keys else F.lit(1))
     good, first = F.col("_good"), F.col("_rn") == 1
     if counts is not None:

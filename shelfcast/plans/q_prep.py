@@ -225,8 +225,9 @@ WHERE p.sell_price IS NOT NULL""", ints=["units_sold", "promo_flag"], dbls=["pri
     keep=["date", "sku", "store_id", "cat_id"]))
 def pos_merged(spark, sf_dir):
     """C21 + J1-J7: clean the three dirtied tables, melt, merge (all stores kept)."""
-    long = cleaned_sales(spark, sf_dir, store_aware=True)
-    return rs.merge_pos(long, cleaned_calendar(spark, sf_dir), cleaned_prices(spark, sf_dir, store_aware=True))
+    days = cl.split_columns(fx.sales_wide_dirty(spark, sf_dir))[1]
+    return rs.merge_pos(cleaned_sales_wide(spark, sf_dir, store_aware=True), cleaned_calendar(spark, sf_dir),
+                        cleaned_prices(spark, sf_dir, store_aware=True), days)
 
 
 @query("pos_sorted", sql=PREP + """
