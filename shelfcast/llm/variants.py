@@ -15,7 +15,9 @@
 
 Keys hold the few words that share a gram, a place and half a word, so no group
 grows with a common gram. Pairs and forms are tables; only the gram order (at most
-the square of the letters) reaches the driver.
+the square of the letters) reaches the driver. Joins are merge joins by hint: Spark
+takes a compressed table, or one unfolded by an explode, for far smaller than it is and would
+broadcast it through the driver.
 """
 
 from __future__ import annotations
@@ -134,7 +136,7 @@ def near_pairs(vocabulary: DataFrame) -> DataFrame:
     probes = probes.select(F.explode(_keys(F.col("gram"), F.col("pos") + F.col("s.move"), length, F.least("size", length),
                                            F.col("word"))).alias("key"),
                            F.col("word").alias("a"), F.col("last").alias("a_last"))
-    met = (probes.join(index, "key").filter((F.col("a_last") <= F.col("b_last")) & (F.col("a") != F.col("b")))
+    met = (probes.join(index.hint("merge"), "key").filter((F.col("a_last") <= F.col("b_last")) & (F.col("a") != F.col("b")))
            .filter(F.levenshtein("a", "b", 1) == 1).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     one = written(met, "variant-pairs")
     return one.unionByName(one.selectExpr("b as a", "a as b"))
@@ -142,10 +144,10 @@ def near_pairs(vocabulary: DataFrame) -> DataFrame:
 
 def forms_of(vocabulary: DataFrame, pairs: DataFrame, ratio: int = RATIO) -> DataFrame:
     """word, n, n_near, form, form_n: the most frequent near word (ties: the least), if it is ``ratio`` times as frequent."""
-    near = pairs.join(vocabulary.selectExpr("word as b", "n as b_n"), "b")
+    near = pairs.join(vocabulary.selectExpr("word as b", "n as b_n").hint("merge"), "b")
     best = near.groupBy("a").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct(-F.col("b_n"), F.col("b"))).alias("best"))
     best = best.select(F.col("a").alias("word"), "n_near", F.col("best.b").alias("form"), (-F.col("best.col1")).alias("form_n"))
-    joined = vocabulary.join(best, "word", "left")
+    joined = vocabulary.join(best.hint("merge"), "word", "left")
     follows = F.col("form_n") >= ratio * F.col("n")
     return joined.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
                          F.when(follows, F.col("form")).alias("form"), F.when(follows, F.col("form_n")).alias("form_n"))
@@ -156,8 +158,9 @@ def roots_of(forms: DataFrame) -> DataFrame:
     chain = written(forms.filter("form is not null").selectExpr("word", "form as root"), "variant-chain")
     for _ in range(GUARD):
         ahead = chain.selectExpr("word as root", "root as next")
-        step = written(chain.join(ahead, "root", "left").select("word", F.coalesce("next", "root").alias("root"),
-                                                                F.col("next").isNotNull().alias("moved")), "variant-chain")
+        moved = chain.join(ahead.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"),
+                                                                       F.col("next").isNotNull().alias("moved"))
+        step = written(moved, "variant-chain")
         if step.filter("moved").isEmpty():
             return step.select("word", "root")
         chain = step.select("word", "root")
@@ -177,5 +180,5 @@ def grouped(docs: DataFrame, every: int = DAMAGE, least_length: int = LEAST_LENG
         raise ValueError("words need four code points for a prefix of three bigrams")
     vocabulary = written(words_of(damaged(runs_of(docs), every), least_length, least_count), "variant-words")
     forms = written(forms_of(vocabulary, near_pairs(vocabulary), ratio), "variant-forms")
-    joined = forms.join(roots_of(forms), "word", "left")
+    joined = forms.join(roots_of(forms).hint("merge"), "word", "left")
     return joined.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -81,6 +81,22 @@ def test_chains_of_forms_end_in_the_root(spark):
     assert got == {r[0]: r[2] for r in brute([(1, text)])}
 
 
+def test_no_join_goes_through_the_driver(spark, monkeypatch):
+    """Spark takes unfolded keys for far smaller than they are; so no join may be a broadcast, whatever its limit."""
+    plans, written = [], variants.written
+
+    def noted(df, name):
+        plans.append(df)
+        return written(df, name)
+    monkeypatch.setattr(variants, "written", noted)
+    text = " ".join(["abcdefgh"] * 3 + ["abcdefgx"] * 6 + ["abcdefyx"] * 12)
+    frame = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    plans.append(variants.grouped(frame))
+    names = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    assert sum("SortMergeJoin" in x for x in names) >= 4
+    assert not any("Broadcast" in x for x in names)
+
+
 def test_empty(spark):
     assert run(spark, []) == [] and run(spark, [(1, "short a b c")]) == []
 
