@@ -79,6 +79,42 @@ def test_rows_wait_for_their_order_in_bounded_numbers(spark, monkeypatch):
     assert not whole.late.any() and whole.event_id.tolist() == list(range(40))
 
 
+def test_rows_of_a_batch_are_never_late_by_their_number(monkeypatch):
+    """Any order of arrival inside a batch gives the verdicts of the ordered rows, however few may wait in memory."""
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(5)
+    when = np.repeat(np.arange(150), 2)
+    rows = pd.DataFrame({"sku": "a", "ts": pd.to_datetime(when, unit="s"), "event_id": np.arange(300),
+                         "actual": np.round(rng.normal(9, 3, 300)) + 40 * (when > 90)})
+    again = rows.iloc[[7, 250]]                                 # equal positions: the first to arrive counts
+    mixed = pd.concat([rows.iloc[rng.permutation(300)], again.assign(actual=-1.0)])
+
+    class Value:
+        def get(self):
+            return None
+
+        def update(self, row):
+            self.row = row
+
+    def verdicts(kind, frame, held):
+        monkeypatch.setattr(ds, "HELD", held)
+        monitor = kind()
+        monitor.values = Value()
+        chunks = [frame.iloc[i:i + 13] for i in range(0, len(frame), 13)]
+        out = pd.concat(monitor.handleInputRows(("a",), iter(chunks), None))
+        return out.reset_index(drop=True), monitor.values.row
+
+    for kind in (ds.Monitor, ds.Monitors):
+        whole, state = verdicts(kind, mixed, 1000)
+        assert whole.late.sum() == 2 and whole[~whole.late].event_id.tolist() == list(range(300)) and whole.drift_detected.any()
+        for held in (5, 13, 40, 280):
+            got, left = verdicts(kind, mixed, held)
+            assert got.drop(columns=["predicted", "residual"]).equals(whole.drop(columns=["predicted", "residual"]))
+            assert np.allclose(got.residual, whole.residual, equal_nan=True)
+            assert str(left)[:40] == str(state)[:40]
+
+
 def test_outputs_of_one_stream(spark):
     schema = "sku string, event_id long, ts timestamp, actual double, slice int"
     t0 = dt.datetime(2024, 1, 1)
