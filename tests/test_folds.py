@@ -65,3 +65,23 @@ def test_no_row_goes_to_a_python_worker(spark):
     plan = folds._jdf.queryExecution().executedPlan().toString()
     assert "MapPartitions" in plan and "Pandas" not in plan and "Arrow" not in plan
     assert folds.count() == 3 and fc.cv_fold_metrics(frame(spark, {"s": series(50, 1)}), COLS, "y").count() == 0
+
+
+def test_fold_audit_counts_every_fold_without_python(spark, tmp_path):
+    from shelfcast.plans.q_forecast import fold_audit
+    from shelfcast.sources import fixture as fx
+    days = [datetime.datetime(1996, 1, 1) + datetime.timedelta(i) for i in range(120)]
+    tables = {
+        "lineitem": ([(s, float(1 + (i * s) % 9), 100.0 + i, d) for s in (1, 2, 5, 9) for i, d in enumerate(days[:60 if s == 9 else 120])],
+                     "l_suppkey bigint, l_quantity double, l_extendedprice double, l_shipdate timestamp"),
+        "supplier": ([(s, s % 2) for s in (1, 2, 5, 9)], "s_suppkey bigint, s_nationkey bigint"),
+        "nation": ([(0, 0), (1, 1)], "n_nationkey bigint, n_regionkey bigint"),
+        "region": ([(0, "EAST"), (1, "WEST")], "r_regionkey bigint, r_name string")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    audit = fold_audit(spark, str(tmp_path))
+    sizes = {r.sku: r["count"] for r in fx.pos(spark, str(tmp_path)).groupBy("sku").count().collect()}
+    assert len(sizes) == 4 and min(sizes.values()) > 50
+    assert sorted(tuple(r) for r in audit.collect()) == sorted(
+        (sku, k, n - (4 - k) * (n // 4), n // 4, True) for sku, n in sizes.items() for k in (1, 2, 3))
+    assert "Pandas" not in audit._jdf.queryExecution().executedPlan().toString()
